@@ -117,12 +117,11 @@ def anomaly_summary(anomalies: DataFrame) -> DataFrame:
 
 
 def detector_daily_counts(detectors: dict[str, DataFrame]) -> DataFrame:
-    """Rows per date with one count column per detector; null where a detector is silent."""
+    """Flagged rows per date, one count column per detector."""
     return (
         tagged(detectors, ["date"])
         .groupBy("date")
-        .pivot("detector", list(detectors))
-        .agg(F.count(F.lit(1)))
+        .agg(*[F.count_if(F.col("detector") == name).alias(name) for name in detectors])
     )
 
 

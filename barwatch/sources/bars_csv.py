@@ -32,9 +32,10 @@ def read_bars(
 ) -> DataFrame:
     """Read one or many ``<TICKER>.csv`` files, or folders of them, as one distributed scan.
 
-    Header names are lower-cased, the required columns kept and typed, ``adj close`` renamed to
-    ``adj_close``, and the ticker taken from the file name unless given. A header that differs
-    between files fails instead of shifting columns: read such files apart and ``union_bars`` them.
+    Header names are lower-cased, the required columns kept and typed, and ``adj close`` renamed to
+    ``adj_close``. The ticker is the one given, else a ``ticker`` column (as ``ticker=...`` folders
+    give), else the file name. A header that differs between files fails instead of shifting
+    columns: read such files apart and ``union_bars`` them.
 
     A date that is missing or not ``yyyy-MM-dd`` raises ValueError, for which one pass over the
     date column runs here; ``check_dates=False`` leaves such dates null.
@@ -48,13 +49,19 @@ def read_bars(
     named = raw.toDF(*[c.strip().lower() for c in raw.columns])
     require_columns(named, REQUIRED_COLUMNS)
 
-    file_ticker = F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)\.csv", 1)
+    originals = dict(zip(named.columns, raw.columns))
+    if ticker is not None:
+        name = F.lit(ticker)
+    elif "ticker" in originals:
+        name = F.col(f"`{originals['ticker']}`").cast("string")
+    else:
+        name = F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)\.csv", 1)
     parsed = raw.select(
-        (F.lit(ticker) if ticker is not None else file_ticker).alias("ticker"),
-        *[F.col(f"`{old}`").alias(new) for old, new in zip(raw.columns, named.columns)],
+        name.alias("ticker"),
+        *[F.col(f"`{originals[c]}`").alias(c) for c in REQUIRED_COLUMNS],
     ).select(
         "ticker",
-        F.try_to_date(F.col("date"), F.lit("yyyy-MM-dd")).alias("date"),
+        F.try_to_date("date", "yyyy-MM-dd").alias("date"),
         *[_number(c).alias(c.replace(" ", "_")) for c in REQUIRED_COLUMNS[1:]],
     )
     if check_dates:
