@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barwatch.config import FeatureParams
@@ -21,12 +23,22 @@ LONG_HISTORY = 250_000
 PIECE_ROWS = 16_384
 
 
-def _number(name: str):
+def _number(name: str) -> Column:
     """The column as a double, with NaN read as missing."""
     value = F.col(name).cast("double")
     return F.when(~F.isnan(value), value)
 
 
+def _by_ticker(
+    rows: DataFrame, lookback: int, piece_rows: int | None, add: Callable[..., DataFrame]
+) -> DataFrame:
+    """Run ``add(rows, order)`` over whole histories, or over pieces of ``piece_rows`` rows."""
+    if piece_rows is None:
+        return add(rows, Window.partitionBy("ticker").orderBy("date"))
+    pieces = cut_history(rows, "ticker", "date", lookback, piece_rows)
+    return own_rows(add(pieces, Window.partitionBy("ticker", PIECE).orderBy("date")))
+
+
 def compute_features(
     bars: DataFrame, params: FeatureParams = FeatureParams(), piece_rows: int | None = None
 ) -> DataFrame:
@@ -44,21 +56,18 @@ def compute_features(
         log_volume(_number("volume")).alias("log_volume"),
         relative_range(_number("high"), _number("low"), _number("close")).alias("span"),
     )
-    group = ["ticker"]
-    if piece_rows is not None:
-        source = cut_history(source, "ticker", "date", params.lookback, piece_rows)
-        group.append(PIECE)
-    order = Window.partitionBy(*group).orderBy("date")
-
-    scored = source.withColumn("ret", simple_return(F.col("adj_close"), order)).withColumns(
-        {
-            "ret_z": trailing_zscore(F.col("ret"), params.ret_window, order),
-            "vol_z": trailing_zscore(F.col("log_volume"), params.vol_window, order),
-            "range_pct": trailing_share_at_most(F.col("span"), params.range_window, order),
-        }
-    )
-    if piece_rows is not None:
-        scored = own_rows(scored)
+
+    def add(rows: DataFrame, order: WindowSpec) -> DataFrame:
+        returns = rows.withColumn("ret", simple_return(F.col("adj_close"), order))
+        return returns.withColumns(
+            {
+                "ret_z": trailing_zscore(F.col("ret"), params.ret_window, order),
+                "vol_z": trailing_zscore(F.col("log_volume"), params.vol_window, order),
+                "range_pct": trailing_share_at_most(F.col("span"), params.range_window, order),
+            }
+        )
+
+    scored = _by_ticker(source, params.lookback, piece_rows, add)
     return scored.select("date", "ticker", "ret", "ret_z", "vol_z", "range_pct")
 
 
@@ -73,13 +82,17 @@ def compute_features_measured(
     return compute_features(bars, params, PIECE_ROWS if too_long else None)
 
 
-def eda_columns(bars: DataFrame) -> DataFrame:
-    """Bars with the daily return and the log volume, for exploration only."""
-    order = Window.partitionBy("ticker").orderBy("date")
-    return bars.select(
+def eda_columns(bars: DataFrame, piece_rows: int | None = None) -> DataFrame:
+    """Daily return and log volume beside the adjusted close, for exploration only."""
+    source = bars.select(
         "date",
         "ticker",
-        "adj_close",
-        simple_return(_number("adj_close"), order).alias("daily_return"),
+        _number("adj_close").alias("adj_close"),
         log_volume(_number("volume")).alias("log_volume"),
     )
+
+    def add(rows: DataFrame, order: WindowSpec) -> DataFrame:
+        return rows.withColumn("daily_return", simple_return(F.col("adj_close"), order))
+
+    added = _by_ticker(source, 1, piece_rows, add)
+    return added.select("date", "ticker", "adj_close", "daily_return", "log_volume")

@@ -116,7 +116,7 @@ def validate(bars: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFram
     require_columns(bars, BAR_COLUMNS)
     if bars.isEmpty():
         raise ValueError("no bars")
-    repeated = duplicates(bars).select("ticker", "date").limit(10).collect()
+    repeated = bars.groupBy(*KEY).count().filter("count > 1").limit(10).collect()
     if repeated:
         keys = sorted({(r["ticker"], str(r["date"])) for r in repeated})
         raise ValueError(f"duplicate dates, e.g. {keys}")

@@ -21,11 +21,14 @@ def daily_card(
     """Rule anomalies with feature values from the features table, distance and density flag.
 
     Starts from the rules: what only K-Means or DBSCAN found is not on the card. ``distance`` is
-    left out if the K-Means table has none.
+    left out if the K-Means table has none. Of the features only the dates between the first and
+    the last rule anomaly are read: the limits are scalar subqueries, which reach the scan.
     """
     features, rule, kmeans, dbscan = map(_text_ticker, (features, rule, kmeans, dbscan))
     base = rule.select(*KEY, "anomaly_flag", "type", "why")
-    card = base.join(features.select(*KEY, "ret", *FEATURES), KEY, "left")
+    first, last = rule.agg(F.min("date")).scalar(), rule.agg(F.max("date")).scalar()
+    needed = features.filter((F.col("date") >= first) & (F.col("date") <= last))
+    card = base.join(needed.select(*KEY, "ret", *FEATURES), KEY, "left")
     if "distance" in kmeans.columns:
         card = card.join(kmeans.select(*KEY, "distance"), KEY, "left")
     noise = dbscan.select(*KEY, F.lit(1).alias("dbscan_flag"))
