@@ -33,7 +33,7 @@ from barwatch.functions.boxes import (
     squared_distance,
 )
 from barwatch.functions.components import components, numbered
-from barwatch.session import broadcast_if_small, materialize
+from barwatch.session import broadcast_if_small, materialize, spread
 
 NOISE = -1
 
@@ -199,9 +199,12 @@ def cluster_labels(
     name = F.struct("ticker", "date")
     dense = found.cells.filter("dense")
     dense_names = found.points.join(broadcast_if_small(dense.select("cell")), "cell", "left_semi")
-    dense = materialize(
-        dense.join(dense_names.groupBy("cell").agg(F.min(name).alias("node")), "cell")
+    here = F.struct(*columns)
+    outermost = [by(here, F.col(c)) for c in columns for by in (F.min_by, F.max_by)]
+    named = dense_names.groupBy("cell").agg(
+        F.min(name).alias("node"), F.array(*outermost).alias("outermost")
     )
+    dense = materialize(dense.join(named, "cell"))
     sparse_core = found.sparse.filter("core").select(name.alias("node"))
     nodes = materialize(dense.select("node").unionByName(sparse_core))
 
@@ -248,20 +251,34 @@ def cluster_labels(
 def _cell_pairs(
     dense: DataFrame, params: DensityParams, columns: list[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Neighbouring dense cells: (a, b) surely within eps, and pairs their boxes leave open."""
+    """Neighbouring dense cells: (a, b) surely within eps, and the pairs left open.
+
+    Sure are pairs whose boxes are close as a whole or whose outermost points are. For cells with a
+    common side the outermost points towards it are close unless the cells are nearly empty there.
+    """
     limit = params.eps * params.eps
-    first = dense.select(F.col("node").alias("a"), F.col("cell").alias("cell_a"), "box")
+    first = dense.select(
+        F.col("node").alias("a"), F.col("cell").alias("cell_a"), "box", "outermost"
+    )
     second = dense.select(
-        F.col("node").alias("b"), F.col("cell").alias("cell_b"), F.col("box").alias("box_b")
+        F.col("node").alias("b"),
+        F.col("cell").alias("cell_b"),
+        F.col("box").alias("box_b"),
+        F.col("outermost").alias("outermost_b"),
     )
     pairs = (
-        first.withColumn("step", F.explode(_around(len(columns))))
+        spread(first)
+        .withColumn("step", F.explode(_around(len(columns))))
         .withColumn("cell_b", F.zip_with("cell_a", "step", lambda x, y: x + y))
         .join(second, "cell_b")
         .filter(F.col("a") < F.col("b"))
     )
     a, b = F.col("box"), F.col("box_b")
-    close = reach_squared(a, b, columns) <= limit
+    met = F.exists(
+        "outermost",
+        lambda p: F.exists("outermost_b", lambda q: squared_distance(p, q, columns) <= limit),
+    )
+    close = (reach_squared(a, b, columns) <= limit) | met
     pairs = materialize(
         pairs.filter(gap_squared(a, b, columns) <= limit).select(
             "a", "b", "cell_a", "cell_b", close.alias("close")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from barwatch.config import FEATURES, KEY, DensityParams
 from barwatch.functions.boxes import box_of, gap_squared, reach_squared, squared_distance
-from barwatch.session import broadcast_if_small, materialize
+from barwatch.session import broadcast_if_small, materialize, spread
 
 BOX_POINTS = 32
 LEVELS_PER_PASS = 3
@@ -69,37 +69,39 @@ def k_distance(
     )
     near = _near_boxes(packed.drop("members"), k, columns)
 
-    candidates = (
-        near.join(
-            packed.select(
-                F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), "members"
+    # Equal points stand for themselves as often as they can matter, which is k times.
+    copies = F.flatten(
+        F.transform(
+            "members",
+            lambda m: F.array_repeat(
+                F.struct(*[m[c].alias(c) for c in columns]), F.least(m["weight"], F.lit(k)).cast("int")
             ),
-            ["b_level", "b_cell"],
         )
+    )
+    others = packed.select(
+        F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), copies.alias("copies")
+    )
+    candidates = (
+        spread(near.join(others, ["b_level", "b_cell"]), "level", "cell")
         .groupBy("level", "cell", "bound")
-        .agg(F.flatten(F.collect_list("members")).alias("around"))
+        .agg(F.flatten(F.collect_list("copies")).alias("around"))
     )
 
-    def measured(m: Column) -> Column:
-        return F.struct(
-            squared_distance(F.col("me"), m, columns).alias("d"), m["weight"].alias("weight")
-        )
+    def squared(m: Column) -> Column:
+        return F.coalesce(squared_distance(F.col("me"), m, columns), F.lit(float("inf")))
 
-    in_bound = F.filter(F.transform("around", measured), lambda x: x["d"] <= F.col("bound"))
-    nearest = F.slice(F.array_sort(in_bound), 1, k)
-    found = F.aggregate(
-        nearest,
-        F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(0.0).alias("d")),
-        lambda acc, x: F.when(acc["seen"] >= k, acc).otherwise(
-            F.struct((acc["seen"] + x["weight"]).alias("seen"), x["d"].alias("d"))
-        ),
+    nearest = F.sort_array(
+        F.filter(F.transform("around", squared), lambda d: d <= F.col("bound"))
     )
-    per_place = (
+    measured = materialize(
         candidates.join(packed.select("level", "cell", "members"), ["level", "cell"])
         .withColumn("me", F.explode("members"))
-        .select(*[F.col(f"me.{c}").alias(c) for c in columns], F.sqrt(found["d"]).alias("k_distance"))
+        .select(
+            *[F.col(f"me.{c}").alias(c) for c in columns],
+            F.sqrt(nearest[k - 1]).alias("k_distance"),
+        )
     )
-    return known.join(per_place, columns).select(*KEY, "k_distance").orderBy("k_distance", *KEY)
+    return known.join(measured, columns).select(*KEY, "k_distance").orderBy("k_distance", *KEY)
 
 
 def _leaves(distinct: DataFrame, cell, box_points: int) -> DataFrame:
@@ -198,7 +200,8 @@ def _near_boxes(boxes: DataFrame, k: int, columns: list[str]) -> DataFrame:
         ]
     )
     looked = (
-        searching.withColumn("home", up(F.col("cell"), F.col("level") - F.col("at")))
+        spread(searching, "level", "cell")
+        .withColumn("home", up(F.col("cell"), F.col("level") - F.col("at")))
         .withColumn("step", F.explode(steps))
         .withColumn("seen", F.zip_with("home", "step", lambda x, y: x + y))
     )
@@ -216,19 +219,19 @@ def _near_boxes(boxes: DataFrame, k: int, columns: list[str]) -> DataFrame:
         ),
         ["at", "seen"],
     )
+    mine = ["level", "cell", "box", "bound"]
     containing = looked.filter("at > 0").select(
-        "level", "cell", "box", "bound",
-        F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("b_level"), "at", "seen",
-    )
-    upward = containing.withColumn(
-        "b_cell", up(F.col("seen"), F.col("at") - F.col("b_level"))
-    ).select("level", "cell", "box", "bound", "b_level", "b_cell").distinct().join(
-        boxes.select(
-            F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), F.col("box").alias("b_box")
-        ),
-        ["b_level", "b_cell"],
+        *mine, F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("b_level"), "at", "seen"
+    )
+    leaf = boxes.select(
+        F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), F.col("box").alias("b_box")
+    )
+    upward = (
+        containing.withColumn("b_cell", up(F.col("seen"), F.col("at") - F.col("b_level")))
+        .select(*mine, "b_level", "b_cell")
+        .distinct()
+        .join(leaf, ["b_level", "b_cell"])
     )
-    mine = ["level", "cell", "box", "bound"]
     b_box = F.col("b_box")
     met = materialize(
         down.select(*mine, *other)

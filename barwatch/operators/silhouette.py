@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barwatch.config import ELBOW_RANGE, FEATURES, KEY, SEED
 from barwatch.operators.kmeans import fit_kmeans, nearest_centroid
+from barwatch.session import spread
 
 BLOCK_ROWS = 2048
 
@@ -69,9 +70,8 @@ def silhouette_euclidean(
     cluster each, no single pair ever becomes a row, and no task holds more than a block.
     """
     blocks = max(1, -(-clustered.count() // block_rows))
-    # Few bytes but much arithmetic: spread by key, which the sums per point then reuse.
-    tasks = int(clustered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    clustered = clustered.repartition(tasks, *KEY)
+    # By key, which the sums per point then reuse.
+    clustered = spread(clustered, *KEY)
     home = F.pmod(F.xxhash64(*KEY), F.lit(blocks)).cast("int")
     point = F.array(*columns)
     packed = clustered.groupBy(home.alias("block"), "cluster").agg(

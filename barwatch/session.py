@@ -41,3 +41,12 @@ def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Data
     """
     rows = table.limit(max_rows + 1).count()
     return F.broadcast(table) if rows <= max_rows else table
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Over all shuffle partitions, for steps with few bytes and much arithmetic per row.
+
+    Adaptive execution sizes partitions by bytes and would run such a step in one task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys)
