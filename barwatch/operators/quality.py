@@ -15,6 +15,7 @@ from barwatch.config import (
 from barwatch.sources.bars_csv import require_columns
 
 BAR_COLUMNS = ["date", "ticker", *PRICE_COLUMNS, "volume"]
+POSITION_BLOCK = 1 << 20
 REASONS = [REASON_VOLUME, REASON_HIGH, REASON_LOW]
 
 
@@ -107,11 +108,18 @@ def reason_counts(bars: DataFrame) -> DataFrame:
     return issues(bars).groupBy("ticker", "reason").count()
 
 
-def validate(bars: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def validate(
+    bars: DataFrame,
+    strict: bool = False,
+    position: str | None = None,
+    block: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Check structure, then prices and volumes; returns the bars and their issue log.
 
     Raises ValueError for missing columns, no rows or duplicate keys, and with ``strict`` also for
     any broken rule (all rules are counted in one job, the first in check order is reported).
+    Order is not a property of a DataFrame; it is checked if the bars carry an ingest ``position``
+    (see ``out_of_order``, also for ``block``).
     """
     require_columns(bars, BAR_COLUMNS)
     if bars.isEmpty():
@@ -120,6 +128,12 @@ def validate(bars: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFram
     if repeated:
         keys = sorted({(r["ticker"], str(r["date"])) for r in repeated})
         raise ValueError(f"duplicate dates, e.g. {keys}")
+    if position is not None:
+        runs = block if block is not None else F.floor(F.col(position) / POSITION_BLOCK)
+        late = out_of_order(bars, position, runs).limit(10).collect()
+        if late:
+            keys = sorted({(r["ticker"], str(r["date"])) for r in late})
+            raise ValueError(f"dates not in ascending order, e.g. {keys}")
     if strict:
         require_sane(bars)
     return bars, issues(bars)

@@ -15,16 +15,16 @@ BROADCAST_ROWS = 200_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without a checkpoint folder gets a temporary one, set for its whole life.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="barwatch-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="barwatch-"))
+    return context.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from barwatch.__main__ import main
 from barwatch.config import FEATURES
 from barwatch.operators.features import compute_features
 from barwatch.operators.kmeans import kmeans_anomalies, nearest_centroid
@@ -129,3 +130,23 @@ def test_card_reads_only_the_flagged_dates(spark, served):
     text = plan(daily_card(features, rule, far, noise))
     scan = next(line for line in text.splitlines() if "FileScan" in line and "range_pct" in line)
     assert "ScalarSubquery" in scan.split("DataFilters")[1] or "subquery" in scan.lower()
+
+
+def test_commands(spark, served, tmp_path, capsys):
+    out, _ = served
+    main(["--tables", out, "walkforward"])
+    main(["--tables", out, "monthly", "--month", "2019-05"])
+    assert "No anomalies found for month 2019-05" in capsys.readouterr().out
+    main(["--tables", out, "monthly", "--month", "2020-03"])
+    assert "market_anomaly_flag" in capsys.readouterr().out
+    main(["--tables", out, "query", "--date", "2020-03-02", "--out", str(tmp_path / "day")])
+    assert "breadth" in capsys.readouterr().out
+    assert spark.read.csv(str(tmp_path / "day"), header=True).columns == [
+        "ticker", "type", "ret_z", "vol_z", "why"]
+
+
+def test_detection_from_csv_files(spark, tmp_path):
+    raw = market_bars(spark, 2).withColumnRenamed("adj_close", "Adj Close")
+    raw.write.partitionBy("ticker").csv(str(tmp_path / "bars"), header=True)
+    main(["--tables", str(tmp_path / "tables"), "detect", "--bars", str(tmp_path / "bars")])
+    assert read_table(spark, str(tmp_path / "tables" / "features")).count() > 1000
