@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -36,7 +36,7 @@ from barwatch.plans.serving import build_serving_tables, query_date, query_month
 from barwatch.session import materialize, shared_dir
 from barwatch.sources.bars_csv import read_bars
 from barwatch.sources.panel import NARROW, WIDE, read_panel
-from barwatch.sources.tables import read_table, write_table
+from barwatch.sources.tables import read_table, within, write_table
 
 # Parameters shared with the SQL of the oracle.
 SPLITS = Splits(year(1998), year(1999), Period(dt.date(2000, 1, 1), dt.date(2000, 3, 31)))
@@ -62,10 +62,19 @@ def query(build: Query) -> Query:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to 6 places, so that two engines' last bits compare equal."""
+    """Doubles to 6 places, halves away from zero, so that two engines' last bits compare equal.
+
+    Plain arithmetic: ``round`` goes through a decimal object per value and dominates big results.
+    """
+
+    def places(name: str) -> Column:
+        value = F.col(name)
+        steps = F.floor(F.abs(value) * 1e6 + 0.5) / 1e6
+        return F.when(value < 0, -steps).otherwise(steps) + 0.0
+
     return df.select(
         *[
-            F.round(f.name, 6).alias(f.name) if isinstance(f.dataType, DoubleType) else f.name
+            places(f.name).alias(f.name) if isinstance(f.dataType, DoubleType) else f.name
             for f in df.schema
         ]
     )
@@ -79,8 +88,14 @@ def _stored_features(spark: SparkSession, sf_dir: str, panel: str = WIDE) -> Dat
     return materialize(_features(spark, sf_dir, panel))
 
 
+def _split_features(spark: SparkSession, sf_dir: str, panel: str = WIDE) -> DataFrame:
+    """Stored features of all dates the splits cover; their windows reach back before that."""
+    found = _features(spark, sf_dir, panel)
+    return materialize(within(found, SPLITS.train.first, SPLITS.test.last))
+
+
 def _points(spark: SparkSession, sf_dir: str, panel: str = WIDE) -> DataFrame:
-    return scaled_points(_stored_features(spark, sf_dir, panel), SPLITS)
+    return scaled_points(_split_features(spark, sf_dir, panel), SPLITS)
 
 
 def _stored_points(spark: SparkSession, sf_dir: str, panel: str = WIDE) -> DataFrame:
@@ -349,13 +364,13 @@ def k_distances(spark, sf_dir):
 
 @query
 def daily_card(spark, sf_dir):
-    features = _stored_features(spark, sf_dir)
+    features = _split_features(spark, sf_dir)
     return reporting.daily_card(features, **_detectors(features))
 
 
 @query
 def daily_card_narrow(spark, sf_dir):
-    features = _stored_features(spark, sf_dir, NARROW)
+    features = _split_features(spark, sf_dir, NARROW)
     return reporting.daily_card(features, **_detectors(features))
 
 
@@ -398,7 +413,7 @@ def month_query(spark, sf_dir):
 
 @query
 def consensus_flags(spark, sf_dir):
-    found = _detectors(_stored_features(spark, sf_dir), "val")
+    found = _detectors(_split_features(spark, sf_dir), "val")
     return consensus(found["kmeans"], found["dbscan"])
 
 
@@ -425,7 +440,7 @@ def anomaly_rate(spark, sf_dir):
 
 @query
 def overlap_dates(spark, sf_dir):
-    features = _stored_features(spark, sf_dir)
+    features = _split_features(spark, sf_dir)
     points = materialize(scaled_points(features, SPLITS))
     rule = evaluation.in_period(rule_anomalies(features), SPLITS.val)
     return evaluation.overlap_dates(rule, kmeans_split_anomalies(points, "val", CENTROIDS))
@@ -449,7 +464,7 @@ def anomaly_summary(spark, sf_dir):
 @query
 def split_overlap(spark, sf_dir):
     """Dates per detector and dates of both, for the validation and the test split."""
-    features = _stored_features(spark, sf_dir)
+    features = _split_features(spark, sf_dir)
     points = materialize(scaled_points(features, SPLITS))
     parts = {"rule": [], "kmeans": []}
     for split in ("val", "test"):
@@ -465,17 +480,17 @@ def split_overlap(spark, sf_dir):
 
 @query
 def three_way_overlap(spark, sf_dir):
-    return evaluation.detector_dates(_detectors(_stored_features(spark, sf_dir)))
+    return evaluation.detector_dates(_detectors(_split_features(spark, sf_dir)))
 
 
 @query
 def detector_daily_counts(spark, sf_dir):
-    return evaluation.detector_daily_counts(_detectors(_stored_features(spark, sf_dir)))
+    return evaluation.detector_daily_counts(_detectors(_split_features(spark, sf_dir)))
 
 
 @query
 def flag_rates(spark, sf_dir):
-    features = _stored_features(spark, sf_dir)
+    features = _split_features(spark, sf_dir)
     scored = scaled_points(features, SPLITS).filter("split = 'test'")
     return evaluation.point_flag_rates(_detectors(features), scored)
 

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from barwatch.config import HISTOGRAM_BINS, KEY, Period
 from barwatch.sources.bars_csv import require_columns
+from barwatch.sources.tables import within
 
 ANOMALY_COLUMNS = [*KEY, "anomaly_flag"]
 
 
 def in_period(df: DataFrame, period: Period) -> DataFrame:
-    return df.filter(F.col("date").between(period.first, period.last))
+    return within(df, period.first, period.last)
 
 
 def of_ticker(df: DataFrame, ticker: str) -> DataFrame:

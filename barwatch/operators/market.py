@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.config import STRESS_FLAG_RATE, Period
+from barwatch.sources.tables import within
 
 
 def universe_size(features: DataFrame) -> Column:
@@ -48,7 +49,7 @@ def market_day_table(
 def anomaly_mean_return(anomalies: DataFrame, period: Period) -> DataFrame:
     """date, r_mkt: mean return over the flagged rows only."""
     return (
-        anomalies.filter(F.col("date").between(period.first, period.last))
+        within(anomalies, period.first, period.last)
         .groupBy("date")
         .agg(F.avg("ret").alias("r_mkt"))
     )
@@ -56,7 +57,7 @@ def anomaly_mean_return(anomalies: DataFrame, period: Period) -> DataFrame:
 
 def period_breadth(features: DataFrame, period: Period) -> DataFrame:
     return (
-        features.filter(F.col("date").between(period.first, period.last))
+        within(features, period.first, period.last)
         .groupBy("date")
         .agg(breadth_of().alias("breadth"))
     )

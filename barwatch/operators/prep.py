@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.config import FEATURES, KEY, Splits
+from barwatch.sources.tables import within
 
 
 def feature_points(features: DataFrame) -> DataFrame:
@@ -59,5 +60,9 @@ def scale_features(points: DataFrame, columns: list[str] = FEATURES) -> DataFram
 
 
 def scaled_points(features: DataFrame, splits: Splits = Splits()) -> DataFrame:
-    """date, ticker, ret, scaled features and split."""
+    """date, ticker, ret, scaled features and split, from the dates the splits cover."""
+    periods = [period for _, period in splits.items()]
+    features = within(
+        features, min(p.first for p in periods), max(p.last for p in periods)
+    )
     return scale_features(split_by_date(feature_points(features), splits))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.config import FEATURES, KEY
-from barwatch.sources.tables import MONTH
+from barwatch.sources.tables import within
 
 
 def _text_ticker(df: DataFrame) -> DataFrame:
@@ -27,8 +27,7 @@ def daily_card(
     features, rule, kmeans, dbscan = map(_text_ticker, (features, rule, kmeans, dbscan))
     base = rule.select(*KEY, "anomaly_flag", "type", "why")
     first, last = rule.agg(F.min("date")).scalar(), rule.agg(F.max("date")).scalar()
-    needed = features.filter((F.col("date") >= first) & (F.col("date") <= last))
-    card = base.join(needed.select(*KEY, "ret", *FEATURES), KEY, "left")
+    card = base.join(within(features, first, last).select(*KEY, "ret", *FEATURES), KEY, "left")
     if "distance" in kmeans.columns:
         card = card.join(kmeans.select(*KEY, "distance"), KEY, "left")
     noise = dbscan.select(*KEY, F.lit(1).alias("dbscan_flag"))
@@ -38,29 +37,18 @@ def daily_card(
 
 
 def _in_month(df: DataFrame, first: dt.date) -> DataFrame:
-    """Rows of the month as a date range, plus the partition column where the table has one."""
     last = (first.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
-    df = df.filter(F.col("date").between(first, last))
-    if MONTH in df.columns:
-        df = df.filter(F.col(MONTH) == first.strftime("%Y-%m"))
-    return df
-
-
-def _on_date(df: DataFrame, date: dt.date) -> DataFrame:
-    df = df.filter(F.col("date") == date)
-    if MONTH in df.columns:
-        df = df.filter(F.col(MONTH) == date.strftime("%Y-%m"))
-    return df
+    return within(df, first, last)
 
 
 def market_on_date(market: DataFrame, date: dt.date) -> DataFrame:
-    return _on_date(market, date).select(
+    return within(market, date, date).select(
         "date", "market_ret", "breadth", "flag_rate", "market_anomaly_flag"
     )
 
 
 def anomalies_on_date(card: DataFrame, date: dt.date) -> DataFrame:
-    return _on_date(card, date).select("ticker", "type", "ret_z", "vol_z", "why")
+    return within(card, date, date).select("ticker", "type", "ret_z", "vol_z", "why")
 
 
 def monthly_report(card: DataFrame, market: DataFrame, month: str) -> DataFrame:

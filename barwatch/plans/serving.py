@@ -15,7 +15,7 @@ from barwatch.operators.reporting import (
     monthly_report,
 )
 from barwatch.plans.detect import DBSCAN_TABLE, FEATURES_TABLE, KMEANS_TABLE, RULE_TABLE
-from barwatch.sources.tables import MONTH, read_table, write_table
+from barwatch.sources.tables import read_table, write_table
 
 # Names of the stored tables.
 CARD_TABLE = "daily_anomaly_card"
@@ -31,7 +31,7 @@ def build_serving_tables(
     """
 
     def stored(name: str) -> DataFrame:
-        return read_table(spark, f"{tables_dir}/{name}").drop(MONTH)
+        return read_table(spark, f"{tables_dir}/{name}")
 
     features = stored(FEATURES_TABLE)
     card = daily_card(features, stored(RULE_TABLE), stored(KMEANS_TABLE), stored(DBSCAN_TABLE))

@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 MONTH = "month"
 
 
-def month_of(date: str | F.Column) -> F.Column:
+def month_of(date: str | Column) -> Column:
     return F.date_format(date, "yyyy-MM")
 
 
+def within(df: DataFrame, first: dt.date | Column, last: dt.date | Column) -> DataFrame:
+    """Rows dated from ``first`` to ``last``, both included; dates or scalar columns.
+
+    A table stored by month is also filtered by that column, so whole folders are skipped.
+    """
+    rows = df.filter((F.col("date") >= first) & (F.col("date") <= last))
+    if MONTH in df.columns:
+        low, high = month_of(F.lit(first)), month_of(F.lit(last))
+        rows = rows.filter((F.col(MONTH) >= low) & (F.col(MONTH) <= high))
+    return rows
+
+
 def write_table(df: DataFrame, path: str, by_month: bool = True, fmt: str = "parquet") -> None:
     """Replace the table at ``path``; with ``by_month`` one folder per month of ``date``.
 

@@ -121,15 +121,17 @@ def test_no_cross_joins_and_no_python_in_the_plans(spark):
     assert points.columns == ["date", "ticker", "ret", *FEATURES, "split"]
 
 
-def test_card_reads_only_the_flagged_dates(spark, served):
+def test_card_and_points_skip_other_months(spark, served):
     out, _ = served
-    features = read_table(spark, f"{out}/features").drop("month")
-    rule = read_table(spark, f"{out}/anomalies_rule_test")
-    far = read_table(spark, f"{out}/anomalies_kmeans_test")
-    noise = read_table(spark, f"{out}/anomalies_dbscan_test")
-    text = plan(daily_card(features, rule, far, noise))
-    scan = next(line for line in text.splitlines() if "FileScan" in line and "range_pct" in line)
-    assert "ScalarSubquery" in scan.split("DataFilters")[1] or "subquery" in scan.lower()
+    features, rule, far, noise = (
+        read_table(spark, f"{out}/{name}")
+        for name in ("features", "anomalies_rule_test", "anomalies_kmeans_test", "anomalies_dbscan_test")
+    )
+    for df in (daily_card(features, rule, far, noise), scaled_points(features)):
+        scans = [line for line in plan(df).splitlines() if "FileScan" in line and "range_pct" in line]
+        assert scans and all(
+            "month" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans
+        )
 
 
 def test_commands(spark, served, tmp_path, capsys):
