@@ -8,10 +8,11 @@ equal points are counted once, a box is small, and the boxes around it are few.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwatch.config import FEATURES, KEY, DensityParams
@@ -50,14 +51,10 @@ def k_distance(
     distinct = materialize(known.groupBy(*columns).agg(F.count("*").alias("weight")))
     leaves = _leaves(distinct, cell, box_points)
     levels = [r[0] for r in leaves.select("level").distinct().collect()]
+    places = [F.struct(F.lit(v).alias("level"), cell(v).alias("cell")) for v in levels]
     at = F.struct(*columns, "weight")
     packed = materialize(
-        distinct.withColumn(
-            "place",
-            F.explode(
-                F.array(*[F.struct(F.lit(v).alias("level"), cell(v).alias("cell")) for v in levels])
-            ),
-        )
+        distinct.withColumn("place", F.explode(F.array(*places)))
         .select(*columns, "weight", "place.level", "place.cell")
         .join(broadcast_if_small(leaves), ["level", "cell"])
         .groupBy("level", "cell")
@@ -67,7 +64,6 @@ def k_distance(
             box_of(columns).alias("box"),
         )
     )
-    near = _near_boxes(packed.drop("members"), k, columns)
 
     # Equal points stand for themselves as often as they can matter, which is k times.
     copies = F.flatten(
@@ -78,8 +74,25 @@ def k_distance(
             ),
         )
     )
+    packed = packed.withColumn("copies", copies)
+
+    def kth(me: Column, around: str, bound: Column) -> Column:
+        """Squared distance to the k-th of the points around, if that is within the bound."""
+        squared = F.transform(
+            around, lambda m: F.coalesce(squared_distance(me, m, columns), F.lit(float("inf")))
+        )
+        return F.get(F.sort_array(F.filter(squared, lambda d: d <= bound)), F.lit(k - 1))
+
+    infinite = F.lit(float("inf"))
+    inside = F.array_max(F.transform("members", lambda me: kth(me, "copies", infinite)))
+    boxes = materialize(
+        spread(packed, "level", "cell").select(
+            "level", "cell", "weight", "box", F.when(F.col("weight") >= k, inside).alias("inside")
+        )
+    )
+    near = _near_boxes(boxes, k, extent, columns)
     others = packed.select(
-        F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), copies.alias("copies")
+        F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), "copies"
     )
     candidates = (
         spread(near.join(others, ["b_level", "b_cell"]), "level", "cell")
@@ -87,25 +100,29 @@ def k_distance(
         .agg(F.flatten(F.collect_list("copies")).alias("around"))
     )
 
-    def squared(m: Column) -> Column:
-        return F.coalesce(squared_distance(F.col("me"), m, columns), F.lit(float("inf")))
-
-    nearest = F.sort_array(
-        F.filter(F.transform("around", squared), lambda d: d <= F.col("bound"))
-    )
     measured = materialize(
         candidates.join(packed.select("level", "cell", "members"), ["level", "cell"])
         .withColumn("me", F.explode("members"))
         .select(
             *[F.col(f"me.{c}").alias(c) for c in columns],
-            F.sqrt(nearest[k - 1]).alias("k_distance"),
+            F.sqrt(kth(F.col("me"), "around", F.col("bound"))).alias("k_distance"),
         )
     )
     return known.join(measured, columns).select(*KEY, "k_distance").orderBy("k_distance", *KEY)
 
 
-def _leaves(distinct: DataFrame, cell, box_points: int) -> DataFrame:
-    """(level, cell) of the largest boxes with at most ``box_points`` distinct points."""
+def _leaves(
+    distinct: DataFrame, cell: Callable[[int], Column], box_points: int
+) -> DataFrame:
+    """(level, cell) of the largest boxes with at most ``box_points`` distinct points.
+
+    Every pass counts the points of still crowded boxes a few levels further down and adds up those
+    counts per coarser box, at most some hundred rows each.
+    """
+
+    def coarser(factor: int) -> Column:
+        return F.transform("cell", lambda x: F.floor(x / factor))
+
     done = []
     crowded = None
     base = 0
@@ -116,37 +133,28 @@ def _leaves(distinct: DataFrame, cell, box_points: int) -> DataFrame:
             rest = distinct.withColumn("cell", cell(base)).join(
                 broadcast_if_small(crowded), "cell", "left_semi"
             )
-        counts = materialize(rest.groupBy(cell(fine).alias("cell")).agg(F.count("*").alias("n")))
-        open_cells = None
-        for level in range(base if base == 0 else base + 1, fine + 1):
-            up = 2 ** (fine - level)
-            here = F.transform("cell", lambda x: F.floor(x / up))
-            grouped = counts.groupBy(here.alias("cell")).agg(F.sum("n").alias("n"))
-            if open_cells is not None:
-                parents = open_cells.select(F.col("cell").alias("parent"))
-                grouped = (
-                    grouped.withColumn("parent", F.transform("cell", lambda x: F.floor(x / 2)))
-                    .join(parents, "parent", "left_semi")
-                    .drop("parent")
-                )
-            grouped = materialize(grouped)
-            small = F.col("n") <= box_points
-            if level == LAST_LEVEL:
-                small = F.lit(True)
-            done.append(grouped.filter(small).select(F.lit(level).alias("level"), "cell"))
-            open_cells = grouped.filter(~small).select("cell")
-        crowded = materialize(open_cells)
+        counts = rest.groupBy(cell(fine).alias("cell")).agg(F.count("*").alias("n"))
+        here = F.lit(None)
+        for level in range(fine, base if base else -1, -1):
+            above = coarser(2 ** (fine - level))
+            total = F.sum("n").over(Window.partitionBy(above)) if level < fine else F.col("n")
+            place = F.struct(F.lit(level).alias("level"), above.alias("cell"))
+            fits = F.lit(True) if level >= LAST_LEVEL else total <= box_points
+            here = F.when(fits, place).otherwise(here)
+        counted = materialize(counts.select("cell", here.alias("leaf")))
+        done.append(counted.filter("leaf is not null").select("leaf.level", "leaf.cell").distinct())
+        crowded = counted.filter("leaf is null").select("cell")
         if crowded.isEmpty():
             return materialize(reduce(DataFrame.unionByName, done))
         base = fine
 
 
-def _near_boxes(boxes: DataFrame, k: int, columns: list[str]) -> DataFrame:
+def _near_boxes(boxes: DataFrame, k: int, extent: float, columns: list[str]) -> DataFrame:
     """(level, cell, bound, b_level, b_cell): boxes that can hold one of the k nearest of a box.
 
-    ``bound`` is a squared distance no k-distance of the box exceeds. It starts as the diagonal of
-    the box, or of its parent if the box has fewer than k points, and shrinks to the farthest corner
-    of the closest box with k points.
+    ``bound`` is a squared distance no k-distance of the box exceeds. It starts as the largest one
+    ``inside`` the box, or the diagonal of its parent if the box has fewer than k points, and shrinks
+    to the farthest corner of the closest box with k points.
     """
     dimensions = len(columns)
     sides = [f"{c}_{end}" for c in columns for end in ("low", "high")]
@@ -160,6 +168,7 @@ def _near_boxes(boxes: DataFrame, k: int, columns: list[str]) -> DataFrame:
         "cell",
         "weight",
         "box",
+        "inside",
         F.greatest(F.col("level") - 1, F.lit(0)).alias("up_level"),
         F.when(F.col("level") > 0, parent).otherwise(F.col("cell")).alias("up_cell"),
     )
@@ -179,20 +188,20 @@ def _near_boxes(boxes: DataFrame, k: int, columns: list[str]) -> DataFrame:
     )
     own, over = F.col("box"), F.col("up_box")
     enough = F.col("weight") >= k
+    # The finest level, not below the box, whose cells are wider than the bound (with a margin for
+    # the rounding of cell borders): there the bound reaches into adjacent cells only.
+    covering = F.floor(F.log2(F.lit(extent) / (F.sqrt("bound") * 1.02)))
+    at = F.when(F.col("bound") > 0, F.greatest(F.least(F.col("level"), covering), F.lit(0)))
     searching = materialize(
-        above.join(parent_box, ["up_level", "up_cell"]).select(
-            "level",
-            "cell",
-            "box",
-            F.when(enough, reach_squared(own, own, columns))
-            .otherwise(reach_squared(over, over, columns))
-            .alias("bound"),
-            F.greatest(F.col("level") - F.when(enough, 1).otherwise(2), F.lit(0)).alias("at"),
+        above.join(parent_box, ["up_level", "up_cell"])
+        .withColumn("bound", F.coalesce("inside", reach_squared(over, over, columns)))
+        .select(
+            "level", "cell", "box", "bound", F.coalesce(at, F.col("level")).cast("int").alias("at")
         )
     )
 
-    # A box looks into the cells around it at a level where one step covers the bound. It meets
-    # finer boxes under those cells, and coarser boxes that contain them.
+    # A box looks into the cells around it at that level. It meets finer boxes under those cells,
+    # and coarser boxes that contain them.
     steps = F.array(
         *[
             F.array(*[F.lit(x).cast("bigint") for x in step])
