@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barwatch.plans.detect import run_detection
 from barwatch.plans.serving import build_serving_tables, query_date, query_month
+from barwatch.session import drop_intermediate
 from barwatch.sources.bars_csv import read_bars
 
 
@@ -41,6 +42,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"barwatch {chosen.command}").getOrCreate()
     if chosen.command == "detect":
         run_detection(read_bars(spark, chosen.bars), chosen.tables)
+        drop_intermediate(spark)
     elif chosen.command == "walkforward":
         build_serving_tables(spark, chosen.tables)
     elif chosen.command == "query":

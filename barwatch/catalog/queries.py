@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +32,7 @@ from barwatch.plans.detect import (
     kmeans_split_anomalies,
 )
 from barwatch.plans.serving import build_serving_tables, query_date, query_month
-from barwatch.session import materialize, shared_dir
+from barwatch.session import materialize, new_folder
 from barwatch.sources.bars_csv import read_bars
 from barwatch.sources.panel import NARROW, WIDE, read_panel
 from barwatch.sources.tables import read_table, within, write_table
@@ -149,7 +148,7 @@ def bars_narrow(spark, sf_dir):
 @query
 def csv_bars(spark, sf_dir):
     """Bars written as CSV, one folder per ticker, and loaded again by the CSV source."""
-    path = f"{shared_dir(spark)}/barwatch/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     raw = read_panel(spark, sf_dir, NARROW).withColumnRenamed("adj_close", "Adj Close")
     raw.hint("rebalance", "ticker").write.partitionBy("ticker").csv(path, header=True)
     return read_bars(spark, path)
@@ -158,7 +157,7 @@ def csv_bars(spark, sf_dir):
 @query
 def stored_month(spark, sf_dir):
     """One month of the features table as stored by month."""
-    path = f"{shared_dir(spark)}/barwatch/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     write_table(_features(spark, sf_dir), path)
     return read_table(spark, path).filter(F.col("month") == MONTH)
 
@@ -382,7 +381,7 @@ def market_days(spark, sf_dir):
 
 def _served(spark: SparkSession, sf_dir: str) -> str:
     """Folder with detection results on the test split and the serving tables built from them."""
-    out = f"{shared_dir(spark)}/barwatch/{uuid.uuid4().hex}"
+    out = new_folder(spark)
     features = _stored_features(spark, sf_dir)
     found = _detectors(features)
     write_table(features, f"{out}/{FEATURES_TABLE}")

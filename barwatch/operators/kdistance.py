@@ -172,7 +172,7 @@ def _near_boxes(boxes: DataFrame, k: int, extent: float, columns: list[str]) ->
         F.greatest(F.col("level") - 1, F.lit(0)).alias("up_level"),
         F.when(F.col("level") > 0, parent).otherwise(F.col("cell")).alias("up_cell"),
     )
-    wanted = above.select("up_level", "up_cell").distinct()
+    wanted = above.filter("inside is null").select("up_level", "up_cell").distinct()
     ancestors = boxes.select(
         F.explode(F.sequence(F.lit(0), F.col("level"))).alias("up_level"), "level", "cell", "box"
     ).withColumn("up_cell", up(F.col("cell"), F.col("level") - F.col("up_level")))
@@ -193,7 +193,7 @@ def _near_boxes(boxes: DataFrame, k: int, extent: float, columns: list[str]) ->
     covering = F.floor(F.log2(F.lit(extent) / (F.sqrt("bound") * 1.02)))
     at = F.when(F.col("bound") > 0, F.greatest(F.least(F.col("level"), covering), F.lit(0)))
     searching = materialize(
-        above.join(parent_box, ["up_level", "up_cell"])
+        above.join(parent_box, ["up_level", "up_cell"], "left")
         .withColumn("bound", F.coalesce("inside", reach_squared(over, over, columns)))
         .select(
             "level", "cell", "box", "bound", F.coalesce(at, F.col("level")).cast("int").alias("at")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-"""Rows up to which a measured side is broadcast (tens of bytes per row: about 10 MB)."""
+"""Rows up to which a counted side is broadcast (at most some 200 bytes each: 40 MB)."""
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,9 +27,25 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/barwatch/{spark.sparkContext.applicationId}"
+
+
+def new_folder(spark: SparkSession) -> str:
+    """Path of a folder that does not exist yet."""
+    return f"{own_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder; call it when a job is done."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/barwatch/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,6 +1,7 @@
 """Whole jobs and the shape of their plans."""
 
 import datetime as dt
+import os
 
 import numpy as np
 import pytest
@@ -16,6 +17,7 @@ from barwatch.operators.reporting import daily_card
 from barwatch.operators.rules import rule_anomalies
 from barwatch.plans.detect import run_detection
 from barwatch.plans.serving import build_serving_tables, query_date, query_month
+from barwatch.session import drop_intermediate, materialize, own_folder, shared_dir
 from barwatch.sources.panel import bars_from_lineitem
 from barwatch.sources.tables import read_table, write_table
 from helpers import bars
@@ -147,6 +149,34 @@ def test_commands(spark, served, tmp_path, capsys):
         "ticker", "type", "ret_z", "vol_z", "why"]
 
 
+def test_intermediate_tables_can_be_dropped(spark):
+    kept = spark.range(3).select(F.col("id").alias("v"))
+    table = materialize(kept)
+    assert table.count() == 3
+    folder = own_folder(spark).removeprefix("file:")
+    assert os.path.isdir(folder) and spark.sparkContext.applicationId in folder
+    drop_intermediate(spark)
+    assert not os.path.exists(folder)
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_detection_from_csv_files(spark, tmp_path):
     raw = market_bars(spark, 2).withColumnRenamed("adj_close", "Adj Close")
     raw.write.partitionBy("ticker").csv(str(tmp_path / "bars"), header=True)
