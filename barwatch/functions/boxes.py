@@ -7,6 +7,7 @@ Points are structs with one field per coordinate; boxes are structs with fields
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,6 +25,13 @@ def box_of(columns: list[str]) -> Column:
     return F.struct(*sides)
 
 
+def cell_steps(reach: int, dimensions: int) -> Column:
+    """Array of all integer steps of at most ``reach`` per axis."""
+    axis = range(-reach, reach + 1)
+    steps = (", ".join(f"{x}L" for x in step) for step in product(axis, repeat=dimensions))
+    return F.expr("array(" + ", ".join(f"array({step})" for step in steps) + ")")
+
+
 def squared_distance(a: Column, b: Column, columns: list[str]) -> Column:
     return _sum_of_squares([a[c] - b[c] for c in columns])
 

@@ -18,7 +18,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from barwatch.config import FEATURES, KEY, DensityParams
 from barwatch.functions.boxes import (
     box_of,
+    cell_steps,
     farthest_squared,
     gap_squared,
     nearest_squared,
@@ -55,9 +55,7 @@ def _cell(columns: list[str], side: float) -> Column:
 
 def _around(dimensions: int) -> Column:
     """Offsets of all cells that can hold a neighbour, the own cell included."""
-    reach = math.ceil(math.sqrt(dimensions))
-    steps = product(range(-reach, reach + 1), repeat=dimensions)
-    return F.array(*[F.array(*[F.lit(x).cast("bigint") for x in step]) for step in steps])
+    return cell_steps(math.ceil(math.sqrt(dimensions)), dimensions)
 
 
 def neighbourhoods(

@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwatch.config import FEATURES, KEY, DensityParams
-from barwatch.functions.boxes import box_of, gap_squared, reach_squared, squared_distance
+from barwatch.functions.boxes import box_of, cell_steps, gap_squared, reach_squared, squared_distance
 from barwatch.session import broadcast_if_small, materialize, spread
 
 BOX_POINTS = 32
@@ -156,7 +155,6 @@ def _near_boxes(boxes: DataFrame, k: int, extent: float, columns: list[str]) ->
     ``inside`` the box, or the diagonal of its parent if the box has fewer than k points, and shrinks
     to the farthest corner of the closest box with k points.
     """
-    dimensions = len(columns)
     sides = [f"{c}_{end}" for c in columns for end in ("low", "high")]
 
     def up(cells: Column, steps: Column) -> Column:
@@ -202,16 +200,10 @@ def _near_boxes(boxes: DataFrame, k: int, extent: float, columns: list[str]) ->
 
     # A box looks into the cells around it at that level. It meets finer boxes under those cells,
     # and coarser boxes that contain them.
-    steps = F.array(
-        *[
-            F.array(*[F.lit(x).cast("bigint") for x in step])
-            for step in product((-1, 0, 1), repeat=dimensions)
-        ]
-    )
     looked = (
         spread(searching, "level", "cell")
         .withColumn("home", up(F.col("cell"), F.col("level") - F.col("at")))
-        .withColumn("step", F.explode(steps))
+        .withColumn("step", F.explode(cell_steps(1, len(columns))))
         .withColumn("seen", F.zip_with("home", "step", lambda x, y: x + y))
     )
     finer = ancestors.join(
