@@ -33,7 +33,7 @@ from barwatch.functions.boxes import (
     squared_distance,
 )
 from barwatch.functions.components import components, numbered
-from barwatch.session import broadcast_if_small, materialize, spread
+from barwatch.session import broadcast_if_small, is_small, materialize, spread
 
 NOISE = -1
 
@@ -93,7 +93,7 @@ def neighbourhoods(
     asked = to_dense.filter(~inside).select(*[F.col(k).alias(f"of_{k}") for k in KEY], "at", "cell")
     counted = (
         placed.select(here.alias("member"), "cell")
-        .join(broadcast_if_small(materialize(asked)), "cell")
+        .join(broadcast_if_small(asked), "cell")
         .filter(squared_distance(F.col("at"), F.col("member"), columns) <= limit)
         .groupBy(*[f"of_{k}" for k in KEY], "cell")
         .agg(F.count("*").alias("hits"))
@@ -146,13 +146,15 @@ def dbscan_anomalies(
     points: DataFrame, params: DensityParams = DensityParams(), columns: list[str] = FEATURES
 ) -> DataFrame:
     """Noise among ``points``: date, ticker, ret, anomaly_flag, cluster (-1)."""
-    noise = noise_keys(neighbourhoods(points, params, columns))
-    return as_anomalies(points, noise)
+    return _as_anomalies(points, neighbourhoods(points, params, columns))
 
 
-def as_anomalies(points: DataFrame, noise: DataFrame) -> DataFrame:
-    """Rows of ``points`` whose key is in ``noise``, in the shape of an anomaly table."""
-    return points.join(broadcast_if_small(materialize(noise)), KEY, "left_semi").select(
+def _as_anomalies(points: DataFrame, found: Neighbourhoods) -> DataFrame:
+    """Those of ``points`` that are noise, in the shape of an anomaly table."""
+    noise = noise_keys(found)
+    if is_small(found.sparse):  # which the noise is a part of
+        noise = F.broadcast(noise)
+    return points.join(noise, KEY, "left_semi").select(
         *KEY, "ret", F.lit(1).alias("anomaly_flag"), F.lit(NOISE).alias("cluster")
     )
 
@@ -170,8 +172,8 @@ def expanding_refit(
     """
     window = order[: order.index(target) + 1]
     known = points.filter(F.col("split").isin(list(window)))
-    noise = noise_keys(neighbourhoods(known, params, columns))
-    return as_anomalies(points.filter(F.col("split") == target), noise)
+    found = neighbourhoods(known, params, columns)
+    return _as_anomalies(points.filter(F.col("split") == target), found)
 
 
 def noise_rate(points: DataFrame, noise: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 Space is halved per axis until no box holds more than a few distinct points, so boxes follow the data
 however dense it is. All work up to the last step is between boxes: a bound on the distance holds for
 all points of a box, and only boxes within that bound are looked into. No group grows with the data:
-equal points are counted once, a box is small, and the boxes around it are few.
+equal points are counted once, a box is small, and the boxes around it are few or handled row by row.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from barwatch.functions.boxes import box_of, cell_steps, gap_squared, reach_squa
 from barwatch.session import broadcast_if_small, materialize, spread
 
 BOX_POINTS = 32
+MANY_BOXES = 2048
 LEVELS_PER_PASS = 3
 LAST_LEVEL = 45
 
@@ -28,6 +29,7 @@ def k_distance(
     k: int = DensityParams().min_samples,
     columns: list[str] = FEATURES,
     box_points: int = BOX_POINTS,
+    many_boxes: int = MANY_BOXES,
 ) -> DataFrame:
     """date, ticker, k_distance, ordered by distance."""
     box_points = max(box_points, k)
@@ -89,24 +91,43 @@ def k_distance(
             "level", "cell", "weight", "box", F.when(F.col("weight") >= k, inside).alias("inside")
         )
     )
-    near = _near_boxes(boxes, k, extent, columns)
+    near = materialize(_near_boxes(boxes, k, extent, columns))
+    members = packed.select("level", "cell", F.explode("members").alias("me"))
     others = packed.select(
         F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), "copies"
     )
-    candidates = (
-        spread(near.join(others, ["b_level", "b_cell"]), "level", "cell")
+    mine = [F.col(f"me.{c}").alias(c) for c in columns]
+
+    # Usual boxes: the points around are few and go into one array per box.
+    crowded = near.groupBy("level", "cell").count().filter(F.col("count") > many_boxes)
+    crowded = materialize(crowded.select("level", "cell"))
+    usual = near.join(broadcast_if_small(crowded), ["level", "cell"], "left_anti")
+    measured = (
+        spread(usual.join(others, ["b_level", "b_cell"]), "level", "cell")
         .groupBy("level", "cell", "bound")
         .agg(F.flatten(F.collect_list("copies")).alias("around"))
+        .join(members, ["level", "cell"])
+        .select(*mine, F.sqrt(kth(F.col("me"), "around", F.col("bound"))).alias("k_distance"))
     )
-
-    measured = materialize(
-        candidates.join(packed.select("level", "cell", "members"), ["level", "cell"])
-        .withColumn("me", F.explode("members"))
-        .select(
-            *[F.col(f"me.{c}").alias(c) for c in columns],
-            F.sqrt(kth(F.col("me"), "around", F.col("bound"))).alias("k_distance"),
+    if not crowded.isEmpty():
+        # Outliers facing many boxes at the same distance: the neighbours stay rows, of which every
+        # task keeps the k nearest per point before they are shuffled.
+        facing = near.join(broadcast_if_small(crowded), ["level", "cell"], "left_semi")
+        nearest = Window.partitionBy(*columns).orderBy("d")
+        ranked = (
+            facing.join(others, ["b_level", "b_cell"])
+            .join(members, ["level", "cell"])
+            .withColumn("other", F.explode("copies"))
+            .withColumn("d", squared_distance(F.col("me"), F.col("other"), columns))
+            .filter(F.col("d") <= F.col("bound"))
+            .select(*mine, "d")
+            .withColumn("nth", F.row_number().over(nearest))
+            .filter(F.col("nth") <= k)
         )
-    )
+        measured = measured.unionByName(
+            ranked.filter(F.col("nth") == k).select(*columns, F.sqrt("d").alias("k_distance"))
+        )
+    measured = materialize(measured)
     return known.join(measured, columns).select(*KEY, "k_distance").orderBy("k_distance", *KEY)
 
 

@@ -50,13 +50,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored ``table`` has at most ``max_rows`` rows; counts no further."""
+    return table.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a stored ``table`` for broadcasting if it has at most ``max_rows`` rows.
 
     Beyond that the join is left to shuffle, where adaptive execution splits hot keys.
     """
-    rows = table.limit(max_rows + 1).count()
-    return F.broadcast(table) if rows <= max_rows else table
+    return F.broadcast(table) if is_small(table, max_rows) else table
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -86,6 +86,7 @@ def test_noise_and_labels_equal_the_naive_result(spark, shape):
 def test_same_result_when_nothing_may_be_broadcast(spark, monkeypatch):
     for module in (dbscan_module, kdistance_module):
         monkeypatch.setattr(module, "broadcast_if_small", lambda df, max_rows=0: df)
+    monkeypatch.setattr(dbscan_module, "is_small", lambda df, max_rows=0: False)
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -160,6 +161,19 @@ def test_k_distance_equals_brute_force(spark, shape):
     check_k_distance(spark, SHAPES[shape], 7, box_points=8)
 
 
+@pytest.mark.parametrize("many", [0, 4, 20])
+def test_k_distance_with_neighbours_as_rows(spark, many):
+    check_k_distance(spark, SHAPES["one hot place"], 7, box_points=8, many_boxes=many)
+    check_k_distance(spark, SHAPES["blobs"], 7, box_points=8, many_boxes=many)
+
+
+def test_outlier_facing_a_sphere(spark):
+    rng = np.random.default_rng(31)
+    ball = rng.normal(size=(3000, 3))
+    ball /= np.linalg.norm(ball, axis=1)[:, None]
+    check_k_distance(spark, np.concatenate([ball, [[0.0, 0, 0]]]), 7, box_points=8, many_boxes=200)
+
+
 @pytest.mark.parametrize("k", [1, 2, 7, 40])
 def test_k_distance_for_other_k(spark, k):
     check_k_distance(spark, SHAPES["blobs"], k)
