@@ -18,6 +18,9 @@ TYPE_CRASH = "crash"
 TYPE_SPIKE = "spike"
 TYPE_VOLUME = "volume_shock"
 TYPE_SEPARATOR = "+ "
+WHY_RETURN = "|ret_z| > "
+WHY_VOLUME = "vol_z > "
+WHY_RANGE = "range_pct > "
 WHY_SEPARATOR = "; "
 # End of fixed values.
 

@@ -11,7 +11,10 @@ from barwatch.config import (
     TYPE_SEPARATOR,
     TYPE_SPIKE,
     TYPE_VOLUME,
+    WHY_RANGE,
+    WHY_RETURN,
     WHY_SEPARATOR,
+    WHY_VOLUME,
     RuleParams,
 )
 
@@ -40,9 +43,9 @@ def rule_anomalies(features: DataFrame, params: RuleParams = RuleParams()) -> Da
             *FEATURES,
             F.concat_ws(
                 WHY_SEPARATOR,
-                F.when(big_move, f"|ret_z| > {float(params.ret_z)}"),
-                F.when(heavy_volume, f"vol_z > {float(params.vol_z)}"),
-                F.when(wide_range, f"range_pct > {float(params.range_pct)}"),
+                F.when(big_move, f"{WHY_RETURN}{float(params.ret_z)}"),
+                F.when(heavy_volume, f"{WHY_VOLUME}{float(params.vol_z)}"),
+                F.when(wide_range, f"{WHY_RANGE}{float(params.range_pct)}"),
             ).alias("why"),
         )
     )

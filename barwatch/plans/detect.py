@@ -63,14 +63,15 @@ def run_detection(
 ) -> dict[str, str]:
     """Check and clean ``bars``, compute features once, run the detectors on the test period.
 
-    Every table is written below ``out_dir``; returns their paths by name.
+    Every table is written below ``out_dir``; returns their paths by name. The bars are stored as a
+    columnar table first, since the checks and the features read them several times.
     """
     spark = bars.sparkSession
     paths = {
         name: f"{out_dir}/{name}"
         for name in (FEATURES_TABLE, RULE_TABLE, KMEANS_TABLE, DBSCAN_TABLE)
     }
-    cleaned, _ = quality_gate(bars)
+    cleaned, _ = quality_gate(materialize(bars))
     write_table(compute_features_measured(cleaned, params.features), paths[FEATURES_TABLE])
     features = read_table(spark, paths[FEATURES_TABLE])
 
