@@ -68,10 +68,13 @@ def neighbourhoods(
     if placed.isEmpty():
         raise ValueError("no points")
 
+    # The box settles what rounding of huge coordinates could leave open: who shares a cell is close.
+    box = F.col("box")
+    close = reach_squared(box, box, columns) <= limit
     cells = materialize(
         placed.groupBy("cell")
         .agg(F.count("*").alias("n"), box_of(columns).alias("box"))
-        .withColumn("dense", F.col("n") >= params.min_samples)
+        .withColumn("dense", (F.col("n") >= params.min_samples) & close)
     )
     sparse_cells = broadcast_if_small(cells.filter(~F.col("dense")).select("cell"))
     sparse = materialize(placed.join(sparse_cells, "cell", "left_semi"))

@@ -27,7 +27,8 @@ def build_serving_tables(
 ) -> dict[str, str]:
     """Daily card and market table from the stored detection results; returns their paths.
 
-    The card is written first and read back, since it is the anomaly source of the market table.
+    The card is written first and read back, since it is the anomaly source of the market table,
+    which has one row per day and is therefore not split by month.
     """
 
     def stored(name: str) -> DataFrame:
@@ -37,19 +38,19 @@ def build_serving_tables(
     card = daily_card(features, stored(RULE_TABLE), stored(KMEANS_TABLE), stored(DBSCAN_TABLE))
     write_table(card, f"{tables_dir}/{CARD_TABLE}")
     market = market_day_table(features, stored(CARD_TABLE), flag_thresh)
-    write_table(market, f"{tables_dir}/{MARKET_TABLE}")
+    write_table(market, f"{tables_dir}/{MARKET_TABLE}", by_month=False)
     return {name: f"{tables_dir}/{name}" for name in (CARD_TABLE, MARKET_TABLE)}
 
 
 def query_date(spark: SparkSession, tables_dir: str, date: dt.date) -> tuple[DataFrame, DataFrame]:
-    """Market row and anomalous tickers of a date; only that month's files are read."""
+    """Market row and anomalous tickers of a date; of the card only that month's files are read."""
     market = read_table(spark, f"{tables_dir}/{MARKET_TABLE}")
     card = read_table(spark, f"{tables_dir}/{CARD_TABLE}")
     return market_on_date(market, date), anomalies_on_date(card, date)
 
 
 def query_month(spark: SparkSession, tables_dir: str, month: str) -> DataFrame:
-    """Report of a month (``YYYY-MM``); only that month's files are read."""
+    """Report of a month (``YYYY-MM``); of the card only that month's files are read."""
     card = read_table(spark, f"{tables_dir}/{CARD_TABLE}")
     market = read_table(spark, f"{tables_dir}/{MARKET_TABLE}")
     return monthly_report(card, market, month)

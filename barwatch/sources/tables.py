@@ -31,10 +31,12 @@ def write_table(df: DataFrame, path: str, by_month: bool = True, fmt: str = "par
     """Replace the table at ``path``; with ``by_month`` one folder per month of ``date``.
 
     Rows are rebalanced by month first, so a month becomes a few well-sized files instead of one
-    per task, and a big month is split over several tasks.
+    per task, and a big month is split over several tasks. Inside a file rows are sorted by date, so
+    that a query for one date skips the rest of the month by the file's statistics.
     """
     if by_month:
         df = df.withColumn(MONTH, month_of("date")).hint("rebalance", MONTH)
+        df = df.sortWithinPartitions(MONTH, "date")
     writer = df.write.mode("overwrite").format(fmt)
     if by_month:
         writer = writer.partitionBy(MONTH)
