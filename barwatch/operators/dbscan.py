@@ -54,8 +54,11 @@ def _cell(columns: list[str], side: float) -> Column:
 
 
 def _around(dimensions: int) -> Column:
-    """Offsets of all cells that can hold a neighbour, the own cell included."""
-    return cell_steps(math.ceil(math.sqrt(dimensions)), dimensions)
+    """Offsets of all cells that can hold a neighbour, the own cell included.
+
+    A little more than eps over the side of a cell, as cells are a little smaller than they could be.
+    """
+    return cell_steps(math.ceil(math.sqrt(dimensions) * (1 + 1e-8)), dimensions)
 
 
 def neighbourhoods(

@@ -86,6 +86,21 @@ def test_noise_and_labels_equal_the_naive_result(spark, shape):
     assert [got[i] for i in range(len(x))] == list(want)
 
 
+@pytest.mark.parametrize("columns", [["ret_z"], ["ret_z", "vol_z"]])
+def test_fewer_dimensions(spark, columns):
+    rng = np.random.default_rng(77)
+    x = np.round(rng.normal(0, 3, (600, 3)) * 4) / 4
+    x[300:, : len(columns)] += rng.uniform(0, 20, (300, len(columns)))
+    params = DensityParams(eps=0.25, min_samples=5)
+    points = materialize(point_frame(spark, x))
+    want = naive_labels(x[:, : len(columns)], 0.25, 5)
+    got = {row_number_of(r): r["cluster"] for r in cluster_labels(points, params, columns).collect()}
+    assert [got[i] for i in range(len(x))] == list(want)
+    want_k = np.sqrt(np.sort(squares(x[:, : len(columns)]), axis=1)[:, 4])
+    got_k = {row_number_of(r): r["k_distance"] for r in k_distance(points, 5, columns).collect()}
+    np.testing.assert_array_equal([got_k[i] for i in range(len(x))], want_k)
+
+
 def test_same_result_when_nothing_may_be_broadcast(spark, monkeypatch):
     for module in (dbscan_module, kdistance_module):
         monkeypatch.setattr(module, "broadcast_if_small", lambda df, max_rows=0: df)
