@@ -41,7 +41,8 @@ def k_distance(
     ).first()
     if frame["n"] < k:
         raise ValueError(f"{frame['n']} points have no {k}-th neighbour")
-    extent = 2.0 * frame["reach"] or 1.0
+    # Wider than the points, so that a single cell of level 0 holds all of them.
+    extent = 2.125 * frame["reach"] or 1.0
 
     def cell(level: int) -> Column:
         """The box of a point; levels nest because scaling by two is exact."""

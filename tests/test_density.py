@@ -66,6 +66,8 @@ def shapes():
         [np.c_[r * np.cos(ring), r * np.sin(ring), rng.normal(0, 0.05, 500)] for r in (2, 4)]
     )
     yield "sparse", rng.uniform(-10, 10, (200, 3))
+    # Coordinates from -3 to 3: the largest lies exactly as far out as the smallest.
+    yield "symmetric", np.concatenate([np.round(rng.normal(0, 0.7, (250, 3)) * 2) / 2, [[3, 3, 3], [-3, -3, -3]]])
     yield "far away", np.concatenate(
         [rng.uniform(0, 2, (250, 3)) + 1e9, rng.uniform(0, 2, (250, 3)) - 1e12, rng.normal(0, 0.3, (50, 3))]
     )
