@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwatch.llm import exact_dedup, line_dedup, sharding
+from barwatch.llm import bpe, exact_dedup, line_dedup, sharding
 from barwatch.llm.common import read_table
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -26,6 +32,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(read_table(spark, sf_dir, "documents"), 40)
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_line_dedup, op4_exact_dedup, op6_sharding)
+    f.__name__: f for f in (op2_line_dedup, op4_exact_dedup, op6_sharding, op7_bpe)
 }
