@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwatch.llm import bpe, exact_dedup, line_dedup, sharding
+from barwatch.llm import bpe, exact_dedup, line_dedup, packing, sharding, token_files
 from barwatch.llm.common import read_table
+from barwatch.session import new_folder
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -36,6 +37,18 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, folder, tokenizer_path("word_bpe_49k.json"))
+    return token_files.with_digests(token_files.read_token_files(spark, folder))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.with_checksums(packing.pack(docs, tokenizer_path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_line_dedup, op4_exact_dedup, op6_sharding, op7_bpe)
+    f.__name__: f for f in (op2_line_dedup, op4_exact_dedup, op6_sharding, op7_bpe, op8_token_files, op10_packing)
 }
