@@ -55,6 +55,12 @@ def text_key(name: str = "text") -> Column:
     )
 
 
+def wrapped(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(_row, _id, _tk): whole rows beside their key, safe from columns of any names."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("_row"), F.col(doc_id).alias("_id"), text_key(text).alias("_tk"))
+
+
 def same_row(left: DataFrame, right: DataFrame) -> Column:
     """Join condition on ``_id`` (null equals null) and ``_tk`` (`text_key`)."""
     return left["_id"].eqNullSafe(right["_id"]) & (left["_tk"] == right["_tk"])

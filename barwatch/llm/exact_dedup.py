@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barwatch.llm.common import WHITE, whole_text
+from barwatch.llm.common import WHITE, whole_text, wrapped
 from barwatch.session import materialize
 
 
@@ -78,10 +78,9 @@ def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """The rows of ``docs``, all columns, that stay: one per content."""
     classes = materialize(exact_classes(docs, doc_id, text).filter("kept"))
     keep = classes.select(F.col("keep_id").alias("_keep"), F.col("text_sha256").alias("_sha"))
-    names = docs.columns
-    marked = docs.withColumn("_own_sha", F.sha2(content(text), 256))
-    matched = marked[doc_id].eqNullSafe(keep["_keep"]) & (marked["_own_sha"] == keep["_sha"])
-    staying = marked.join(keep.dropDuplicates(), matched, "left_semi")
+    rows = wrapped(docs, doc_id, text).withColumn("_own", F.sha2(content("_row." + text), 256))
+    matched = rows["_id"].eqNullSafe(keep["_keep"]) & (rows["_own"] == keep["_sha"])
+    staying = rows.join(keep.dropDuplicates(), matched, "left_semi")
     if not classes.groupBy("keep_id", "text_sha256").count().filter("count > 1").isEmpty():
-        staying = staying.dropDuplicates([doc_id, "_own_sha"])  # rows that repeat id and content
-    return staying.select(*names)
+        staying = staying.dropDuplicates(["_id", "_own"])  # rows that repeat id and content
+    return staying.select("_row.*")

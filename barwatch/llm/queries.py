@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwatch.llm import bpe, exact_dedup, line_dedup, packing, sharding, token_files
+from barwatch.llm import (
+    bpe,
+    exact_dedup,
+    language,
+    line_dedup,
+    near_dedup,
+    packing,
+    sharding,
+    substring_dedup,
+    token_files,
+)
 from barwatch.llm.common import read_table
 from barwatch.session import new_folder
 
@@ -25,10 +35,19 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.md5("kept_text").alias("kept_md5"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(read_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(read_table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(read_table(spark, sf_dir, "documents"), 40)
 
@@ -44,11 +63,26 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_digests(token_files.read_token_files(spark, folder))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(read_table(spark, sf_dir, "documents")).drop("_node")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.with_checksums(packing.pack(docs, tokenizer_path("byte_bpe_50k.json")))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_line_dedup, op4_exact_dedup, op6_sharding, op7_bpe, op8_token_files, op10_packing)
+    f.__name__: f
+    for f in (
+        op2_line_dedup,
+        op3_language,
+        op4_exact_dedup,
+        op5_substring_dedup,
+        op6_sharding,
+        op7_bpe,
+        op8_token_files,
+        op9_near_dedup,
+        op10_packing,
+    )
 }
