@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barwatch.llm import (
     bpe,
+    embedding_dedup,
     exact_dedup,
     language,
     line_dedup,
@@ -30,6 +31,10 @@ def tokenizer_path(name: str) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_links(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.remove_boilerplate(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.md5("kept_text").alias("kept_md5"))
@@ -75,6 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_embedding_dedup,
         op2_line_dedup,
         op3_language,
         op4_exact_dedup,
