@@ -5,9 +5,11 @@ from __future__ import annotations
 import io
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import groupby
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,13 @@ def in_python(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
     return rows.mapInArrow(function, schema)
 
 
+def grouped_rows(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows with the same first ``keys`` columns, which have to stand together."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    for key, some in groupby(rows, lambda r: r[:keys]):
+        yield key, list(some)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwatch.functions.components import components
-from barwatch.llm.common import in_python, numbered_rows
+from barwatch.llm.common import grouped_rows, in_python, numbered_rows
 from barwatch.session import materialize
 
 COSINE = 0.95
@@ -44,13 +43,6 @@ def unit(vectors: list) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Rows with the same first ``keys`` columns, which have to stand together."""
-    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-    for key, some in groupby(rows, lambda r: r[:keys]):
-        yield key, list(some)
-
-
 def nearest(similarity: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of each row's ``k`` greatest entries above its ``floor``."""
     k = min(k, similarity.shape[1])
@@ -114,7 +106,7 @@ def starting_graph(nodes: DataFrame, total: int, k: int, seed: int) -> DataFrame
     ordered = split.select(*keys, "part", "row", "vec").repartition(*keys, "part").sortWithinPartitions(*keys, "part", "row")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groups(batches, 4):
+        for _, rows in grouped_rows(batches, 4):
             for at in range(0, len(rows), 2 * LEAF):
                 some = rows[at : at + 2 * LEAF]
                 x = unit([r[5] for r in some])
@@ -156,7 +148,7 @@ def descent_round(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groups(batches, 1):
+        for _, rows in grouped_rows(batches, 1):
             x = unit([r[4] for r in rows])
             old = np.array([r[2] for r in rows])
             similarity = x @ x.T
@@ -257,7 +249,7 @@ def full_counts(members: DataFrame) -> DataFrame:
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groups(batches, 2):
+        for _, rows in grouped_rows(batches, 2):
             x, copies = unit([r[5] for r in rows]), np.array([r[4] for r in rows])
             ids, side = np.array([r[3] for r in rows]), np.array([r[2] for r in rows])
             near = x @ x.T >= COSINE

@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.functions.components import components
-from barwatch.llm.common import in_python, numbered_rows, whole_text, wrapped
+from barwatch.llm.common import grouped_rows, in_python, numbered_rows, whole_text, wrapped
 from barwatch.llm.textarrays import chunks, mixed
 from barwatch.llm.wordarrays import Words
 from barwatch.session import materialize
@@ -23,6 +23,12 @@ TAKEN = 5
 """Shingles per sketch. A pair at the threshold shares one sketch with probability 0.8**5 = 0.33, so all
 28 tables miss it with probability 1.4e-5; a pair that shares a tenth is a candidate with 3e-4."""
 
+CHUNK = 256
+"""Nodes of a chunk of a bucket, about."""
+
+STRIP = 8192
+"""Shingles of a block that are compared in one matrix product."""
+
 STRETCH = 1 << 14
 """Shingles whose keyed values are held at once."""
 
@@ -49,31 +55,35 @@ def all_shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return words.sequences(begin, begin + np.minimum(SHINGLE, sizes[owner]), 0), offsets
 
 
+def labelled(hashed: np.ndarray) -> np.ndarray:
+    """Shingles told apart by how often they occurred before in the text."""
+    order = np.argsort(hashed, kind="stable")
+    ranked = hashed[order]
+    opens = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    occurrence = np.empty(len(hashed), np.uint64)
+    occurrence[order] = np.arange(len(hashed)) - np.repeat(opens, np.diff(np.append(opens, len(hashed))))
+    return mixed(hashed + occurrence * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 def sketches(hashed: np.ndarray) -> np.ndarray:
     """One 64-bit hash per table: its ``TAKEN`` smallest labelled shingles, in text order.
 
     A shingle is labelled with how often it occurred before, so repeats count. Texts with fewer
     shingles give all of them.
     """
-    order = np.argsort(hashed, kind="stable")
-    ranked = hashed[order]
-    opens = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    occurrence = np.empty(len(hashed), np.uint64)
-    occurrence[order] = np.arange(len(hashed)) - np.repeat(opens, np.diff(np.append(opens, len(hashed))))
-    labelled = mixed(hashed + occurrence * np.uint64(0xC2B2AE3D27D4EB4F))
-    places = least_places(labelled)
+    places = least_places(labelled(hashed))
     code = SEEDS
     for step in range(places.shape[1]):
         code = mixed((code ^ hashed[places[:, step]]) * np.uint64(0x94D049BB133111EB) + np.uint64(1))
     return code
 
 
-def least_places(labelled: np.ndarray) -> np.ndarray:
+def least_places(values_of: np.ndarray) -> np.ndarray:
     """Per table the places of the ``TAKEN`` smallest keyed values, in text order."""
     values = np.zeros((TABLES, 0), np.uint64)
     places = np.zeros((TABLES, 0), np.int64)
-    for at in range(0, len(labelled), STRETCH):
-        keyed = (labelled[None, at : at + STRETCH] ^ SEEDS[:, None]) * np.uint64(0xBF58476D1CE4E5B9)
+    for at in range(0, len(values_of), STRETCH):
+        keyed = (values_of[None, at : at + STRETCH] ^ SEEDS[:, None]) * np.uint64(0xBF58476D1CE4E5B9)
         keyed ^= keyed >> np.uint64(32)
         here = np.broadcast_to(np.arange(at, at + keyed.shape[1]), keyed.shape)
         values, places = np.concatenate([values, keyed], axis=1), np.concatenate([places, here], axis=1)
@@ -154,7 +164,60 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return in_python(both.select("a", "b", "_left", "_right"), check, "a long, b long")
 
 
-def length_fits(a: str, b: str) -> F.Column:
+def overlaps(all_labelled: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """How many labelled shingles every two texts share, by products of incidence strips."""
+    _, number, count = np.unique(all_labelled, return_inverse=True, return_counts=True)
+    shared = count[number] > 1
+    place = np.cumsum(count > 1) - 1
+    column, owner = place[number[shared]], owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((texts, texts), np.float32)
+    for at in range(0, int((count > 1).sum()), STRIP):
+        lo, hi = np.searchsorted(column, [at, at + STRIP])
+        strip = np.zeros((texts, STRIP), np.float32)
+        strip[owner[lo:hi], column[lo:hi] - at] = 1
+        out += strip @ strip.T
+    return out
+
+
+def block_links(blocks: DataFrame) -> DataFrame:
+    """(a, b): roots of classes of a block's rows that a verified link connects.
+
+    ``blocks``: (_bucket, _lo, _hi, _chunk, _row, root, _text), the rows of two chunks of a bucket (or of
+    one). Rows of one class are not compared, nor rows of one chunk where there are two; a pair that the
+    links found before it connect is not verified again.
+    """
+    names = ["_bucket", "_lo", "_hi", "_chunk", "_row", "root", "_text"]
+    ordered = blocks.select(*names).repartition("_bucket", "_lo", "_hi").sortWithinPartitions("_bucket", "_lo", "_hi", "_row")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, lo, hi), rows in grouped_rows(batches, 3):
+            roots = np.array([r[5] for r in rows])
+            if (roots == roots[0]).all():
+                continue
+            hashed, offsets = all_shingles(Words([r[6] for r in rows]))
+            own = [hashed[i:j] for i, j in zip(offsets.tolist(), offsets[1:].tolist())]
+            sizes = np.diff(offsets)
+            common = overlaps(np.concatenate([labelled(x) for x in own]), np.repeat(np.arange(len(rows)), sizes), len(rows))
+            near = common >= (SIMILARITY - 1e-6) * (sizes[:, None] + sizes[None, :] - common)
+            near &= roots[:, None] != roots[None, :]
+            given = roots.copy()
+            if lo != hi:
+                chunk = np.array([r[3] for r in rows])
+                near &= chunk[:, None] != chunk[None, :]
+            found = []
+            for i, j in zip(*np.nonzero(np.triu(near, 1))):
+                if roots[i] != roots[j] and alignment(own[i].tolist(), own[j].tolist()) >= SIMILARITY - 1e-9:
+                    roots[roots == roots[j]] = roots[i]
+                    found.append((int(min(given[i], given[j])), int(max(given[i], given[j]))))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+
+    return in_python(ordered, link, "a long, b long")
+
+
+def length_fits(a: str, b: str) -> Column:
     """Whether texts with so many shingles can reach the similarity."""
     return F.least(a, b) >= F.greatest(a, b) * SIMILARITY
 
@@ -169,10 +232,10 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     ``drop_near`` keeps one of them. Other columns are ignored; an empty table gives an empty result.
 
     Equal texts are one node. Candidates are nodes that share a sketch in some table and whose lengths
-    allow the similarity. They are verified in three steps, each leaving out pairs that are in one
-    class already: every node with the smallest partner of its buckets; with the smallest node of every
-    bucket; and then every two nodes of a bucket that are still apart. So no link between
-    classes is lost, and a bucket of near copies is never paired out.
+    allow the similarity. First every node is compared with the smallest partner of its buckets. Then
+    only buckets that still hold several classes are worked on, in blocks of ``CHUNK`` nodes: a block
+    compares its classes and gives the links that connect them. So no link between classes is
+    lost, no bucket is paired out into rows, and a bucket of near copies is mostly one class by then.
     """
     rows = docs.select(
         F.col(doc_id).alias("_id"), F.unhex(F.md5(whole_text(text))).alias("_node"), whole_text(text).alias("_text")
@@ -204,19 +267,21 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     points = materialize(asked.withColumnRenamed("_row", "node"))
     edges = materialize(similar(stars.groupBy("b").agg(F.min("a").alias("a")), texts))
     roots = components(points, edges)
-    edges = materialize(edges.unionByName(similar(apart(stars, roots), texts)))
-    roots = components(points, edges)
-    rooted = members.join(roots, members["_row"] == roots["node"]).select("_bucket", "_row", "_n", "root")
-    mixed_buckets = (
-        rooted.groupBy("_bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("_bucket")
-    )
-    loose = materialize(rooted.join(mixed_buckets, "_bucket", "left_semi"))
-    left = loose.select("_bucket", F.col("_row").alias("a"), F.col("_n").alias("n"), F.col("root").alias("r"))
-    right = loose.select("_bucket", F.col("_row").alias("b"), F.col("_n").alias("m"), F.col("root").alias("s"))
-    cross = left.join(right, "_bucket").filter("a < b and r != s").filter(length_fits("n", "m")).select("a", "b").distinct()
-    more = similar(materialize(cross.join(stars, ["a", "b"], "left_anti")), texts)
-    edges = materialize(edges.unionByName(more))
-    roots = components(points, edges)
+    rooted = members.join(roots, members["_row"] == roots["node"]).select("_bucket", "_row", "root")
+    loose = (
+        rooted.groupBy("_bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+        .filter("lo < hi").select("_bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("_parts"))
+    )
+    chunked = rooted.join(loose, "_bucket").withColumn("_chunk", F.pmod(F.xxhash64("_row"), F.col("_parts")).cast("int"))
+    paired = (
+        chunked.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        .withColumns({"_lo": F.least("_chunk", "_other"), "_hi": F.greatest("_chunk", "_other")})
+        .join(texts, "_row")
+    )
+    links = materialize(block_links(paired).distinct())
+    ends = materialize(links.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    merged = components(ends, links).select(F.col("node").alias("root"), F.col("root").alias("_merged"))
+    roots = roots.join(merged, "root", "left").select("node", F.coalesce("_merged", "root").alias("root"))
 
     placed = nodes.join(roots, nodes["_row"] == roots["node"], "left").select(
         "_node", "_least", F.coalesce("root", "_row").alias("_root")
@@ -236,13 +301,6 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
-def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose nodes have different roots."""
-    left = roots.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
-    right = roots.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
-    return pairs.join(left, "a").join(right, "b").filter("_ra != _rb").select("a", "b")
-
-
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that stay: one per class, the one with the smallest id."""
     kept = near_classes(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_keep"), "_node")
