@@ -12,7 +12,7 @@ import tiktoken
 from barwatch.llm.pretokens import byte_pieces, is_plain, word_pieces
 from barwatch.llm.textarrays import HashIndex, SliceHash, chunks, spread_ranges
 
-MEMORY = 1_500_000
+MEMORY = 500_000
 """Pieces a worker remembers; beyond that it starts anew, which changes no result."""
 
 

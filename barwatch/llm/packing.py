@@ -123,7 +123,7 @@ def windows(rows: list[np.ndarray], index: Index, last: bool) -> Iterator[list[t
 def pack(
     docs: DataFrame, path: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Pieces of token sequences: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
+    """Pieces of token sequences: doc_id, start, length, ids, doc_tokens, ids_crc32, sequence_id, offset.
 
     Every row of ``docs`` becomes its ids and ``end_id`` (null and empty texts: that id alone).
     ``ids`` of a piece are 16-bit little-endian numbers; ``start`` counts the row's ids before it,
@@ -140,7 +140,7 @@ def pack(
     kind = tokens.schema["doc_id"].dataType.simpleString()
     frequencies, n_docs = document_frequencies(tokens)
     idf = np.log1p((n_docs - frequencies + 0.5) / (frequencies + 0.5))
-    shape = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long"
+    shape = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, ids_crc32 long"
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,6 +217,11 @@ def pack(
     return whole.unionByName(rest)
 
 
+def checksum(ids: bytes) -> int:
+    """CRC-32 of 16-bit ids as little-endian 32-bit numbers."""
+    return zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
+
+
 class Pieces:
     """Rows of pieces that refer to the rows of a batch."""
 
@@ -236,20 +241,6 @@ class Pieces:
             "length": pa.array(length, pa.int64()),
             "ids": pa.array(ids, pa.binary()),
             "doc_tokens": pa.array(total, pa.int64()),
+            "ids_crc32": pa.array([checksum(x) for x in ids], pa.int64()),
         } | more
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-
-def with_checksums(pieces: DataFrame) -> DataFrame:
-    """``ids_crc32`` (ids as 32-bit little-endian numbers) in place of ``ids``."""
-    schema = pieces.drop("ids").schema
-    names = schema.fieldNames()
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4").tobytes()) for x in batch.column("ids").to_pylist()]
-            columns = [batch.column(n) for n in names] + [pa.array(crc, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "ids_crc32"])
-
-    made = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-    return in_python(pieces, check, f"{made}, ids_crc32 long")

@@ -65,7 +65,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     docs = read_table(spark, sf_dir, "documents")
     token_files.write_token_files(docs, folder, tokenizer_path("word_bpe_49k.json"))
-    return token_files.with_digests(token_files.read_token_files(spark, folder))
+    return token_files.read_token_files(spark, folder).drop("ids")
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return packing.with_checksums(packing.pack(docs, tokenizer_path("byte_bpe_50k.json")))
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json")).drop("ids")
 
 
 QUERIES: dict[str, Query] = {

@@ -93,7 +93,7 @@ def write_token_files(
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, ids): every document's ids (16-bit little-endian, with the end id).
+    """(doc_id, start, ids, n_tokens, ids_crc32): every document's ids (16-bit little-endian, with the end id).
 
     ``start`` counts the ids of all documents before it. A block whose ids do not match its checksum
     raises. Blocks of a part are decoded many at a time, in order; parts are independent.
@@ -120,14 +120,16 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 flat = np.concatenate([held, ids])
                 begin = 0
                 for key, end in zip(keys, ends):
-                    out.append((key, own, at + begin, flat[begin : end - at].astype("<u2").tobytes()))
+                    whole = flat[begin : end - at]
+                    out.append((key, own, at + begin, whole.astype("<u2").tobytes(), len(whole), checksum(whole)))
                     begin = end - at
                 held, at = flat[begin:], at + begin
             waiting.clear()
-            keys, parts, starts, ids = zip(*out) if out else ((), (), (), ())
+            keys, *rest = zip(*out) if out else ((), (), (), (), (), ())
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys, key_type), pa.array(parts, pa.int32()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())],
-                ["doc_id", "part", "start", "ids"],
+                [pa.array(keys, key_type), *map(pa.array, rest, kinds)],
+                ["doc_id", "part", "start", "ids", "n_tokens", "ids_crc32"],
             )
 
         for batch in batches:
@@ -141,25 +143,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = blocks.repartition(parts, "part").sortWithinPartitions("part", "block")
-    rows = in_python(ordered, decode, f"doc_id {kind}, part int, start long, ids binary")
+    rows = in_python(ordered, decode, f"doc_id {kind}, part int, start long, ids binary, n_tokens long, ids_crc32 long")
     return rows.join(F.broadcast(offsets), "part").select(
-        "doc_id", (F.col("_before") + F.col("start")).alias("start"), "ids"
+        "doc_id", (F.col("_before") + F.col("start")).alias("start"), "ids", "n_tokens", "ids_crc32"
     )
-
-
-def with_digests(rows: DataFrame) -> DataFrame:
-    """``n_tokens`` and ``ids_crc32`` in place of ``ids``."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.frombuffer(x, "<u2") for x in batch.column("ids").to_pylist()]
-            columns = [
-                batch.column("doc_id"),
-                batch.column("start"),
-                pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([checksum(x) for x in ids], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return in_python(rows, digest, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")

@@ -8,7 +8,7 @@ from barwatch.llm.common import read_table
 from barwatch.llm.exact_dedup import drop_exact
 from barwatch.llm.language import keep_identified
 from barwatch.llm.near_dedup import drop_near
-from barwatch.llm.packing import pack, with_checksums
+from barwatch.llm.packing import pack
 from barwatch.llm.queries import tokenizer_path
 from barwatch.llm.substring_dedup import drop_passages
 from barwatch.session import materialize
@@ -36,7 +36,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of full token windows, with checksums of their ids."""
-    return with_checksums(pack(docs, tokenizer_path("byte_bpe_50k.json")))
+    return pack(docs, tokenizer_path("byte_bpe_50k.json")).drop("ids")
 
 
 STAGES = [

@@ -12,7 +12,7 @@ from barwatch.llm import packing
 from barwatch.llm.bpe import Lexicon, encode_decode, encode_digests
 from barwatch.llm.coder import decode_blocks, encode_blocks
 from barwatch.llm.encoding import PieceEncoder
-from barwatch.llm.token_files import read_token_files, with_digests, write_token_files
+from barwatch.llm.token_files import read_token_files, write_token_files
 from barwatch.session import new_folder
 
 WORD, BYTE = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -74,7 +74,7 @@ def test_token_files_hold_all_documents_in_order(spark):
         some = np.array([*ids(r[1]), 2], "<u4")
         want[r[0], at, len(some), zlib.crc32(some.tobytes())] += 1
         at += len(some)
-    assert rows_of(with_digests(read_token_files(spark, folder)), "doc_id", "start", "n_tokens", "ids_crc32") == want
+    assert rows_of(read_token_files(spark, folder), "doc_id", "start", "n_tokens", "ids_crc32") == want
     nothing = new_folder(spark)
     write_token_files(empty(spark), nothing, WORD)
     assert read_token_files(spark, nothing).count() == 0
