@@ -13,14 +13,16 @@ from barwatch.session import drop_intermediate
 from barwatch.sources.bars_csv import read_bars
 
 
-def _present(df: DataFrame, out: str | None, rows: int, empty: str) -> None:
-    """Write the whole result to ``out``, or show its first rows."""
+def _present(df: DataFrame, out: str | None, rows: int | None, empty: str) -> None:
+    """Write the whole result to ``out``, or print it row by row (only the first ``rows``, if given)."""
     if out:
         df.write.mode("overwrite").csv(out, header=True)
     elif df.isEmpty():
         print(empty)
     else:
-        df.show(rows, truncate=False)
+        print(*df.columns, sep="\t")
+        for row in (df if rows is None else df.limit(rows)).toLocalIterator():
+            print(*row, sep="\t")
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -35,7 +37,7 @@ def main(arguments: list[str] | None = None) -> None:
     monthly = commands.add_parser("monthly", help="anomalies of a month with the stress flag")
     monthly.add_argument("--month", required=True, help="YYYY-MM")
     for command in (query, monthly):
-        command.add_argument("--rows", type=int, default=100, help="rows to show")
+        command.add_argument("--rows", type=int, help="rows to show; all if not given")
         command.add_argument("--out", help="write all rows as CSV to this folder instead")
     chosen = parser.parse_args(arguments)
 

@@ -301,12 +301,16 @@ limits AS (
   SELECT {tag}feature, count(*) AS total, min(value) AS low, max(value) - min(value) AS span
   FROM long GROUP BY {tag}feature
 ),
-binned AS (
+counted AS (
   SELECT {tag}feature, CAST(least(floor((value - low) / span * 50), 49) AS INTEGER) AS bin,
-         count(*) AS points, any_value(low) AS low, any_value(span) AS span,
-         any_value(total) AS total
+         count(*) AS found
   FROM long JOIN limits USING ({tag}feature)
   GROUP BY ALL
+),
+binned AS (
+  SELECT {tag}feature, bin, coalesce(found, 0) AS points, low, span, total
+  FROM limits CROSS JOIN (SELECT CAST(n AS INTEGER) AS bin FROM generate_series(0, 49) series(n))
+  LEFT JOIN counted USING ({tag}feature, bin)
 )"""
 
 
@@ -391,10 +395,9 @@ placed AS (
     "missing_tickers": sql(
         WIDE_BARS,
         final="""
-SELECT DISTINCT 'S' || s_suppkey AS ticker FROM supplier
-WHERE 'S' || s_suppkey NOT IN (
-  SELECT ticker FROM bars WHERE date BETWEEN DATE '2000-01-03' AND DATE '2000-01-05'
-)""",
+SELECT DISTINCT 'S' || key AS ticker
+FROM (SELECT s_suppkey AS key FROM supplier UNION ALL SELECT s_suppkey * 2 + 1 FROM supplier)
+WHERE 'S' || key NOT IN (SELECT ticker FROM bars)""",
     ),
     "features": sql(*WIDE, final=f"SELECT {FEATURE_COLUMNS} FROM features"),
     "features_narrow": sql(*NARROW, final=f"SELECT {FEATURE_COLUMNS} FROM features"),
@@ -653,7 +656,7 @@ GROUP BY detector""",
             f"""
 SELECT '{c}' AS "column", {r6(f'avg(CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0 END)', 'null_share')}
 FROM features"""
-            for c in ("ret", "ret_z", "vol_z", "range_pct")
+            for c in ("date", "ticker", "ret", "ret_z", "vol_z", "range_pct")
         ),
     ),
     "feature_histogram": sql(

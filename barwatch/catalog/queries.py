@@ -42,7 +42,6 @@ SPLITS = Splits(year(1998), year(1999), Period(dt.date(2000, 1, 1), dt.date(2000
 CENTROIDS = [(0.0, 0.0, -1.0), (0.0, 0.0, 1.0), (2.0, 0.0, 1.0)]
 DAY = dt.date(2000, 2, 17)
 MONTH = "2000-02"
-FEW_DAYS = Period(dt.date(2000, 1, 3), dt.date(2000, 1, 5))
 ONE_TICKER = "S7"
 # End of fixed values.
 
@@ -213,10 +212,11 @@ def out_of_order_bars(spark, sf_dir):
 
 @query
 def missing_tickers(spark, sf_dir):
+    """Every supplier's ticker and as many beyond the keys are looked for among all bars."""
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    expected = suppliers.select(F.concat(F.lit("S"), "s_suppkey").alias("ticker"))
-    few = evaluation.in_period(read_panel(spark, sf_dir), FEW_DAYS)
-    return quality.missing_tickers(few, expected)
+    keys = suppliers.select(F.explode(F.array("s_suppkey", F.col("s_suppkey") * 2 + 1)).alias("key"))
+    expected = keys.select(F.concat(F.lit("S"), "key").alias("ticker")).distinct()
+    return quality.missing_tickers(read_panel(spark, sf_dir), expected)
 
 
 # Features
@@ -285,7 +285,7 @@ def kmeans_thresholds(spark, sf_dir):
 def kmeans_thresholds_searched(spark, sf_dir):
     """The same thresholds by counting into bins, as for clusters too large for one task."""
     scored = nearest_centroid(_train(_stored_points(spark, sf_dir)), CENTROIDS)
-    return percentile_by_group(scored, "cluster", "distance", 97.5, single_pass_rows=0)
+    return percentile_by_group(scored, "cluster", "distance", 97.5)
 
 
 @query
@@ -496,7 +496,7 @@ def flag_rates(spark, sf_dir):
 
 @query
 def null_share(spark, sf_dir):
-    return evaluation.null_share(_features(spark, sf_dir), ["ret", *FEATURES])
+    return evaluation.null_share(_features(spark, sf_dir), ["date", "ticker", "ret", *FEATURES])
 
 
 @query

@@ -53,9 +53,3 @@ def cut_history(
 def own_rows(pieces: DataFrame) -> DataFrame:
     """Drop the carried copies again."""
     return pieces.filter(~F.col(CARRIED)).drop(PIECE, CARRIED)
-
-
-def longest_history(rows: DataFrame, key: str) -> int:
-    """Rows of the longest key: one column-pruned count with map-side combining."""
-    return rows.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-

@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_PASS_ROWS = 2_000_000
-"""Rows per group up to which the built-in exact ``percentile`` aggregate is used."""
+from barwatch.session import materialize
 
 BINS = 4096
 
@@ -28,30 +27,20 @@ class _Search:
         return self.low == self.high
 
 
-def percentile_by_group(
-    df: DataFrame,
-    group: str,
-    value: str,
-    percent: float,
-    single_pass_rows: int = SINGLE_PASS_ROWS,
-) -> DataFrame:
+def percentile_by_group(df: DataFrame, group: str, value: str, percent: float) -> DataFrame:
     """(group, threshold): linearly interpolated percentile of ``value`` in each integer group.
 
-    The built-in aggregate keeps every distinct value of a group in one task. So group sizes are
-    counted first, and when one exceeds ``single_pass_rows`` the two neighbouring order statistics
-    are located by counting values per bin and zooming into the bin that holds the rank. Each step
-    is one map-side-combined aggregate of a few thousand rows; the result is the same. Groups are
-    model clusters, of which there are few.
+    The built-in aggregate keeps every distinct value of a group in one task. So the two
+    neighbouring order statistics are located by counting values per bin and zooming into the bin
+    that holds the rank, for groups of every size. Each step is one map-side-combined aggregate of a
+    few thousand rows. Groups are model clusters, of which there are few.
     """
     q = percent / 100.0
-    known = df.filter(F.col(value).isNotNull()).select(group, value)
+    known = materialize(df.filter(F.col(value).isNotNull()).select(group, value))
     sizes = known.groupBy(group).agg(
         F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
     )
     rows = sizes.collect()
-    if all(r["n"] <= single_pass_rows for r in rows):
-        return known.groupBy(group).agg(F.percentile(value, q).alias("threshold"))
-
     spark = df.sparkSession
     searches = {}
     for r in rows:

@@ -174,8 +174,8 @@ def histogram(
     """Equal-width bins between each column's smallest and largest value.
 
     With ``by`` one histogram per value listed in ``groups`` (for instance the splits); listing
-    them bounds the broadcast table of limits to one row per column and group. Empty bins are left
-    out. With ``density`` the bars of a histogram have total area 1. A column whose values are all
+    them bounds the broadcast table of limits to one row per column and group. Empty bins have no
+    points. With ``density`` the bars of a histogram have total area 1. A column whose values are all
     equal gets a range of width 1 around the value.
     """
     names = [by] if by else []
@@ -197,9 +197,11 @@ def histogram(
     binned = (
         long.join(F.broadcast(limits), keys)
         .withColumn("bin", F.least(position, F.lit(bins - 1)).cast("int"))
-        .groupBy(*keys, "bin", "low", "span", "total")
-        .agg(F.count("*").alias("points"))
+        .groupBy(*keys, "bin")
+        .agg(F.count("*").alias("found"))
     )
+    every = limits.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    binned = every.join(binned, [*keys, "bin"], "left").withColumn("points", F.coalesce("found", F.lit(0)))
     left = F.col("low") + F.col("bin") * F.col("span") / bins
     out = [*keys, "bin", left.alias("bin_start"), "points"]
     if density:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barwatch.config import FeatureParams
-from barwatch.functions.history import PIECE, cut_history, longest_history, own_rows
+from barwatch.functions.history import PIECE, cut_history, own_rows
 from barwatch.functions.trailing import (
     log_volume,
     relative_range,
@@ -17,8 +17,6 @@ from barwatch.functions.trailing import (
     trailing_zscore,
 )
 
-LONG_HISTORY = 250_000
-"""Rows of one ticker beyond which its history is cut into pieces (no daily calendar gets there)."""
 
 PIECE_ROWS = 16_384
 
@@ -47,7 +45,7 @@ def compute_features(
     All features share one shuffle and one sort by (ticker, date). Bars are unique per ticker and
     date, so the calendar bounds a ticker's group; with ``piece_rows`` set, histories are cut into
     overlapping pieces of that many rows instead and the result is the same (see
-    ``compute_features_measured`` for the choice by count).
+    bars whose key is not unique).
     """
     source = bars.select(
         "date",
@@ -71,17 +69,6 @@ def compute_features(
     return scored.select("date", "ticker", "ret", "ret_z", "vol_z", "range_pct")
 
 
-def compute_features_measured(
-    bars: DataFrame, params: FeatureParams = FeatureParams(), long_history: int = LONG_HISTORY
-) -> DataFrame:
-    """``compute_features``, cutting histories if the longest one exceeds ``long_history`` rows.
-
-    Costs one count over the ticker column; meant for stored bars of unknown origin.
-    """
-    too_long = longest_history(bars, "ticker") > long_history
-    return compute_features(bars, params, PIECE_ROWS if too_long else None)
-
-
 def eda_columns(bars: DataFrame, piece_rows: int | None = None) -> DataFrame:
     """Daily return and log volume beside the adjusted close, for exploration only."""
     source = bars.select(

@@ -17,7 +17,7 @@ from barwatch.config import (
 )
 from barwatch.operators.dbscan import expanding_refit
 from barwatch.operators.evaluation import in_period
-from barwatch.operators.features import compute_features_measured
+from barwatch.operators.features import compute_features
 from barwatch.operators.kmeans import (
     Centroids,
     cluster_thresholds,
@@ -72,7 +72,7 @@ def run_detection(
         for name in (FEATURES_TABLE, RULE_TABLE, KMEANS_TABLE, DBSCAN_TABLE)
     }
     cleaned, _ = quality_gate(materialize(bars))
-    write_table(compute_features_measured(cleaned, params.features), paths[FEATURES_TABLE])
+    write_table(compute_features(cleaned, params.features), paths[FEATURES_TABLE])
     features = read_table(spark, paths[FEATURES_TABLE])
 
     flagged = in_period(rule_anomalies(features, params.rules), params.splits.test)

@@ -99,7 +99,7 @@ def test_searched_percentiles_equal_numpy(spark, percent):
               3: np.concatenate([np.repeat(1.0, 3000), rng.pareto(0.5, 1000), [1 + 1e-15]])}
     rows = [(g, float(v)) for g, values in groups.items() for v in values]
     frame = spark.createDataFrame(rows, "cluster int, distance double")
-    got = percentile_by_group(frame, "cluster", "distance", percent, single_pass_rows=0)
+    got = percentile_by_group(frame, "cluster", "distance", percent)
     found = {r["cluster"]: r["threshold"] for r in got.collect()}
     assert set(found) == set(groups)
     for g, values in groups.items():
