@@ -35,6 +35,9 @@ from barwatch.functions.boxes import (
 from barwatch.functions.components import components, numbered
 from barwatch.session import broadcast_if_small, is_small, materialize, spread
 
+SLICE_POINTS = 4096
+"""Points of a dense cell that are counted together."""
+
 NOISE = -1
 
 
@@ -96,13 +99,24 @@ def neighbourhoods(
     to_dense = nearby.filter("dense")
     inside = farthest_squared(F.col("at"), F.col("box"), columns) <= limit
     whole = to_dense.filter(inside).select(*KEY, "cell", F.col("n").alias("hits"))
-    asked = to_dense.filter(~inside).select(*[F.col(k).alias(f"of_{k}") for k in KEY], "at", "cell")
+    # The points of a dense cell are counted in slices, so that a hot cell is spread over tasks.
+    slices = F.ceil(F.col("n") / SLICE_POINTS)
+    crowds = cells.filter("dense").select("cell", slices.alias("slices"))
+    members = placed.join(broadcast_if_small(crowds), "cell").select(
+        here.alias("member"), "cell", F.pmod(F.xxhash64(*KEY), "slices").alias("slice")
+    )
+    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1))
+    asked = to_dense.filter(~inside).select(
+        *[F.col(k).alias(f"of_{k}") for k in KEY], "at", "cell", pieces.alias("slice")
+    )
+    asker = [f"of_{k}" for k in KEY]
     counted = (
-        placed.select(here.alias("member"), "cell")
-        .join(broadcast_if_small(asked), "cell")
+        members.join(broadcast_if_small(materialize(asked)), ["cell", "slice"])
         .filter(squared_distance(F.col("at"), F.col("member"), columns) <= limit)
-        .groupBy(*[f"of_{k}" for k in KEY], "cell")
+        .groupBy(*asker, "cell", "slice")
         .agg(F.count("*").alias("hits"))
+        .groupBy(*asker, "cell")
+        .agg(F.sum("hits").alias("hits"))
         .select(*[F.col(f"of_{k}").alias(k) for k in KEY], "cell", "hits")
     )
     touches = materialize(whole.unionByName(counted))
@@ -204,10 +218,10 @@ def cluster_labels(
     found = neighbourhoods(points, params, columns)
     name = F.struct("ticker", "date")
     dense = found.cells.filter("dense")
-    dense_names = found.points.join(broadcast_if_small(dense.select("cell")), "cell", "left_semi")
     here = F.struct(*columns)
     outermost = [by(here, F.col(c)) for c in columns for by in (F.min_by, F.max_by)]
-    named = dense_names.groupBy("cell").agg(
+    # Aggregated before the join, so that a hot cell reaches it as one row per task.
+    named = found.points.groupBy("cell").agg(
         F.min(name).alias("node"), F.array(*outermost).alias("outermost")
     )
     dense = materialize(dense.join(named, "cell"))

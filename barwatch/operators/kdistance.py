@@ -1,27 +1,27 @@
 """Distance of every point to its k-th nearest neighbour, counting the point itself.
 
-Space is halved per axis until no box holds more than a few distinct points, so boxes follow the data
-however dense it is. All work up to the last step is between boxes: a bound on the distance holds for
-all points of a box, and only boxes within that bound are looked into. No group grows with the data:
-equal points are counted once, a box is small, and the boxes around it are few or handled row by row.
+The tight box around the points is halved along every axis, and so are the tight boxes of the parts,
+until no box holds more than a few distinct points. Halving tight boxes separates any distinct points,
+however far away others are. All work up to the last step is between boxes, from the whole down: a bound
+on the distance holds for all points of a box, and only pairs of boxes within that bound are followed.
+No group grows with the data: equal points are counted once, a leaf is small, and the leaves around it
+are looked at in chunks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwatch.config import FEATURES, KEY, DensityParams
-from barwatch.functions.boxes import box_of, cell_steps, gap_squared, reach_squared, squared_distance
+from barwatch.functions.boxes import box_of, gap_squared, reach_squared, squared_distance
 from barwatch.session import broadcast_if_small, materialize, spread
 
 BOX_POINTS = 32
-MANY_BOXES = 2048
-LEVELS_PER_PASS = 3
-LAST_LEVEL = 45
+CHUNK_BOXES = 64
+"""Leaves looked at together; a box keeps only the k smallest distances of each chunk."""
 
 
 def k_distance(
@@ -29,41 +29,20 @@ def k_distance(
     k: int = DensityParams().min_samples,
     columns: list[str] = FEATURES,
     box_points: int = BOX_POINTS,
-    many_boxes: int = MANY_BOXES,
+    chunk_boxes: int = CHUNK_BOXES,
 ) -> DataFrame:
     """date, ticker, k_distance, ordered by distance."""
     box_points = max(box_points, k)
     known = materialize(points.select(*KEY, *columns))
-    frame = known.agg(
-        F.count("*").alias("n"),
-        *[F.min(c).alias(f"{c}_low") for c in columns],
-        F.max(F.greatest(*[F.lit(0.0)] + [F.abs(c) for c in columns])).alias("reach"),
-    ).first()
-    if frame["n"] < k:
-        raise ValueError(f"{frame['n']} points have no {k}-th neighbour")
-    # Wider than the points, so that a single cell of level 0 holds all of them.
-    extent = 2.125 * frame["reach"] or 1.0
-
-    def cell(level: int) -> Column:
-        """The box of a point; levels nest because scaling by two is exact."""
-        return F.array(
-            *[F.floor((F.col(c) - frame[f"{c}_low"]) / extent * float(2**level)) for c in columns]
-        )
-
+    total = known.count()
+    if total < k:
+        raise ValueError(f"{total} points have no {k}-th neighbour")
     distinct = materialize(known.groupBy(*columns).agg(F.count("*").alias("weight")))
-    leaves = _leaves(distinct, cell, box_points)
-    levels = [r[0] for r in leaves.select("level").distinct().collect()]
-    places = [F.struct(F.lit(v).alias("level"), cell(v).alias("cell")) for v in levels]
-    at = F.struct(*columns, "weight")
+    levels, placed = _halve(distinct, columns, box_points)
     packed = materialize(
-        distinct.withColumn("place", F.explode(F.array(*places)))
-        .select(*columns, "weight", "place.level", "place.cell")
-        .join(broadcast_if_small(leaves), ["level", "cell"])
-        .groupBy("level", "cell")
-        .agg(
-            F.collect_list(at).alias("members"),
+        placed.groupBy("node").agg(
+            F.collect_list(F.struct(*columns, "weight")).alias("members"),
             F.sum("weight").alias("weight"),
-            box_of(columns).alias("box"),
         )
     )
 
@@ -76,200 +55,137 @@ def k_distance(
             ),
         )
     )
-    packed = packed.withColumn("copies", copies)
 
-    def kth(me: Column, around: str, bound: Column) -> Column:
-        """Squared distance to the k-th of the points around, if that is within the bound."""
+    def smallest(me: Column, around: str, bound: Column) -> Column:
+        """The k smallest squared distances to the points around that are within the bound."""
         squared = F.transform(
             around, lambda m: F.coalesce(squared_distance(me, m, columns), F.lit(float("inf")))
         )
-        return F.get(F.sort_array(F.filter(squared, lambda d: d <= bound)), F.lit(k - 1))
+        return F.slice(F.sort_array(F.filter(squared, lambda d: d <= bound)), 1, k)
 
     infinite = F.lit(float("inf"))
-    inside = F.array_max(F.transform("members", lambda me: kth(me, "copies", infinite)))
-    boxes = materialize(
-        spread(packed, "level", "cell").select(
-            "level", "cell", "weight", "box", F.when(F.col("weight") >= k, inside).alias("inside")
+    inside = F.array_max(
+        F.transform("members", lambda me: F.get(smallest(me, "copies", infinite), F.lit(k - 1)))
+    )
+    packed = packed.withColumn("copies", copies)
+    held = materialize(
+        spread(packed, "node").select(
+            F.col("node").alias("a"), F.when(F.col("weight") >= k, inside).alias("inside")
         )
     )
-    near = materialize(_near_boxes(boxes, k, extent, columns))
-    members = packed.select("level", "cell", F.explode("members").alias("me"))
-    others = packed.select(
-        F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), "copies"
+    near = _near_leaves(levels, k, columns)
+    bounds = near.groupBy("a").agg(F.min("bound").alias("outer"), F.count("*").alias("boxes"))
+    bounds = materialize(
+        bounds.join(held, "a").select(
+            "a",
+            F.least("outer", "inside").alias("bound"),
+            F.ceil(F.col("boxes") / chunk_boxes).alias("chunks"),
+        )
     )
-    mine = [F.col(f"me.{c}").alias(c) for c in columns]
-
-    # Usual boxes: the points around are few and go into one array per box.
-    crowded = near.groupBy("level", "cell").count().filter(F.col("count") > many_boxes)
-    crowded = materialize(crowded.select("level", "cell"))
-    usual = near.join(broadcast_if_small(crowded), ["level", "cell"], "left_anti")
-    measured = (
-        spread(usual.join(others, ["b_level", "b_cell"]), "level", "cell")
-        .groupBy("level", "cell", "bound")
+    facing = (
+        near.drop("bound")
+        .join(broadcast_if_small(bounds), "a")
+        .filter(F.col("gap") <= F.col("bound"))
+        .select("a", "b", "bound", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"))
+    )
+    nearest = Window.partitionBy(*columns).orderBy("d")
+    me = F.col("me")
+    measured = materialize(
+        facing.join(packed.select(F.col("node").alias("b"), "copies"), "b")
+        .groupBy("a", "chunk", "bound")
         .agg(F.flatten(F.collect_list("copies")).alias("around"))
-        .join(members, ["level", "cell"])
-        .select(*mine, F.sqrt(kth(F.col("me"), "around", F.col("bound"))).alias("k_distance"))
+        .join(packed.select(F.col("node").alias("a"), F.explode("members").alias("me")), "a")
+        .select("me", F.explode(smallest(me, "around", F.col("bound"))).alias("d"))
+        .select(*[me[c].alias(c) for c in columns], "d")
+        .withColumn("nth", F.row_number().over(nearest))
+        .filter(F.col("nth") <= k)
+        .filter(F.col("nth") == k)
+        .select(*columns, F.sqrt("d").alias("k_distance"))
     )
-    if not crowded.isEmpty():
-        # Outliers facing many boxes at the same distance: the neighbours stay rows, of which every
-        # task keeps the k nearest per point before they are shuffled.
-        facing = near.join(broadcast_if_small(crowded), ["level", "cell"], "left_semi")
-        nearest = Window.partitionBy(*columns).orderBy("d")
-        ranked = (
-            facing.join(others, ["b_level", "b_cell"])
-            .join(members, ["level", "cell"])
-            .withColumn("other", F.explode("copies"))
-            .withColumn("d", squared_distance(F.col("me"), F.col("other"), columns))
-            .filter(F.col("d") <= F.col("bound"))
-            .select(*mine, "d")
-            .withColumn("nth", F.row_number().over(nearest))
-            .filter(F.col("nth") <= k)
-        )
-        measured = measured.unionByName(
-            ranked.filter(F.col("nth") == k).select(*columns, F.sqrt("d").alias("k_distance"))
-        )
-    measured = materialize(measured)
     return known.join(measured, columns).select(*KEY, "k_distance").orderBy("k_distance", *KEY)
 
 
-def _leaves(
-    distinct: DataFrame, cell: Callable[[int], Column], box_points: int
-) -> DataFrame:
-    """(level, cell) of the largest boxes with at most ``box_points`` distinct points.
+def _halve(
+    distinct: DataFrame, columns: list[str], box_points: int
+) -> tuple[list[DataFrame], DataFrame]:
+    """Boxes of every level (parent, node, box, weight, leaf), and the points with their leaf.
 
-    Every pass counts the points of still crowded boxes a few levels further down and adds up those
-    counts per coarser box, at most some hundred rows each.
+    The box of a part is tight, so one far point costs a level and not the resolution of the rest.
     """
 
-    def coarser(factor: int) -> Column:
-        return F.transform("cell", lambda x: F.floor(x / factor))
+    def upper_half(c: str) -> Column:
+        low, high = F.col(f"box.{c}_low"), F.col(f"box.{c}_high")
+        # Of neighbouring numbers the middle is rounded to one; it has to be the lower.
+        middle = F.greatest(low, low / 2 + high / 2)
+        return (F.col(c) > F.when(middle < high, middle).otherwise(low)).cast("int")
 
-    done = []
-    crowded = None
-    base = 0
+    levels, leaves = [], []
+    rest = distinct.withColumns({"parent": F.lit(""), "node": F.lit("0")})
     while True:
-        fine = base + LEVELS_PER_PASS
-        rest = distinct
-        if crowded is not None:
-            rest = distinct.withColumn("cell", cell(base)).join(
-                broadcast_if_small(crowded), "cell", "left_semi"
-            )
-        counts = rest.groupBy(cell(fine).alias("cell")).agg(F.count("*").alias("n"))
-        here = F.lit(None)
-        for level in range(fine, base if base else -1, -1):
-            above = coarser(2 ** (fine - level))
-            total = F.sum("n").over(Window.partitionBy(above)) if level < fine else F.col("n")
-            place = F.struct(F.lit(level).alias("level"), above.alias("cell"))
-            fits = F.lit(True) if level >= LAST_LEVEL else total <= box_points
-            here = F.when(fits, place).otherwise(here)
-        counted = materialize(counts.select("cell", here.alias("leaf")))
-        done.append(counted.filter("leaf is not null").select("leaf.level", "leaf.cell").distinct())
-        crowded = counted.filter("leaf is null").select("cell")
-        if crowded.isEmpty():
-            return materialize(reduce(DataFrame.unionByName, done))
-        base = fine
+        boxes = materialize(
+            rest.groupBy("parent", "node")
+            .agg(box_of(columns).alias("box"), F.sum("weight").alias("weight"), F.count("*").alias("n"))
+            .select("parent", "node", "box", "weight", (F.col("n") <= box_points).alias("leaf"))
+        )
+        levels.append(boxes)
+        halves = F.concat(*[upper_half(c).cast("string") for c in columns])
+        placed = materialize(
+            rest.drop("parent")
+            .join(broadcast_if_small(boxes.select("node", "box", "leaf")), "node")
+            .select(*columns, "weight", "node", "leaf", F.concat_ws(".", "node", halves).alias("half"))
+        )
+        leaves.append(placed.filter("leaf").select(*columns, "weight", "node"))
+        if boxes.filter("not leaf").isEmpty():
+            return levels, reduce(DataFrame.unionByName, leaves)
+        rest = placed.filter("not leaf").select(
+            *columns, "weight", F.col("node").alias("parent"), F.col("half").alias("node")
+        )
 
 
-def _near_boxes(boxes: DataFrame, k: int, extent: float, columns: list[str]) -> DataFrame:
-    """(level, cell, bound, b_level, b_cell): boxes that can hold one of the k nearest of a box.
+def _near_leaves(levels: list[DataFrame], k: int, columns: list[str]) -> DataFrame:
+    """(a, b, gap, bound): pairs of leaves of which ``b`` can hold one of the k nearest of ``a``.
 
-    ``bound`` is a squared distance no k-distance of the box exceeds. It starts as the largest one
-    ``inside`` the box, or the diagonal of its parent if the box has fewer than k points, and shrinks
-    to the farthest corner of the closest box with k points.
+    ``bound`` is a squared distance no k-distance of the box exceeds: that to the farthest corner of
+    the closest box with k points, over all boxes met on the way down.
     """
-    sides = [f"{c}_{end}" for c in columns for end in ("low", "high")]
-
-    def up(cells: Column, steps: Column) -> Column:
-        return F.transform(cells, lambda x: F.floor(x / F.pow(F.lit(2.0), steps)))
-
-    parent = F.transform("cell", lambda x: F.floor(x / 2))
-    above = boxes.select(
-        "level",
-        "cell",
-        "weight",
-        "box",
-        "inside",
-        F.greatest(F.col("level") - 1, F.lit(0)).alias("up_level"),
-        F.when(F.col("level") > 0, parent).otherwise(F.col("cell")).alias("up_cell"),
-    )
-    wanted = above.filter("inside is null").select("up_level", "up_cell").distinct()
-    ancestors = boxes.select(
-        F.explode(F.sequence(F.lit(0), F.col("level"))).alias("up_level"), "level", "cell", "box"
-    ).withColumn("up_cell", up(F.col("cell"), F.col("level") - F.col("up_level")))
-    parent_box = (
-        ancestors.join(wanted, ["up_level", "up_cell"], "left_semi")
-        .select("up_level", "up_cell", *[F.col(f"box.{s}").alias(s) for s in sides])
-        .groupBy("up_level", "up_cell")
-        .agg(
-            F.struct(
-                *[(F.min(s) if s.endswith("_low") else F.max(s)).alias(s) for s in sides]
-            ).alias("up_box")
+    sides = ["a", "b"]
+    parts = ["box", "leaf", "weight"]
+
+    def side(boxes: DataFrame, s: str) -> DataFrame:
+        named = [F.col(p).alias(f"{s}_{p}_kid") for p in parts]
+        return boxes.select(F.col("parent").alias(s), F.col("node").alias(f"{s}_kid"), *named)
+
+    def halves_of(pairs: DataFrame, kids: DataFrame, s: str) -> DataFrame:
+        """Pairs with the halves of one side; a leaf stays itself."""
+        met = pairs.join(broadcast_if_small(side(kids, s)), s, "left")
+        fresh = {f"{s}_{p}": F.coalesce(f"{s}_{p}_kid", f"{s}_{p}") for p in parts}
+        fresh[s] = F.coalesce(f"{s}_kid", s)
+        return met.withColumns(fresh).select(*pairs.columns).filter(gap <= F.col("bound"))
+
+    gap = gap_squared(F.col("a_box"), F.col("b_box"), columns)
+    reach = reach_squared(F.col("a_box"), F.col("b_box"), columns)
+    whole = levels[0].select(
+        *[
+            F.col(p).alias(n)
+            for s in sides
+            for p, n in [("node", s)] + [(p, f"{s}_{p}") for p in parts]
+        ]
+    )
+    pairs = whole.withColumn("bound", reach)
+    final = F.col("a_leaf") & F.col("b_leaf")
+    done = [pairs.filter(final)]
+    for kids in levels[1:]:
+        met = materialize(halves_of(halves_of(pairs.filter(~final), kids, "a"), kids, "b"))
+        closest = (
+            met.filter(F.col("b_weight") >= k).groupBy("a").agg(F.min(reach).alias("closer"))
         )
-    )
-    own, over = F.col("box"), F.col("up_box")
-    enough = F.col("weight") >= k
-    # The finest level, not below the box, whose cells are wider than the bound (with a margin for
-    # the rounding of cell borders): there the bound reaches into adjacent cells only.
-    covering = F.floor(F.log2(F.lit(extent) / (F.sqrt("bound") * 1.02)))
-    at = F.when(F.col("bound") > 0, F.greatest(F.least(F.col("level"), covering), F.lit(0)))
-    searching = materialize(
-        above.join(parent_box, ["up_level", "up_cell"], "left")
-        .withColumn("bound", F.coalesce("inside", reach_squared(over, over, columns)))
-        .select(
-            "level", "cell", "box", "bound", F.coalesce(at, F.col("level")).cast("int").alias("at")
+        pairs = (
+            met.join(closest, "a", "left")
+            .withColumn("bound", F.least("bound", "closer"))
+            .drop("closer")
+            .filter(gap <= F.col("bound"))
         )
-    )
-
-    # A box looks into the cells around it at that level. It meets finer boxes under those cells,
-    # and coarser boxes that contain them.
-    looked = (
-        spread(searching, "level", "cell")
-        .withColumn("home", up(F.col("cell"), F.col("level") - F.col("at")))
-        .withColumn("step", F.explode(cell_steps(1, len(columns))))
-        .withColumn("seen", F.zip_with("home", "step", lambda x, y: x + y))
-    )
-    finer = ancestors.join(
-        searching.select(F.col("at").alias("up_level")).distinct(), "up_level", "left_semi"
-    )
-    other = ["b_level", "b_cell", "b_box"]
-    down = looked.join(
-        finer.select(
-            F.col("up_level").alias("at"),
-            F.col("up_cell").alias("seen"),
-            F.col("level").alias("b_level"),
-            F.col("cell").alias("b_cell"),
-            F.col("box").alias("b_box"),
-        ),
-        ["at", "seen"],
-    )
-    mine = ["level", "cell", "box", "bound"]
-    containing = looked.filter("at > 0").select(
-        *mine, F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("b_level"), "at", "seen"
-    )
-    leaf = boxes.select(
-        F.col("level").alias("b_level"), F.col("cell").alias("b_cell"), F.col("box").alias("b_box")
-    )
-    upward = (
-        containing.withColumn("b_cell", up(F.col("seen"), F.col("at") - F.col("b_level")))
-        .select(*mine, "b_level", "b_cell")
-        .distinct()
-        .join(leaf, ["b_level", "b_cell"])
-    )
-    b_box = F.col("b_box")
-    met = materialize(
-        down.select(*mine, *other)
-        .unionByName(upward.select(*mine, *other))
-        .filter(gap_squared(own, b_box, columns) <= F.col("bound"))
-    )
-    heavy = boxes.filter(enough).select(F.col("level").alias("b_level"), F.col("cell").alias("b_cell"))
-    shrunk = (
-        met.join(heavy, ["b_level", "b_cell"], "left_semi")
-        .groupBy("level", "cell")
-        .agg(F.min(reach_squared(own, b_box, columns)).alias("closer"))
-    )
-    bound = F.least("bound", "closer")
-    return (
-        met.join(shrunk, ["level", "cell"], "left")
-        .filter(gap_squared(own, b_box, columns) <= bound)
-        .select("level", "cell", bound.alias("bound"), "b_level", "b_cell")
+        done.append(pairs.filter(final))
+    return materialize(
+        reduce(DataFrame.unionByName, done).select("a", "b", gap.alias("gap"), "bound")
     )

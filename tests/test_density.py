@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import barwatch.operators.dbscan as dbscan_module
 import barwatch.operators.kdistance as kdistance_module
-from barwatch.config import DensityParams
+from barwatch.config import FEATURES, DensityParams
 from barwatch.functions.components import components, numbered
 from barwatch.operators.dbscan import (
     cluster_labels,
@@ -181,17 +181,27 @@ def test_k_distance_equals_brute_force(spark, shape):
     check_k_distance(spark, SHAPES[shape], 7, box_points=8)
 
 
-@pytest.mark.parametrize("many", [0, 4, 20])
-def test_k_distance_with_neighbours_as_rows(spark, many):
-    check_k_distance(spark, SHAPES["one hot place"], 7, box_points=8, many_boxes=many)
-    check_k_distance(spark, SHAPES["blobs"], 7, box_points=8, many_boxes=many)
+@pytest.mark.parametrize("many", [1, 4, 20])
+def test_k_distance_with_neighbours_in_chunks(spark, many):
+    check_k_distance(spark, SHAPES["one hot place"], 7, box_points=8, chunk_boxes=many)
+    check_k_distance(spark, SHAPES["blobs"], 7, box_points=8, chunk_boxes=many)
 
 
 def test_outlier_facing_a_sphere(spark):
     rng = np.random.default_rng(31)
     ball = rng.normal(size=(3000, 3))
     ball /= np.linalg.norm(ball, axis=1)[:, None]
-    check_k_distance(spark, np.concatenate([ball, [[0.0, 0, 0]]]), 7, box_points=8, many_boxes=200)
+    check_k_distance(spark, np.concatenate([ball, [[0.0, 0, 0]]]), 7, box_points=8, chunk_boxes=200)
+
+
+def test_one_far_value_leaves_no_crowded_box(spark):
+    x = np.random.default_rng(32).normal(size=(1500, 3))
+    x[7, 0] = 1e16
+    check_k_distance(spark, x, 7)
+    points = point_frame(spark, x).groupBy(*FEATURES).agg(F.count("*").alias("weight"))
+    _, placed = kdistance_module._halve(points, FEATURES, 32)
+    assert placed.groupBy("node").count().agg(F.max("count")).first()[0] <= 32
+    assert placed.count() == 1500
 
 
 @pytest.mark.parametrize("k", [1, 2, 7, 40])
