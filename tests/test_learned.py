@@ -60,15 +60,15 @@ def test_scaled_points_have_zero_mean_on_train(spark):
     np.testing.assert_allclose(train.std(ddof=0), 1, atol=1e-9)
 
 
-FOUR = np.array([[0.0, 0, 0], [0.1, 0.1, 0], [5, 5, 0], [5.1, 5.1, 0]])
-
-
-def test_fit_finds_two_groups_in_sorted_order(spark):
-    centroids, inertia = fit_kmeans(point_frame(spark, FOUR), 2)
-    np.testing.assert_allclose(centroids, [[0.05, 0.05, 0], [5.05, 5.05, 0]])
-    assert inertia == pytest.approx(0.02)
+def test_fit_finds_separate_groups_in_sorted_order(spark):
+    rng = np.random.default_rng(21)
+    groups = [rng.normal(c, 0.3, (40, 3)) for c in (-9.0, 0.0, 12.0)]
+    points = point_frame(spark, rng.permutation(np.concatenate(groups)))
+    centroids, inertia = fit_kmeans(points, 3)
+    np.testing.assert_allclose(centroids, [g.mean(0) for g in groups])
+    assert inertia == pytest.approx(sum(((g - g.mean(0)) ** 2).sum() for g in groups))
     with pytest.raises(ValueError):
-        fit_kmeans(point_frame(spark, FOUR).limit(0), 2)
+        fit_kmeans(points.limit(0), 3)
 
 
 def test_label_is_the_nearest_centroid(spark):
@@ -88,8 +88,12 @@ def scored(spark, distances, clusters, tickers=None):
 
 
 def test_thresholds_interpolate(spark):
-    got = cluster_thresholds(scored(spark, [0.2, 0.3, 1.5, 1.7], [0, 0, 1, 1]), 90)
-    assert {r["cluster"]: round(r["threshold"], 12) for r in got.collect()} == {0: 0.29, 1: 1.68}
+    rng = np.random.default_rng(22)
+    distances, clusters = rng.gamma(2, 1, 37), rng.integers(0, 3, 37)
+    got = cluster_thresholds(scored(spark, distances.tolist(), clusters.tolist()), 83)
+    assert {r["cluster"]: r["threshold"] for r in got.collect()} == {
+        c: pytest.approx(np.percentile(distances[clusters == c], 83)) for c in range(3)
+    }
 
 
 @pytest.mark.parametrize("percent", [0, 12.5, 50, 95, 97.5, 100])
@@ -107,10 +111,12 @@ def test_searched_percentiles_equal_numpy(spark, percent):
 
 
 def test_detection_is_strict_and_skips_clusters_without_threshold(spark):
-    rows = scored(spark, [0.2, 2.5, 0.3, 0.8, 9.0], [0, 0, 1, 1, 2], ["AAPL", "AAPL", "MSFT", "MSFT", "X"])
-    thresholds = spark.createDataFrame([(0, 1.0), (1, 0.8)], "cluster int, threshold double")
+    rows = scored(spark, [0.7, 0.69, 0.71, 4.0, 1.5], [2, 2, 2, 7, 5], list("pqrst"))
+    thresholds = spark.createDataFrame([(2, 0.7), (5, 1.25)], "cluster int, threshold double")
     got = kmeans_anomalies(rows, thresholds)
-    assert [(r["ticker"], r["anomaly_flag"], r["distance"]) for r in got.collect()] == [("AAPL", 1, 2.5)]
+    assert sorted((r["ticker"], r["anomaly_flag"], r["distance"]) for r in got.collect()) == [
+        ("r", 1, 0.71), ("t", 1, 1.5)
+    ]
     empty = kmeans_anomalies(rows.limit(0), thresholds)
     assert empty.columns == ["date", "ticker", "anomaly_flag", "cluster", "distance"]
 

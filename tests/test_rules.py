@@ -1,43 +1,48 @@
+from itertools import product
+
 import pytest
 
 from barwatch.config import RuleParams
 from barwatch.operators.rules import rule_anomalies
 from helpers import day, feature_rows
 
-CALM = [(0.01, 0.1, 0.1, 0.2), (0.01, 0.2, 0.2, 0.3), (0.01, 0.3, 0.3, 0.4),
-        (0.01, 0.2, 0.2, 0.3), (0.01, 0.1, 0.1, 0.2)]
+QUIET = {"ret": -0.003, "ret_z": -0.4, "vol_z": 0.9, "range_pct": 0.45}
 
 
 def flagged(spark, at=None, params=RuleParams(), **change):
-    rows = []
-    for i, values in enumerate(CALM):
-        named = dict(zip(("ret", "ret_z", "vol_z", "range_pct"), values))
-        if i == at:
-            named.update(change)
-        rows.append((day(i), "TEST", *named.values()))
+    """Six quiet rows, of which the one at ``at`` is changed."""
+    rows = [
+        (day(i), "QT", *({**QUIET, **(change if i == at else {})}).values()) for i in range(6)
+    ]
     return rule_anomalies(feature_rows(spark, rows), params)
 
 
-@pytest.mark.parametrize(
-    "at, change, kind, why",
-    [
-        (3, {"ret": -0.05, "ret_z": -3.0}, "crash", "|ret_z| > 2.5"),
-        (2, {"ret": 0.06, "ret_z": 3.2}, "spike", "|ret_z| > 2.5"),
-        (1, {"vol_z": 3.1}, "volume_shock", "vol_z > 2.5"),
-        (4, {"ret": -0.07, "ret_z": -3.5, "vol_z": 3.2}, "crash+ volume_shock",
-         "|ret_z| > 2.5; vol_z > 2.5"),
-        (0, {"range_pct": 0.99}, "", "range_pct > 0.95"),
-        (2, {"ret": 0.0, "ret_z": -3.0}, "spike", "|ret_z| > 2.5"),
-        (2, {"ret": None, "ret_z": 3.0}, "spike", "|ret_z| > 2.5"),
-        (2, {"ret": 0.1, "ret_z": 3.0, "vol_z": 4.0, "range_pct": 1.0}, "spike+ volume_shock",
-         "|ret_z| > 2.5; vol_z > 2.5; range_pct > 0.95"),
-    ],
-)
-def test_type_and_reason(spark, at, change, kind, why):
-    rows = flagged(spark, at, **change).collect()
-    assert [(r["date"], r["type"], r["why"], r["anomaly_flag"]) for r in rows] == [
-        (day(at), kind, why, 1)
-    ]
+def spelled_out(ret, ret_z, vol_z, range_pct):
+    """Type and reason of a row by the rules in words, or None."""
+    kinds, whys = [], []
+    if ret_z < -2.5 or ret_z > 2.5:
+        kinds.append("crash" if ret is not None and ret < 0 else "spike")
+        whys.append("|ret_z| > 2.5")
+    if vol_z > 2.5:
+        kinds.append("volume_shock")
+        whys.append("vol_z > 2.5")
+    if range_pct > 0.95:
+        whys.append("range_pct > 0.95")
+    return ("+ ".join(kinds), "; ".join(whys)) if whys else None
+
+
+def test_type_and_reason_of_all_combinations(spark):
+    cases = list(
+        product(
+            (-0.021, 0.0, 0.034, None), (-4.1, -2.51, 0.7, 2.9), (-6.0, 1.3, 2.75), (0.4, 0.953, 1.0)
+        )
+    )
+    found = rule_anomalies(
+        feature_rows(spark, [(day(i), "QT", *case) for i, case in enumerate(cases)])
+    )
+    got = {r["date"]: (r["type"], r["why"], r["anomaly_flag"]) for r in found.collect()}
+    want = {day(i): (*spelled_out(*c), 1) for i, c in enumerate(cases) if spelled_out(*c)}
+    assert got == want and len(got) < len(cases)
 
 
 def test_calm_rows_low_volume_and_limits_are_not_flagged(spark):
