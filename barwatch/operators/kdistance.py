@@ -90,11 +90,15 @@ def k_distance(
     )
     nearest = Window.partitionBy(*columns).orderBy("d")
     me = F.col("me")
-    measured = materialize(
+    around = (
         facing.join(packed.select(F.col("node").alias("b"), "copies"), "b")
         .groupBy("a", "chunk", "bound")
         .agg(F.flatten(F.collect_list("copies")).alias("around"))
-        .join(packed.select(F.col("node").alias("a"), F.explode("members").alias("me")), "a")
+        .join(packed.select(F.col("node").alias("a"), "members"), "a")
+    )
+    measured = materialize(
+        spread(around, "a", "chunk")
+        .select("around", "bound", F.explode("members").alias("me"))
         .select("me", F.explode(smallest(me, "around", F.col("bound"))).alias("d"))
         .select(*[me[c].alias(c) for c in columns], "d")
         .withColumn("nth", F.row_number().over(nearest))
@@ -175,7 +179,7 @@ def _near_leaves(levels: list[DataFrame], k: int, columns: list[str]) -> DataFra
     final = F.col("a_leaf") & F.col("b_leaf")
     done = [pairs.filter(final)]
     for kids in levels[1:]:
-        met = materialize(halves_of(halves_of(pairs.filter(~final), kids, "a"), kids, "b"))
+        met = materialize(halves_of(halves_of(spread(pairs.filter(~final)), kids, "a"), kids, "b"))
         closest = (
             met.filter(F.col("b_weight") >= k).groupBy("a").agg(F.min(reach).alias("closer"))
         )
