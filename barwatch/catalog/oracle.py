@@ -445,6 +445,15 @@ FROM scores WHERE split = 'train' GROUP BY cluster""",
 SELECT date, ticker, anomaly_flag, cluster, {r6('distance', 'distance')}
 FROM kmeans WHERE split = 'val'""",
     ),
+    "kmeans_fit_check": sql(
+        *WIDE,
+        POINTS,
+        final="""
+SELECT CAST(k AS INTEGER) AS k, k AS clusters, points,
+       round(squares / points, 2) AS spread, round(squares / points, 2) AS spread_fit
+FROM (SELECT count(*) AS points, sum(x * x + y * y + z * z) AS squares FROM points WHERE split = 'train'),
+     generate_series(2, 7) candidates(k)""",
+    ),
     "silhouette_linear": sql(
         *WIDE, POINTS, SCORES, TRAIN_PAIR_MEANS, final=silhouette("squared")
     ),
@@ -511,6 +520,16 @@ SELECT r.date, ticker, type, {r6('ret_z', 'ret_z')}, {r6('vol_z', 'vol_z')},
        market_anomaly_flag, why
 FROM rules r LEFT JOIN market m ON r.date = m.date
 WHERE strftime(r.date, '%Y-%m') = '2000-02'""",
+    ),
+    "month_query_empty": sql(
+        *WIDE,
+        RULES,
+        market(f"(SELECT * FROM rules WHERE {IN_TEST})"),
+        final=f"""
+SELECT r.date, ticker, type, {r6('ret_z', 'ret_z')}, {r6('vol_z', 'vol_z')},
+       market_anomaly_flag, why
+FROM rules r LEFT JOIN market m ON r.date = m.date
+WHERE strftime(r.date, '%Y-%m') = '1999-11' AND r.date >= DATE '2000-01-01'""",
     ),
     "consensus_flags": sql(
         *WIDE,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from barwatch.config import FEATURES, Period, Splits, year
+from barwatch.config import ELBOW_RANGE, FEATURES, Period, Splits, year
 from barwatch.functions.quantiles import percentile_by_group
 from barwatch.operators import evaluation, market, quality, reporting
 from barwatch.operators.consensus import consensus
@@ -42,6 +43,7 @@ SPLITS = Splits(year(1998), year(1999), Period(dt.date(2000, 1, 1), dt.date(2000
 CENTROIDS = [(0.0, 0.0, -1.0), (0.0, 0.0, 1.0), (2.0, 0.0, 1.0)]
 DAY = dt.date(2000, 2, 17)
 MONTH = "2000-02"
+MONTH_BEFORE = "1999-11"
 ONE_TICKER = "S7"
 # End of fixed values.
 
@@ -306,6 +308,33 @@ def kmeans_selection(spark, sf_dir):
     return selection_curves(_train(_stored_points(spark, sf_dir)))
 
 
+@query
+def kmeans_fit_check(spark, sf_dir):
+    """What holds at every optimum, for every candidate number of clusters.
+
+    Where centroids are the means of their rows, the squares of the points split into those within
+    clusters and those of the centroids. ``spread`` takes the former from the rows' distances,
+    ``spread_fit`` from the fit; both are per point, to 2 places, as the fit ends within a tolerance.
+    """
+    train = _train(_stored_points(spark, sf_dir))
+    parts = []
+    for k in ELBOW_RANGE:
+        centroids, inertia = fit_kmeans(train, k)
+        squares = F.array(*[F.lit(sum(x * x for x in c)) for c in centroids])
+        around = F.sum(F.element_at(squares, F.col("cluster") + 1))
+        points = F.count("*")
+        parts.append(
+            nearest_centroid(train, centroids).agg(
+                F.lit(k).alias("k"),
+                F.countDistinct("cluster").alias("clusters"),
+                points.alias("points"),
+                F.round((F.sum(F.col("distance") * F.col("distance")) + around) / points, 2).alias("spread"),
+                F.round((F.lit(inertia) + around) / points, 2).alias("spread_fit"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def silhouette_linear(spark, sf_dir):
     scored = nearest_centroid(_train(_stored_points(spark, sf_dir)), CENTROIDS)
@@ -410,6 +439,12 @@ def month_query(spark, sf_dir):
     return query_month(spark, _served(spark, sf_dir), MONTH)
 
 
+@query
+def month_query_empty(spark, sf_dir):
+    """A month with bars but before the detected period: no rows, the same columns."""
+    return query_month(spark, _served(spark, sf_dir), MONTH_BEFORE)
+
+
 @query
 def consensus_flags(spark, sf_dir):
     found = _detectors(_split_features(spark, sf_dir), "val")

@@ -22,12 +22,14 @@ def daily_card(
 
     Starts from the rules: what only K-Means or DBSCAN found is not on the card. ``distance`` is
     left out if the K-Means table has none. Of the features only the dates between the first and
-    the last rule anomaly are read: the limits are scalar subqueries, which reach the scan.
+    the last rule anomaly are read (the limits are scalar subqueries, which reach the scan), and of
+    those only the keys of rule anomalies go on.
     """
     features, rule, kmeans, dbscan = map(_text_ticker, (features, rule, kmeans, dbscan))
     base = rule.select(*KEY, "anomaly_flag", "type", "why")
     first, last = rule.agg(F.min("date")).scalar(), rule.agg(F.max("date")).scalar()
-    card = base.join(within(features, first, last).select(*KEY, "ret", *FEATURES), KEY, "left")
+    flagged = within(features, first, last).join(base.select(*KEY), KEY, "left_semi")
+    card = base.join(flagged.select(*KEY, "ret", *FEATURES), KEY, "left")
     if "distance" in kmeans.columns:
         card = card.join(kmeans.select(*KEY, "distance"), KEY, "left")
     noise = dbscan.select(*KEY, F.lit(1).alias("dbscan_flag"))
