@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,9 @@ ENLARGED = 3
 CHUNK = 512
 """Vectors per chunk, about, where a component is compared in full."""
 
+PIVOTS = 2048
+"""Components whose first vectors are compared with all vectors at once; bounds driver and broadcast."""
+
 ANGLE = math.acos(COSINE)
 SAFE = 1e-6
 
@@ -199,13 +203,54 @@ def audited_recall(graph: DataFrame, nodes: DataFrame, k: int) -> float:
     return 1.0 if not found[0] else found[1] / found[0]
 
 
-def full_counts(members: DataFrame) -> DataFrame:
-    """(_row, _n): copies of all linked vectors of the same component, the vector itself included.
+def guests(nodes: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(root, _row, _vec, _copies, angle): vectors of other components that may link with one of ``root``.
 
-    ``members``: (root, _row, _vec, _copies). Vectors are chunked by their angle to the root's vector.
-    Two chunks are linked throughout if their greatest angles add up to less than the link angle, and
-    not at all if their angles differ by more; only other pairs of chunks are compared, as blocks.
+    ``nodes``: (_row, _vec, _copies, _root, _full) with ``_full`` for crowded components; ``pivots``: (root,
+    _pivot, radius) of those. A vector stays if its angle to the pivot is at most the radius and the link
+    angle together. Of two crowded components the vectors of the one with the greater root are the guests.
     """
+    vec = nodes.schema["_vec"].dataType.simpleString()
+    shape = f"root long, _row long, _vec {vec}, _copies long, angle double"
+    data = nodes.select("_row", "_vec", "_copies", "_root", "_full")
+
+    def near(shared) -> DataFrame:
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, PIVOTS):
+                    part = batch.slice(at, PIVOTS)
+                    vectors = part.column(1).to_pylist()
+                    sizes = np.array([len(v) for v in vectors])
+                    own, full = part.column(3).to_numpy(), part.column(4).to_numpy(zero_copy_only=False)
+                    for size, (roots, x, radius) in shared.value.items():
+                        some = np.flatnonzero(sizes == size)
+                        if len(some):
+                            angle = np.arccos(np.clip(unit([vectors[i] for i in some]) @ x.T, -1, 1))
+                            fits = angle <= ANGLE + radius + SAFE
+                            fits &= (own[some][:, None] > roots) | (~full[some][:, None] & (own[some][:, None] != roots))
+                            i, r = np.nonzero(fits)
+                            here = part.take(pa.array(some[i]))
+                            columns = [pa.array(roots[r]), here.column(0), here.column(1), here.column(2), pa.array(angle[i, r])]
+                            yield pa.RecordBatch.from_arrays(columns, ["root", "_row", "_vec", "_copies", "angle"])
+
+        return in_python(data, compare, shape)
+
+    found, some = None, []
+    rows = pivots.select("root", "_pivot", "radius").toLocalIterator()
+    while some := list(islice(rows, PIVOTS)):
+        by_size: dict[int, list] = {}
+        for r in some:
+            by_size.setdefault(len(r[1]), []).append(r)
+        known = {
+            n: (np.array([r[0] for r in rs]), unit([r[1] for r in rs]), np.array([r[2] for r in rs])) for n, rs in by_size.items()
+        }
+        here = materialize(near(nodes.sparkSession.sparkContext.broadcast(known)))
+        found = here if found is None else found.unionByName(here)
+    return nodes.sparkSession.createDataFrame([], shape) if found is None else found
+
+
+def at_pivots(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members`` with their angle to the root's vector, and (root, _pivot, radius) with the greatest of them."""
     pivots = members.filter("root = _row").select("root", F.col("_vec").alias("_pivot"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,24 +263,40 @@ def full_counts(members: DataFrame) -> DataFrame:
 
     vec = members.schema["_vec"].dataType.simpleString()
     shape = f"root long, _row long, _copies long, _vec {vec}, angle double"
-    placed = in_python(members.join(pivots, "root"), measure, shape).withColumn("ring", F.floor(F.col("angle") / (ANGLE / 8)))
-    parts = placed.groupBy("root", "ring").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
+    measured = materialize(in_python(members.join(pivots, "root"), measure, shape))
+    return measured, pivots.join(measured.groupBy("root").agg(F.max("angle").alias("radius")), "root")
+
+
+def full_counts(members: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """(_row, root, _n): copies of all vectors of the component ``root`` that link with the vector.
+
+    ``members``: (root, _row, _vec, _copies), whole components; their own counts include themselves and
+    the `guests` out of ``nodes`` that link with them. Vectors are chunked by their angle to the root's vector.
+    Two chunks are linked throughout if their greatest angles add up to less than the link angle, and
+    not at all if their angles differ by more; only other pairs of chunks are compared, as blocks.
+    """
+    placed, pivots = at_pivots(members)
+    placed = placed.withColumn("guest", F.lit(0))
+    if nodes is not None:
+        placed = placed.unionByName(guests(nodes, pivots).withColumn("guest", F.lit(1)))
+    placed = placed.withColumn("ring", F.floor(F.col("angle") / (ANGLE / 8)))
+    parts = placed.groupBy("root", "guest", "ring").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
     placed = materialize(
-        placed.join(parts, ["root", "ring"]).withColumn("part", F.pmod(F.xxhash64("_row"), F.col("parts"))).drop("parts")
+        placed.join(parts, ["root", "guest", "ring"]).withColumn("part", F.pmod(F.xxhash64("_row"), F.col("parts"))).drop("parts")
     )
     chunks = materialize(
-        placed.groupBy("root", "ring", "part")
+        placed.groupBy("root", "guest", "ring", "part")
         .agg(F.sum("_copies").alias("copies"), F.min("angle").alias("lo"), F.max("angle").alias("hi"))
-        .withColumn("chunk", F.struct("ring", "part"))
+        .withColumn("chunk", F.struct("guest", "ring", "part"))
     )
     left = chunks.select("root", F.col("chunk").alias("c"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
     right = chunks.select("root", F.col("chunk").alias("d"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), "copies")
-    pairs = left.join(right, "root")
+    pairs = left.join(right, "root").filter("c.guest = 0 or d.guest = 0")
     linked = F.col("hi1") + F.col("hi2") <= ANGLE - SAFE
     apart = (F.col("lo1") - F.col("hi2") > ANGLE + SAFE) | (F.col("lo2") - F.col("hi1") > ANGLE + SAFE)
     sure = pairs.filter(linked).groupBy("root", "c").agg(F.sum("copies").alias("_n"))
-    keyed = placed.withColumn("c", F.struct("ring", "part"))
-    certain = keyed.join(sure, ["root", "c"]).select("_row", "_n")
+    keyed = placed.withColumn("c", F.struct("guest", "ring", "part"))
+    certain = keyed.join(sure, ["root", "c"]).select("_row", "root", "_n")
     open_pairs = pairs.filter(~linked & ~apart & (F.col("c") <= F.col("d"))).select("root", "c", "d")
     data = keyed.select("root", F.col("c").alias("own"), "_row", "_copies", "_vec")
     first = open_pairs.join(data.withColumnRenamed("own", "c"), ["root", "c"]).withColumn("side", F.lit(0))
@@ -249,16 +310,16 @@ def full_counts(members: DataFrame) -> DataFrame:
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in grouped_rows(batches, 2):
+        for (root, _), rows in grouped_rows(batches, 2):
             x, copies = unit([r[5] for r in rows]), np.array([r[4] for r in rows])
             ids, side = np.array([r[3] for r in rows]), np.array([r[2] for r in rows])
             near = x @ x.T >= COSINE
             if side.any():
                 near &= side[:, None] != side[None, :]
-            yield pa.RecordBatch.from_pydict({"_row": ids, "_n": near @ copies})
+            yield pa.RecordBatch.from_pydict({"_row": ids, "root": np.full(len(ids), root), "_n": near @ copies})
 
-    counted = in_python(ordered, count, "_row long, _n long")
-    return certain.unionByName(counted).groupBy("_row").agg(F.sum("_n").alias("_n"))
+    counted = in_python(ordered, count, "_row long, root long, _n long")
+    return certain.unionByName(counted).groupBy("_row", "root").agg(F.sum("_n").alias("_n"))
 
 
 def embedding_links(
@@ -275,7 +336,8 @@ def embedding_links(
     Equal vectors are one node. A neighbour graph starts from buckets of random hyperplanes and is refined
     by comparing neighbours of neighbours. Its recall is audited against all vectors, and lists are
     enlarged and refined again while it is too low. A list that holds links only is saturated: the
-    vector may have more. The component of such a vector is compared in full, in chunks.
+    vector may have more. The component of such a vector is compared in full, in chunks, also with all
+    vectors of other components that its angles allow to link, so no link of its members is missed.
     """
     rows = table.select(F.col(vec_id).alias("_id"), F.col(embedding).cast("array<double>").alias("_vec"))
     nodes, total = distinct_vectors(rows)
@@ -300,20 +362,29 @@ def embedding_links(
         roots.join(crowded, "root", "left_semi").join(nodes, F.col("node") == F.col("_row"))
         .select("root", "_row", "_vec", "_copies")
     )
-    full = full_counts(members)
+    rooted = materialize(
+        nodes.join(roots, nodes["_row"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_row"))
+        .select("_row", "_vec", "_least", "_copies", "_root")
+        .join(crowded.select(F.col("root").alias("_root"), F.lit(True).alias("_full")), "_root", "left")
+        .withColumn("_full", F.coalesce("_full", F.lit(False)))
+    )
+    counts = full_counts(members, rooted).filter("_n > 0").join(rooted.select("_row", "_root"), "_row")
+    counts = materialize(counts)
+    crossing = counts.filter("root != _root").select(F.least("root", "_root").alias("a"), F.greatest("root", "_root").alias("b"))
+    crossing = materialize(crossing.distinct())
+    ends = materialize(crossing.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    merged = components(ends, crossing).select(F.col("node").alias("_root"), F.col("root").alias("_merged"))
+    full = counts.groupBy("_row").agg(F.sum("_n").alias("_n"))
     listed = (
         both.join(nodes.select(F.col("_row").alias("b"), "_copies"), "b")
         .groupBy(F.col("a").alias("_row")).agg(F.sum("_copies").alias("_linked"))
     )
-    placed = (
-        nodes.join(roots, nodes["_row"] == roots["node"], "left")
-        .withColumn("_root", F.coalesce("root", "_row")).select("_row", "_vec", "_least", "_copies", "_root")
-        .join(listed, "_row", "left").join(full, "_row", "left")
-    )
+    own = F.when(~F.col("_full"), F.col("_copies") + F.coalesce("_linked", F.lit(0))).otherwise(0)
     placed = materialize(
-        placed.select(
-            "_vec", "_root", "_least",
-            (F.coalesce("_n", F.col("_copies") + F.coalesce("_linked", F.lit(0))) - 1).alias("_links"),
+        rooted.join(listed, "_row", "left").join(full, "_row", "left").join(merged, "_root", "left")
+        .select(
+            "_vec", F.coalesce("_merged", "_root").alias("_root"), "_least",
+            (own + F.coalesce("_n", F.lit(0)) - 1).alias("_links"),
         )
     )
     least = placed.groupBy("_root").agg(F.min("_least").alias("_component"))

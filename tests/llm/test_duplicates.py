@@ -166,3 +166,33 @@ def test_full_counts_in_chunks(spark, monkeypatch):
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     want = (u @ u.T >= 0.95) @ (1 + np.arange(150) % 3)
     assert {r._row: r._n for r in full_counts(table).collect()} == dict(enumerate(want.tolist()))
+
+
+def test_links_between_saturated_groups(spark):
+    rng = np.random.default_rng(7)
+    axes = np.linalg.qr(rng.normal(size=(16, 16)))[0]
+    x = [axes[0] + rng.normal(size=16) * 0.01 for _ in range(40)]
+    x += [0.96 * axes[0] + 0.28 * axes[1] + rng.normal(size=16) * 0.01 for _ in range(30)]
+    x += [axes[0] - 0.25 * axes[2] + rng.normal(size=16) * 0.02 for _ in range(25)]
+    x += [axes[5] + rng.normal(size=16) * 0.01 for _ in range(30)]
+    x += [axes[3] + rng.normal(size=16) * 0.4 for _ in range(40)]
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(len(x)), x)] + [(900, x[0].tolist()), (901, x[50].tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = rows_of(embedding_links(table), "vec_id", "n_links", "component_id", "kept")
+    assert found == expected_links(rows)
+
+
+def test_guests_of_a_component(spark):
+    x = np.eye(8)[[0] * 20 + [0, 1, 2]] + np.random.default_rng(2).normal(size=(23, 8)) * 0.02
+    x[20] += 0.28 * np.eye(8)[3]
+    frame = spark.createDataFrame(
+        [(i, v.tolist(), 1 + i % 2, 0 if i < 20 else i, i < 20) for i, v in enumerate(x)],
+        "_row long, _vec array<double>, _copies long, _root long, _full boolean",
+    )
+    members = frame.filter("_full").select(frame["_root"].alias("root"), "_row", "_vec", "_copies")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    near[20:, 20:] = False
+    want = {i: n for i, n in enumerate((near @ (1 + np.arange(23) % 2)).tolist()) if n}
+    assert {r._row: r._n for r in embedding_dedup.full_counts(members, frame).collect() if r._n} == want
+    assert 20 in want and 21 not in want
