@@ -25,10 +25,18 @@ ROUNDS = 6
 SETTLED = 0.002
 """Descent ends when a round changes less than this share of the graph, or after ``ROUNDS`` rounds."""
 
-AUDITED = 256
+AUDITED = 1024
+LINKED = 128
+DRAWS = 4
+"""An audit compares ``AUDITED`` vectors of unsaturated lists with all, then twice as many, until ``LINKED``
+of them have links, in ``DRAWS`` draws at most."""
+
 RECALL = 0.99
 ENLARGED = 3
-"""An audit of ``AUDITED`` vectors against all; below ``RECALL`` lists are doubled, this often at most."""
+"""Below ``RECALL`` lists are doubled, this often at most; then all vectors are compared."""
+
+BLOCK = 2048
+"""Vectors per block where all are compared."""
 
 CHUNK = 512
 """Vectors per chunk, about, where a component is compared in full."""
@@ -174,33 +182,80 @@ def settle(graph: DataFrame, nodes: DataFrame, total: int, k: int) -> DataFrame:
 
 
 def audited_recall(graph: DataFrame, nodes: DataFrame, k: int) -> float:
-    """Share of the links of ``AUDITED`` vectors, compared with all, that their lists hold.
+    """Mean share of a vector's links that its list holds, over vectors whose list is not full of links.
 
-    The vectors are the ones with the smallest hashed numbers; their count bounds the broadcast. For
-    a vector with more links than its list can hold, a full list of links counts as whole.
+    Vectors come in the order of their hashed numbers and are compared with all, until `LINKED` of them
+    have links or the draws are over; each linked vector counts once, however many links it has. The size
+    of a draw bounds the broadcast.
     """
-    asked = nodes.orderBy(F.xxhash64("_row"), "_row").limit(AUDITED).select("_row", "_vec").collect()
-    shared = nodes.sparkSession.sparkContext.broadcast([(r[0], list(r[1])) for r in asked])
+    held = graph.filter(F.col("s") >= COSINE).groupBy(F.col("a").alias("_row")).agg(F.count("*").alias("held"))
+    lists = nodes.select("_row", "_vec").join(held, "_row", "left").withColumn("held", F.coalesce("held", F.lit(0)))
+    hashed = F.struct(F.xxhash64("_row").alias("h"), F.col("_row").alias("r"))
+    lists = materialize(lists.filter(F.col("held") < k).select("_row", "_vec", "held", hashed.alias("_order")))
+    shares, last = [], None
+    for draw in range(DRAWS):
+        rest = lists if last is None else lists.filter(F.col("_order") > F.struct(F.lit(last[0]).alias("h"), F.lit(last[1]).alias("r")))
+        asked = rest.orderBy("_order").limit(AUDITED << draw).collect()
+        if not asked:
+            break
+        last = asked[-1]["_order"]
+        there = counted_links(nodes, asked)
+        shares += [r["held"] / there[r["_row"]] for r in asked if r["_row"] in there]
+        if len(shares) >= LINKED:
+            break
+    return sum(shares) / len(shares) if shares else 1.0
+
+
+def counted_links(nodes: DataFrame, asked: list) -> dict[int, int]:
+    """How many of ``nodes`` each of the rows (_row, _vec) links with, for those that link with any."""
+    by_size: dict[int, list] = {}
+    for r in asked:
+        by_size.setdefault(len(r["_vec"]), []).append(r)
+    known = {n: (np.array([r["_row"] for r in some]), unit([r["_vec"] for r in some])) for n, some in by_size.items()}
+    shared = nodes.sparkSession.sparkContext.broadcast(known)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_size: dict[int, list] = {}
-        for row, vector in shared.value:
-            by_size.setdefault(len(vector), []).append((row, vector))
-        known = {n: (np.array([r for r, _ in some]), unit([v for _, v in some])) for n, some in by_size.items()}
+        counts = {size: np.zeros(len(ids), np.int64) for size, (ids, _) in shared.value.items()}
         for batch in batches:
-            vectors = batch.column(1).to_pylist()
-            rows, sizes = batch.column(0).to_numpy(), np.array([len(v) for v in vectors])
-            for size, (ids, x) in known.items():
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                vectors = part.column(1).to_pylist()
+                rows, sizes = part.column(0).to_numpy(), np.array([len(v) for v in vectors])
+                for size, (ids, x) in shared.value.items():
+                    some = np.flatnonzero(sizes == size)
+                    if len(some):
+                        near = x @ unit([vectors[i] for i in some]).T >= COSINE
+                        counts[size] += (near & (ids[:, None] != rows[some])).sum(axis=1)
+        for size, (ids, _) in shared.value.items():
+            yield pa.RecordBatch.from_pydict({"a": ids, "n": counts[size]})
+
+    found = in_python(nodes.select("_row", "_vec"), compare, "a long, n long")
+    return {r["a"]: r["total"] for r in found.groupBy("a").agg(F.sum("n").alias("total")).filter("total > 0").collect()}
+
+
+def exact_links(nodes: DataFrame, total: int, k: int) -> DataFrame:
+    """The edges of all linked pairs, at most ``k`` per vector and pair of blocks: all vectors compared."""
+    parts = max(1, math.ceil(total / BLOCK))
+    own = (F.col("_row") % parts).cast("int")
+    spread = nodes.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    ordered = (
+        spread.select(F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "_row", "_vec")
+        .repartition("lo", "hi").sortWithinPartitions("lo", "hi", "_row")
+    )
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (lo, hi), rows in grouped_rows(batches, 2):
+            sizes, block = np.array([len(r[4]) for r in rows]), np.array([r[2] for r in rows])
+            for size in np.unique(sizes).tolist():
                 some = np.flatnonzero(sizes == size)
-                if len(some):
-                    q, other = np.nonzero(x @ unit([vectors[i] for i in some]).T >= COSINE)
-                    yield pa.RecordBatch.from_pydict({"a": ids[q], "b": rows[some][other]})
+                x, ids = unit([rows[i][4] for i in some]), np.array([rows[i][3] for i in some])
+                similarity = x @ x.T
+                np.fill_diagonal(similarity, -2)
+                if lo != hi:
+                    similarity[block[some][:, None] == block[some][None, :]] = -2
+                yield edges_of(ids, similarity, np.full(len(some), np.nextafter(COSINE, 0)), k)
 
-    links = in_python(nodes.select("_row", "_vec"), compare, "a long, b long").filter("a != b")
-    there = links.groupBy("a").agg(F.least(F.count("*"), F.lit(k)).alias("there"))
-    held = graph.filter(F.col("s") >= COSINE).groupBy("a").agg(F.count("*").alias("held"))
-    found = there.join(held, "a", "left").agg(F.sum("there"), F.sum(F.least("there", F.coalesce("held", F.lit(0))))).first()
-    return 1.0 if not found[0] else found[1] / found[0]
+    return in_python(ordered, link, EDGE)
 
 
 def guests(nodes: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -335,7 +390,7 @@ def embedding_links(
 
     Equal vectors are one node. A neighbour graph starts from buckets of random hyperplanes and is refined
     by comparing neighbours of neighbours. Its recall is audited against all vectors, and lists are
-    enlarged and refined again while it is too low. A list that holds links only is saturated: the
+    enlarged and refined again while it is too low; if that does not help, all vectors are compared. A list that holds links only is saturated: the
     vector may have more. The component of such a vector is compared in full, in chunks, also with all
     vectors of other components that its angles allow to link, so no link of its members is missed.
     """
@@ -344,8 +399,11 @@ def embedding_links(
     k = NEIGHBOURS
     start = starting_graph(nodes, total, k, seed).withColumn("old", F.lit(False))
     graph = settle(materialize(best_lists(start, k)), nodes, total, k)
-    for turn in range(1, ENLARGED + 1):
-        if audited_recall(graph, nodes, k) >= RECALL:
+    turn = 0
+    while audited_recall(graph, nodes, k) < RECALL:
+        turn += 1
+        if turn > ENLARGED:
+            graph = materialize(best_lists(exact_links(nodes, total, k).withColumn("old", F.lit(False)), k))
             break
         k *= 2
         more = starting_graph(nodes, total, k, seed + turn).withColumn("old", F.lit(False))

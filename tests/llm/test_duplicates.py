@@ -196,3 +196,25 @@ def test_guests_of_a_component(spark):
     want = {i: n for i, n in enumerate((near @ (1 + np.arange(23) % 2)).tolist()) if n}
     assert {r._row: r._n for r in embedding_dedup.full_counts(members, frame).collect() if r._n} == want
     assert 20 in want and 21 not in want
+
+
+def test_audit_sees_sparse_vectors_beside_full_lists(spark):
+    rng = np.random.default_rng(5)
+    hot = np.ones(16) + rng.normal(size=(52, 16)) * 0.01
+    lone = np.repeat(rng.normal(size=(2, 16)), 2, axis=0) + rng.normal(size=(4, 16)) * 0.01
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([hot, lone]))], "_row long, _vec array<double>")
+    edges = [(i, (i + j) % 52, 0.99) for i in range(52) for j in range(1, 11)]
+    held = [(a, a ^ 1, 0.99) for a in range(52, 56)]
+    for extra, want in (([], 0.0), (held[:2], 0.5), (held, 1.0)):
+        graph = spark.createDataFrame(edges + extra, "a long, b long, s double")
+        assert embedding_dedup.audited_recall(graph, nodes, 10) == want
+
+
+def test_links_are_whole_where_descent_fails(spark, monkeypatch):
+    for name, value in (("TREES", 1), ("LEAF", 2), ("ROUNDS", 0), ("ENLARGED", 0), ("BLOCK", 50)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    rng = np.random.default_rng(11)
+    pairs = np.repeat(rng.normal(size=(60, 16)), 2, axis=0) + rng.normal(size=(120, 16)) * 0.12
+    rows = [(i, v.tolist()) for i, v in enumerate(pairs)] + [(500 + i, [1.0 + i, 2.0]) for i in range(3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert rows_of(embedding_links(table), "vec_id", "n_links", "component_id", "kept") == expected_links(rows)
