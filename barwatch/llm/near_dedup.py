@@ -104,7 +104,7 @@ def alignment(a: list[int], b: list[int]) -> float:
         a, b = b, a
     total = len(a) + len(b)
     need = SIMILARITY * total / (1 + SIMILARITY)
-    if len(a) < need or sum((Counter(a) & Counter(b)).values()) < need - 1e-9:
+    if len(a) < need - 1e-9 or sum((Counter(a) & Counter(b)).values()) < need - 1e-9:
         return 0.0
     band = int(total - 2 * need) + 1
     at: dict[int, int] = {}
@@ -219,7 +219,7 @@ def block_links(blocks: DataFrame) -> DataFrame:
 
 def length_fits(a: str, b: str) -> Column:
     """Whether texts with so many shingles can reach the similarity."""
-    return F.least(a, b) >= F.greatest(a, b) * SIMILARITY
+    return F.least(a, b) >= F.greatest(a, b) * SIMILARITY - 1e-9
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

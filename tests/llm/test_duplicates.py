@@ -218,3 +218,16 @@ def test_links_are_whole_where_descent_fails(spark, monkeypatch):
     rows = [(i, v.tolist()) for i, v in enumerate(pairs)] + [(500 + i, [1.0 + i, 2.0]) for i in range(3)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert rows_of(embedding_links(table), "vec_id", "n_links", "component_id", "kept") == expected_links(rows)
+
+
+def test_alignment_of_contained_sequences_at_the_threshold():
+    for t in range(1, 400):
+        assert alignment(list(range(4 * t)), list(range(5 * t))) == 0.8
+        assert alignment(list(range(4 * t)), list(range(5 * t + 1))) < 0.8
+
+
+def test_texts_a_quarter_longer_are_near(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[: n + 4])) for i, n in enumerate((28, 35))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.class_id for r in near_classes(docs).collect()} == {0}
