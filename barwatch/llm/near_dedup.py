@@ -20,8 +20,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 TABLES = 28
 TAKEN = 5
-"""Shingles per sketch. A pair at the threshold shares one sketch with probability 0.8**5 = 0.33, so all
-28 tables miss it with probability 1.4e-5; a pair that shares a tenth is a candidate with 3e-4."""
+"""Shingles per sketch. A pair of long texts at the threshold shares one sketch with probability 0.8**5 = 0.33,
+so all 28 tables miss it with probability 1.4e-5; shingles are drawn without replacement, so shorter texts are
+missed more often: 36 in 45 shingles with 3.2e-5. A pair that shares a tenth is a candidate with 3e-4."""
+
+SHORT = 40
+"""Texts of up to so many shingles also have their rarest ones as keys: pairs of them are never missed."""
 
 CHUNK = 256
 """Nodes of a chunk of a bucket, about."""
@@ -125,7 +129,10 @@ def alignment(a: list[int], b: list[int]) -> float:
 
 
 def sketch_rows(docs: DataFrame) -> DataFrame:
-    """(_id, _node, _n, _sketches) per row with a word: raw text's hash, number of shingles, sketches."""
+    """(_id, _node, _n, _sketches, _labelled) per row: raw text's hash, number of shingles, sketches.
+
+    ``_labelled`` are the labelled shingles of texts with at most ``SHORT``, else empty.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,12 +145,29 @@ def sketch_rows(docs: DataFrame) -> DataFrame:
                     sketches(hashed[x:y]).view(np.int64) if y > x else np.zeros(0, np.int64)
                     for x, y in zip(bounds, bounds[1:])
                 ]
+                short = [labelled(hashed[x : y if y - x <= SHORT else x]).view(np.int64) for x, y in zip(bounds, bounds[1:])]
                 keys = [batch.column(k).slice(i, j - i) for k in range(2)]
-                columns = [*keys, pa.array(np.diff(offsets)), pa.array(made, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "_node", "_n", "_sketches"])
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in (made, short)]
+                names = ["_id", "_node", "_n", "_sketches", "_labelled"]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(np.diff(offsets)), *lists], names)
 
     kind = docs.schema["_id"].dataType.simpleString()
-    return in_python(docs, read, f"_id {kind}, _node binary, _n long, _sketches array<long>")
+    return in_python(docs, read, f"_id {kind}, _node binary, _n long, _sketches array<long>, _labelled array<long>")
+
+
+def short_keys(nodes: DataFrame) -> DataFrame:
+    """(_row, _n, _bucket): the rarest labelled shingles of each short text that other texts have as well.
+
+    Of n shingles a partner shares at least 0.8 n, so in one order of all shingles the first of those two
+    texts share stands among the first n - ceil(0.8 n) + 1 of both.
+    """
+    single = nodes.select("_row", "_n", F.explode("_labelled").alias("_bucket"))
+    often = single.groupBy("_bucket").agg(F.count("*").alias("_often"))
+    listed = F.sort_array(F.collect_list(F.struct("_often", "_bucket")))
+    ranked = single.join(often, "_bucket").groupBy("_row", "_n").agg(listed.alias("_all"))
+    first = (F.col("_n") - F.ceil(F.col("_n") * SIMILARITY - 1e-9) + 1).cast("int")
+    keys = ranked.select("_row", "_n", F.explode(F.slice("_all", F.lit(1), first)).alias("_key"))
+    return keys.filter("_key._often > 1").select("_row", "_n", F.col("_key._bucket").alias("_bucket"))
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -231,8 +255,8 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     own id. A null id comes after all others. Rows that repeat id and text are marked alike;
     ``drop_near`` keeps one of them. Other columns are ignored; an empty table gives an empty result.
 
-    Equal texts are one node. Candidates are nodes that share a sketch in some table and whose lengths
-    allow the similarity. First every node is compared with the smallest partner of its buckets. Then
+    Equal texts are one node. Candidates are nodes that share a sketch in some table, or a rare shingle
+    if both are short (`short_keys`, no pair is missed), and whose lengths allow the similarity. First every node is compared with the smallest partner of its buckets. Then
     only buckets that still hold several classes are worked on, in blocks of ``CHUNK`` nodes: a block
     compares its classes and gives the links that connect them. So no link between classes is
     lost, no bucket is paired out into rows, and a bucket of near copies is mostly one class by then.
@@ -243,11 +267,12 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     known = materialize(sketch_rows(rows))
     distinct = (
         known.filter("_n > 0").groupBy("_node")
-        .agg(F.min("_id").alias("_least"), F.first("_n").alias("_n"), F.first("_sketches").alias("_sketches"))
+        .agg(F.min("_id").alias("_least"), F.first("_n").alias("_n"), F.first("_sketches").alias("_sketches"), F.first("_labelled").alias("_labelled"))
     )
     numbered, _ = numbered_rows(distinct, "_node")
     nodes = materialize(numbered)
-    entries = nodes.select("_row", "_n", F.explode("_sketches").alias("_bucket"))
+    entries = nodes.select("_row", "_n", F.explode("_sketches").alias("_bucket")).unionByName(short_keys(nodes))
+    entries = materialize(entries)
     heads = (
         entries.groupBy("_bucket").agg(F.min(F.struct("_row", "_n")).alias("_head"), F.count("*").alias("_many"))
         .filter("_many > 1")

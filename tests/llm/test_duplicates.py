@@ -231,3 +231,24 @@ def test_texts_a_quarter_longer_are_near(spark):
     rows = [(i, " ".join(words[: n + 4])) for i, n in enumerate((28, 35))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.class_id for r in near_classes(docs).collect()} == {0}
+
+
+def test_short_texts_are_never_missed(spark):
+    rng = random.Random(12)
+    texts = []
+    for n in list(range(5, 45)) * 2:
+        some = [f"{n}-{rng.random()}" for _ in range(n)]
+        shingles = max(1, n - 4)
+        texts += [some, some + ["x"] * (shingles // 4), ["y"] * (shingles // 4) + some]
+    texts += [["all", "of", "it", "is", "here", f"t{i}", "and", "there"] for i in range(30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [shingles_of(t) for _, t in rows]
+    linked = []
+    for i in range(len(rows)):
+        for j in range(i):
+            common = sum((sets[i] & sets[j]).values())
+            if 9 * common >= 4 * (sum(sets[i].values()) + sum(sets[j].values())):
+                linked.append((i, j))
+    want = connected(range(len(rows)), linked)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_classes(docs).collect()} == want
