@@ -10,7 +10,7 @@ import numpy as np
 import tiktoken
 
 from barwatch.llm.pretokens import byte_pieces, is_plain, word_pieces
-from barwatch.llm.textarrays import HashIndex, SliceHash, chunks, spread_ranges
+from barwatch.llm.textarrays import HashIndex, chunks, slice_hashes, spread_ranges
 
 MEMORY = 500_000
 """Pieces a worker remembers; beyond that it starts anew, which changes no result."""
@@ -70,7 +70,7 @@ class PieceEncoder:
         self.word_ends = self.tokenizer.normalizer is not None
         self.split: Callable = word_pieces if self.word_ends else byte_pieces
         self.merges, self.closing = merger(path)
-        self.hashes = SliceHash(0), SliceHash(1)
+        self.hashes = slice_hashes()
         self._forget()
 
     def _forget(self) -> None:

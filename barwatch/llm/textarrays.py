@@ -41,11 +41,82 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+PRIME = np.uint64((1 << 61) - 1)
+SHORT_SLICE = 1 << 11
+"""Code points in a slice up to which products of 53 bits can be summed."""
+
+LOW31, LOW30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo `PRIME`."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.minimum(x, x - PRIME)  # below zero it wraps to a large number
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b`` modulo `PRIME` for factors below it, from products of halves (2**61 counts as 1)."""
+    a1, a0, b1, b0 = a >> np.uint64(31), a & LOW31, b >> np.uint64(31), b & LOW31
+    middle = a1 * b0 + a0 * b1
+    return reduced(((a1 * b1) << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & LOW30) << np.uint64(31)) + a0 * b0)
+
+
+class PrimeSliceHash:
+    """Hashes of slices of an array, by prefix sums of a polynomial modulo the prime 2**61 - 1.
+
+    Two different slices of n values collide for at most n of all bases, whatever their structure.
+    """
+
+    def __init__(self) -> None:
+        self.base = BASES[0] % int(PRIME)
+        self.inverse = pow(self.base, -1, int(PRIME))
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        while len(self.powers) < n:
+            for name, factor in (("powers", self.base), ("inverses", self.inverse)):
+                some = getattr(self, name)
+                step = np.uint64(pow(factor, len(some), int(PRIME)))
+                setattr(self, name, np.concatenate([some, product(some, step)]))
+
+    def __call__(self, values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """One 64-bit hash per slice [begin, end); values count from 1, so zeros at the end do count."""
+        self._reach(len(values) + 1)
+        powers = self.powers[: len(values)]
+        if values.dtype.itemsize <= 4:
+            # Code points: sums of products with half a power stay below 2**64 in short slices, and
+            # wrapped prefix sums give them exactly.
+            counted = values.astype(np.uint64) + np.uint64(1)
+            high, low = self._sums(counted * (powers >> np.uint64(31)), counted * (powers & LOW31), begin, end)
+            for k in np.flatnonzero(end - begin > SHORT_SLICE).tolist():
+                i, j = int(begin[k]), int(end[k])
+                terms = product(counted[i:j], powers[i:j])
+                high[k], low[k] = (terms >> np.uint64(31)).sum(), (terms & LOW31).sum()
+        else:
+            terms = product(reduced(values.astype(np.uint64)) + np.uint64(1), powers)
+            high, low = self._sums(terms >> np.uint64(31), terms & LOW31, begin, end)
+        high, low = reduced(high), reduced(low)
+        turned = ((high & LOW30) << np.uint64(31)) | (high >> np.uint64(30))
+        return mixed(product(reduced(turned + low), self.inverses[begin]))
+
+    @staticmethod
+    def _sums(high: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for some in (high, low):
+            sums = np.zeros(len(some) + 1, np.uint64)
+            np.cumsum(some, out=sums[1:])
+            out.append(sums[end] - sums[begin])
+        return out
+
+
 class SliceHash:
-    """64-bit hashes of slices of an array, by prefix sums of a polynomial modulo 2**64."""
+    """64-bit hashes of slices of an array, by prefix sums of a polynomial modulo 2**64.
+
+    Cheap, but some patterns of two values collide whatever the base: only beside a `PrimeSliceHash`.
+    """
 
-    def __init__(self, which: int = 0) -> None:
-        self.base = BASES[which]
+    def __init__(self) -> None:
+        self.base = BASES[1]
         self.inverse = pow(self.base, -1, 1 << 64)
         self.powers = self.inverses = np.ones(1, np.uint64)
 
@@ -68,6 +139,11 @@ class SliceHash:
         return mixed((sums[end] - sums[begin]) * self.inverses[begin])
 
 
+def slice_hashes() -> tuple[PrimeSliceHash, SliceHash]:
+    """Two hashes of different kind: together 125 bits, the first sound by itself."""
+    return PrimeSliceHash(), SliceHash()
+
+
 class HashIndex:
     """Numbers for 128-bit keys in order of arrival: open addressing, looked up for whole arrays."""
 

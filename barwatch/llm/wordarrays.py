@@ -1,16 +1,16 @@
-"""Words of many texts as arrays, and 128-bit hashes of word sequences."""
+"""Words of many texts as arrays, and hashes of word sequences, in two halves."""
 
 from __future__ import annotations
 
 import numpy as np
 
-from barwatch.llm.textarrays import SliceHash
+from barwatch.llm.textarrays import slice_hashes
 
 GAP = np.zeros(256, bool)
 GAP[[9, 10, 11, 12, 13, 32]] = True
 
-_letters = SliceHash(0), SliceHash(1)
-_sequences = SliceHash(0), SliceHash(1)
+_letters = slice_hashes()
+_sequences = slice_hashes()
 
 
 class Words:
