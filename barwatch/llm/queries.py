@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from barwatch.llm import (
     bpe,
+    clustering,
     embedding_dedup,
     exact_dedup,
     language,
     line_dedup,
     near_dedup,
+    negatives,
     packing,
+    quality_score,
     sharding,
     substring_dedup,
     token_files,
@@ -77,6 +80,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json")).drop("ids")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_score.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -90,5 +105,8 @@ QUERIES: dict[str, Query] = {
         op8_token_files,
         op9_near_dedup,
         op10_packing,
+        op11_centroid_clustering,
+        op12_quality,
+        op13_hard_negatives,
     )
 }
