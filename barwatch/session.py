@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,3 +73,25 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(tasks, *keys)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for functions that run in their Python workers.
+
+    Spark hands the archive to every executor, also to those that join later.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / "barwatch_package.zip"
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for source in sorted(top.rglob("*.py")):
+            out.write(source, source.relative_to(top.parent))
+    archive.write_bytes(packed.getvalue())
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
