@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import io
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 from itertools import groupby
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barwatch.session import materialize
+from barwatch.session import materialize, ship_package
 
 WHITE = " \t\n\x0b\x0c\r"
 """The characters that separate words and that content comparison ignores."""
@@ -23,25 +19,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_shipped: set[str] = set()
-
-
 def in_python(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``rows.mapInArrow(function, schema)``, with this package sent to the executors first.
-
-    Spark hands the archive to every executor, also to those that join later.
-    """
-    context = rows.sparkSession.sparkContext
-    if context.applicationId not in _shipped:
-        top = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="package-")) / "barwatch_package.zip"
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w") as out:
-            for source in sorted(top.rglob("*.py")):
-                out.write(source, source.relative_to(top.parent))
-        archive.write_bytes(packed.getvalue())
-        context.addPyFile(str(archive))
-        _shipped.add(context.applicationId)
+    """``rows.mapInArrow(function, schema)``, with this package sent to the executors first."""
+    ship_package(rows.sparkSession)
     return rows.mapInArrow(function, schema)
 
 
