@@ -21,7 +21,7 @@ from barwatch.functions.trailing import (
 PIECE_ROWS = 16_384
 
 
-def _number(name: str) -> Column:
+def number(name: str) -> Column:
     """The column as a double, with NaN read as missing."""
     value = F.col(name).cast("double")
     return F.when(~F.isnan(value), value)
@@ -50,9 +50,9 @@ def compute_features(
     source = bars.select(
         "date",
         "ticker",
-        _number("adj_close").alias("adj_close"),
-        log_volume(_number("volume")).alias("log_volume"),
-        relative_range(_number("high"), _number("low"), _number("close")).alias("span"),
+        number("adj_close").alias("adj_close"),
+        log_volume(number("volume")).alias("log_volume"),
+        relative_range(number("high"), number("low"), number("close")).alias("span"),
     )
 
     def add(rows: DataFrame, order: WindowSpec) -> DataFrame:
@@ -74,8 +74,8 @@ def eda_columns(bars: DataFrame, piece_rows: int | None = None) -> DataFrame:
     source = bars.select(
         "date",
         "ticker",
-        _number("adj_close").alias("adj_close"),
-        log_volume(_number("volume")).alias("log_volume"),
+        number("adj_close").alias("adj_close"),
+        log_volume(number("volume")).alias("log_volume"),
     )
 
     def add(rows: DataFrame, order: WindowSpec) -> DataFrame:
