@@ -285,9 +285,9 @@ def kmeans_thresholds(spark, sf_dir):
 
 @query
 def kmeans_thresholds_searched(spark, sf_dir):
-    """The same thresholds by counting into bins, as for clusters too large for one task."""
+    """The same thresholds by brackets brought closer step by step, as for clusters too large to rank what one bracket holds."""
     scored = nearest_centroid(_train(_stored_points(spark, sf_dir)), CENTROIDS)
-    return percentile_by_group(scored, "cluster", "distance", 97.5)
+    return percentile_by_group(scored, "cluster", "distance", 97.5, sketch=512, settle_rows=100)
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from barwatch.config import FEATURES
+from barwatch.functions import quantiles
 from barwatch.functions.quantiles import percentile_by_group
 from barwatch.operators.kmeans import (
     cluster_thresholds,
@@ -96,20 +97,36 @@ def test_thresholds_interpolate(spark):
     }
 
 
-@pytest.mark.parametrize("percent", [0, 12.5, 50, 95, 97.5, 100])
-def test_searched_percentiles_equal_numpy(spark, percent):
+# Whole, by brackets that are brought closer step by step, and with sketches too small for their margin.
+@pytest.mark.parametrize("percent, sketch, settle_rows", [
+    (0, 256, 40), (12.5, 8, 5), (50, 256, 40), (95, 4096, 200_000), (97.5, 256, 40), (100, 8, 5)])
+def test_searched_percentiles_equal_numpy(spark, percent, sketch, settle_rows):
     rng = np.random.default_rng(5)
     groups = {0: rng.normal(size=4001), 1: np.repeat(3.25, 500), 2: np.array([7.0]),
               3: np.concatenate([np.repeat(1.0, 3000), rng.pareto(0.5, 1000), [1 + 1e-15]])}
     rows = [(g, float(v)) for g, values in groups.items() for v in values]
     frame = spark.createDataFrame(rows, "cluster int, distance double")
-    got = percentile_by_group(frame, "cluster", "distance", percent)
+    got = percentile_by_group(frame, "cluster", "distance", percent, sketch, settle_rows)
     found = {r["cluster"]: r["threshold"] for r in got.collect()}
     assert set(found) == set(groups)
     for g, values in groups.items():
         assert found[g] == pytest.approx(np.percentile(values, percent), rel=1e-12)
 
 
+def test_a_sketch_that_misses_is_noticed(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "margin", lambda sketch: 1e-9)
+    rng = np.random.default_rng(6)
+    values = rng.normal(size=20_000)
+    frame = spark.createDataFrame([(0, float(v)) for v in values], "cluster int, distance double")
+    got = percentile_by_group(frame, "cluster", "distance", 70, sketch=16).first()
+    assert got["threshold"] == pytest.approx(np.percentile(values, 70), rel=1e-12)
+
+
+def test_percentiles_of_nothing(spark):
+    frame = spark.createDataFrame([(0, None)], "cluster int, distance double")
+    assert percentile_by_group(frame, "cluster", "distance", 50).collect() == []
+
+
 def test_detection_is_strict_and_skips_clusters_without_threshold(spark):
     rows = scored(spark, [0.7, 0.69, 0.71, 4.0, 1.5], [2, 2, 2, 7, 5], list("pqrst"))
     thresholds = spark.createDataFrame([(2, 0.7), (5, 1.25)], "cluster int, threshold double")
