@@ -715,9 +715,184 @@ FROM binned""",
 ORACLE["quality_drop_listed"] = ORACLE["quality_clean"]
 ORACLE["quality_gate"] = ORACLE["quality_clean"]
 ORACLE["features_pieces"] = ORACLE["features"]
+ORACLE["dbscan_added_val"] = ORACLE["dbscan_noise_val"]
+ORACLE["dbscan_added_test"] = ORACLE["dbscan_noise_test"]
 ORACLE["kmeans_thresholds_searched"] = ORACLE["kmeans_thresholds"]
 ORACLE["dbscan_labels"] = (
     "WITH RECURSIVE "
     + ",".join([*WIDE, POINTS, LABELS])
     + "\nSELECT date, ticker, cluster FROM labels"
 )
+
+
+KM_STARTS, KM_DRAWS, KM_DRAWN, KM_SEED = 3, 2, 100, 42
+
+
+def _square(a: str, b: str) -> str:
+    return " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in "xyz")
+
+
+def _lloyd(name: str, first: str, rows: str, weight: str) -> str:
+    """(round, cs, moved): centroids as a list of structs, moved to the weighted means of their rows until they settle."""
+    parts = ", ".join(f"'{c}': sum({weight} * {c}) / sum({weight})" for c in "xyz")
+    return f"""
+{name} AS (
+  SELECT 0 AS round, list({{'x': x, 'y': y, 'z': z}} ORDER BY i) AS cs, 1e300::DOUBLE AS moved FROM {first}
+  UNION ALL
+  SELECT round + 1, means, list_max(list_transform(list_zip(means, cs), lambda p: {_square('p[1]', 'p[2]')}))
+  FROM (
+    SELECT round, cs, list_transform(range(len(cs)), lambda i: coalesce(list_extract(map_extract(found, i), 1), cs[i + 1])) AS means
+    FROM (
+      SELECT round, cs, map_from_entries(list((c, mean))) AS found
+      FROM (
+        SELECT round, cs, c, {{{parts}}} AS mean
+        FROM (
+          SELECT *, list_position(squares, list_min(squares)) - 1 AS c
+          FROM (SELECT l.round, l.cs, t.*, list_transform(l.cs, lambda q: {_square('t', 'q')}) AS squares
+                FROM {name} l, {rows} t WHERE l.moved > 1e-8 AND l.round < 300)
+        )
+        GROUP BY round, cs, c
+      ) GROUP BY round, cs
+    )
+  )
+)"""
+
+
+def fitted(k: int) -> list[str]:
+    """Tables of a K-Means fit: ``fit{k}`` has its centroids (i, x, y, z, inertia), in order."""
+    tables = []
+    for start in range(KM_STARTS):
+        tag = f"{k}_{start}"
+
+        def u(draw: int) -> str:
+            text = f"date || '|' || ticker || '|{KM_SEED}/{k}/{start}/{draw}'"
+            return f"((CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) + 0.5) / 16::DOUBLE ** 13)"
+
+        tables.append(f"""
+cands{tag}_0 AS MATERIALIZED (
+  SELECT CAST(0 AS BIGINT) AS i, x, y, z FROM train ORDER BY -ln({u(0)}), date, ticker LIMIT 1
+)""")
+        for draw in range(1, KM_DRAWS + 1):
+            before = f"cands{tag}_{draw - 1}"
+            tables.append(f"""
+cands{tag}_{draw} AS MATERIALIZED (
+  FROM {before}
+  UNION ALL
+  SELECT (SELECT count(*) FROM {before}) + row_number() OVER (ORDER BY race, date, ticker) - 1, x, y, z
+  FROM (
+    SELECT *, -ln({u(draw)}) / away AS race
+    FROM (SELECT t.date, t.ticker, t.x, t.y, t.z, min({_square('t', 'c')}) AS away FROM train t, {before} c GROUP BY ALL)
+    WHERE away > 0
+    ORDER BY race, date, ticker LIMIT {KM_DRAWN}
+  )
+)""")
+        tables.append(f"""
+weighed{tag} AS MATERIALIZED (
+  SELECT c.i, c.x, c.y, c.z, coalesce(n, 0)::DOUBLE AS w
+  FROM cands{tag}_{KM_DRAWS} c LEFT JOIN (
+    SELECT i, count(*) AS n
+    FROM (SELECT c.i FROM train t, cands{tag}_{KM_DRAWS} c
+          QUALIFY row_number() OVER (PARTITION BY t.date, t.ticker ORDER BY {_square('t', 'c')}, c.i) = 1)
+    GROUP BY i
+  ) USING (i)
+)""")
+        tables.append(f"""
+taken{tag}_1 AS (SELECT CAST(0 AS BIGINT) AS i, x, y, z FROM (FROM weighed{tag} ORDER BY w DESC, i LIMIT 1))""")
+        for n in range(2, k + 1):
+            tables.append(f"""
+taken{tag}_{n} AS MATERIALIZED (
+  FROM taken{tag}_{n - 1}
+  UNION ALL
+  SELECT CAST({n - 1} AS BIGINT), x, y, z FROM (
+    SELECT c.i, c.x, c.y, c.z, c.w * min({_square('c', 't')}) AS gain FROM weighed{tag} c, taken{tag}_{n - 1} t
+    GROUP BY c.i, c.x, c.y, c.z, c.w HAVING gain > 0 ORDER BY gain DESC, c.i LIMIT 1
+  )
+)""")
+        tables.append(_lloyd(f"rough{tag}", f"taken{tag}_{k}", f"weighed{tag}", "w"))
+        tables.append(f"""
+first{tag} AS MATERIALIZED (
+  SELECT generate_subscripts(cs, 1) AS i, unnest(cs, recursive := true)
+  FROM (SELECT cs FROM rough{tag} ORDER BY round DESC LIMIT 1)
+)""")
+    costs = " UNION ALL ".join(
+        f"SELECT {s} AS start, sum(list_min(list_transform(cs, lambda q: {_square('t', 'q')}))) AS inertia "
+        f"FROM train t, (SELECT list({{'x': x, 'y': y, 'z': z}} ORDER BY i) AS cs FROM first{k}_{s})"
+        for s in range(KM_STARTS)
+    )
+    firsts = " UNION ALL ".join(f"SELECT {s} AS start, * FROM first{k}_{s}" for s in range(KM_STARTS))
+    tables.append(f"""
+best{k} AS MATERIALIZED (
+  SELECT i, x, y, z FROM ({firsts}) WHERE start = (SELECT start FROM ({costs}) ORDER BY inertia, start LIMIT 1)
+)""")
+    tables.append(_lloyd(f"fine{k}", f"best{k}", "train", "1"))
+    tables.append(f"""
+fit{k} AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY x, y, z) - 1 AS i, x, y, z, inertia
+  FROM (
+    SELECT unnest(cs, recursive := true), (SELECT sum(list_min(list_transform(f.cs, lambda q: {_square('t', 'q')}))) FROM train t) AS inertia
+    FROM (SELECT cs FROM fine{k} ORDER BY round DESC LIMIT 1) f
+  )
+)""")
+    return tables
+
+
+TRAIN = """
+train AS MATERIALIZED (SELECT date, ticker, x, y, z FROM points WHERE split = 'train')"""
+
+
+def with_fits(*ctes: str, final: str) -> str:
+    return "WITH RECURSIVE " + ",".join(ctes) + "\n" + final
+
+
+ORACLE["kmeans_fitted"] = with_fits(
+    *WIDE,
+    POINTS,
+    TRAIN,
+    *fitted(3),
+    f"""
+fit_scores AS MATERIALIZED (
+  SELECT date, ticker, split, CAST(i AS INTEGER) AS cluster, distance
+  FROM (SELECT p.date, p.ticker, p.split, f.i, sqrt({_square('p', 'f')}) AS distance FROM points p, fit3 f)
+  QUALIFY row_number() OVER (PARTITION BY date, ticker ORDER BY distance, i) = 1
+),
+fit_thresholds AS (
+  SELECT cluster, quantile_cont(distance, 0.95) AS threshold FROM fit_scores WHERE split = 'train' GROUP BY cluster
+)""",
+    final=f"""
+SELECT date, ticker, 1 AS anomaly_flag, cluster, {r6('distance', 'distance')}
+FROM fit_scores JOIN fit_thresholds USING (cluster) WHERE split = 'test' AND distance > threshold""",
+)
+
+
+def _silhouette_of(k: int) -> str:
+    """Mean silhouette under squared distance of one fit, from sums per cluster."""
+    return f"""
+near{k} AS MATERIALIZED (
+  SELECT t.date, t.ticker, t.x, t.y, t.z, f.i AS own FROM train t, fit{k} f
+  QUALIFY row_number() OVER (PARTITION BY t.date, t.ticker ORDER BY sqrt({_square('t', 'f')}), f.i) = 1
+),
+sums{k} AS MATERIALIZED (
+  SELECT own AS i, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(z) AS sz, sum(x * x + y * y + z * z) AS ss FROM near{k} GROUP BY own
+),
+score{k} AS (
+  SELECT avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS silhouette
+  FROM (
+    SELECT max(CASE WHEN i = own THEN n END) AS own_n, max(CASE WHEN i = own THEN far / nullif(n - 1, 0) END) AS a,
+           min(CASE WHEN i <> own THEN far / n END) AS b
+    FROM (SELECT t.*, s.i, s.n, greatest(0, s.n * (x * x + y * y + z * z) - 2 * (x * sx + y * sy + z * sz) + ss) AS far
+          FROM near{k} t, sums{k} s)
+    GROUP BY date, ticker
+  )
+)"""
+
+
+ORACLE["kmeans_selection"] = with_fits(
+    *WIDE,
+    POINTS,
+    TRAIN,
+    *[t for k in range(2, 8) for t in [*fitted(k), _silhouette_of(k)]],
+    final=" UNION ALL ".join(
+        f"SELECT CAST({k} AS INTEGER) AS k, {r6(f'(SELECT max(inertia) FROM fit{k})', 'inertia')}, {r6('silhouette', 'silhouette')} FROM score{k}"
+        for k in range(2, 8)
+    ),
+)

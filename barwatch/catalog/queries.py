@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from barwatch.config import ELBOW_RANGE, FEATURES, Period, Splits, year
+from barwatch.config import FEATURES, Period, Splits, year
 from barwatch.functions.quantiles import percentile_by_group
 from barwatch.operators import evaluation, market, quality, reporting
 from barwatch.operators.consensus import consensus
 from barwatch.operators.dbscan import cluster_labels, expanding_refit, noise_rate
+from barwatch.operators.dbscan_state import expanding_additions
 from barwatch.operators.features import compute_features, eda_columns
 from barwatch.operators.kdistance import k_distance
-from barwatch.operators.kmeans import cluster_thresholds, fit_kmeans, nearest_centroid
+from barwatch.operators.kmeans import cluster_thresholds, fit_each, fit_kmeans, nearest_centroid
 from barwatch.operators.prep import scaled_points
 from barwatch.operators.rules import rule_anomalies
 from barwatch.operators.silhouette import (
@@ -318,8 +319,7 @@ def kmeans_fit_check(spark, sf_dir):
     """
     train = _train(_stored_points(spark, sf_dir))
     parts = []
-    for k in ELBOW_RANGE:
-        centroids, inertia = fit_kmeans(train, k)
+    for k, (centroids, inertia) in fit_each(train).items():
         squares = F.array(*[F.lit(sum(x * x for x in c)) for c in centroids])
         around = F.sum(F.element_at(squares, F.col("cluster") + 1))
         points = F.count("*")
@@ -366,6 +366,17 @@ def dbscan_noise_test(spark, sf_dir):
     return expanding_refit(_stored_points(spark, sf_dir), "test")
 
 
+@query
+def dbscan_added_val(spark, sf_dir):
+    """Noise of the validation split, added to the stored state of the training split."""
+    return expanding_additions(_stored_points(spark, sf_dir), "val")
+
+
+@query
+def dbscan_added_test(spark, sf_dir):
+    return expanding_additions(_stored_points(spark, sf_dir), "test")
+
+
 @query
 def dbscan_noise_rate(spark, sf_dir):
     points = _stored_points(spark, sf_dir)

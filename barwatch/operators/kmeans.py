@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+
+import numpy as np
+import pyarrow as pa
+from pyspark.mllib.clustering import KMeans as RddKMeans
+from pyspark.mllib.clustering import KMeansModel
+from pyspark.mllib.linalg import Vectors
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwatch.config import (
@@ -16,26 +22,172 @@ from barwatch.config import (
     THRESHOLD_PERCENTILE,
 )
 from barwatch.functions.quantiles import percentile_by_group
+from barwatch.session import ship_package
 
-Centroids = list[tuple[float, ...]]
+STARTS = 3
+"""Sets of first centroids from different seeds, of which the one with the least inertia is moved on."""
+
+DRAWS = 2
+DRAWN = 100
+"""Draws, and rows of each, from which a start's centroids are chosen; they bound what the driver holds."""
+
+TOLERANCE = 1e-4
+"""A fit ends when no centroid moves farther than this."""
+
+ROUNDS = 300
+
+Centroid = tuple[float, ...]
+Centroids = list[Centroid]
+
+
+def _squares(x: np.ndarray, centroids: Centroids) -> np.ndarray:
+    """Squared distance of each row of ``x`` to each centroid, added up column by column."""
+    return sum((x[:, j, None] - np.array([c[j] for c in centroids])) ** 2 for j in range(x.shape[1]))
+
+
+def _uniform(key: list[str], tag: str) -> Column:
+    """A number between 0 and 1 per row that depends on its key and ``tag`` alone."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(tag))
+    return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
+
+
+def _drawn(points: DataFrame, columns: list[str], key: list[str], tags: list[str], chosen: list[Centroids], rows: int) -> list[Centroids]:
+    """Per start ``rows`` rows with a chance in proportion to the squared distance to those chosen, as one job.
+
+    The rows with the least -ln(u) / distance are such a draw, whatever their order or partitions. A task gives
+    out its own least rows.
+    """
+    drawn = [_uniform(key, tag).alias(f"_u{s}") for s, tag in enumerate(tags)]
+    numbered = points.select(F.struct(*key).alias("key"), *columns, *drawn)
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, batch.num_columns)]
+            x, u = np.stack(values[: len(columns)], axis=1), values[len(columns) :]
+            for s, some in enumerate(chosen):
+                away = _squares(x, some).min(axis=1) if some else np.ones(len(x))
+                with np.errstate(divide="ignore"):
+                    race = np.where(away > 0, -np.log(u[s]) / away, np.inf)
+                first = np.argsort(race, kind="stable")
+                # Rows with equal races are told apart by their keys later on, so all of them go on.
+                last = race[first[min(rows, len(first)) - 1]] if len(first) else np.inf
+                best = first[(race[first] <= last) & (race[first] < np.inf)]
+                at = pa.array(best)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(best), s, np.int32)), pa.array(race[best]), *[batch.column(i).take(at) for i in range(len(columns) + 1)]],
+                    ["start", "race", "key", *columns],
+                )
+
+    shape = f"start int, race double, key {numbered.schema['key'].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in columns)
+    ship_package(points.sparkSession)
+    place = F.row_number().over(Window.partitionBy("start").orderBy("race", "key"))
+    ranked = numbered.mapInArrow(least, shape).withColumn("place", place).filter(F.col("place") <= rows)
+    out: list[Centroids] = [[] for _ in tags]
+    for r in ranked.orderBy("start", "place").collect():
+        out[r["start"]].append(tuple(r[c] for c in columns))
+    return out
+
+
+def _best_of(candidates: Centroids, weights: list[float], k: int) -> Centroids:
+    """A weighted fit of the candidates, bounded in number.
+
+    It starts with the heaviest, then each time with the one of the greatest weight times squared distance to
+    those taken.
+    """
+    x, w = np.array(candidates), np.array(weights)
+    taken = [int(w.argmax())]
+    while len(taken) < k:
+        gain = w * _squares(x, [candidates[i] for i in taken]).min(axis=1)
+        if gain.max() <= 0:
+            break
+        taken.append(int(gain.argmax()))
+    old = x[taken]
+    for _ in range(ROUNDS):
+        place = _squares(x, old.tolist()).argmin(axis=1)
+        size = np.bincount(place, w, len(old))
+        sums = np.stack([np.bincount(place, w * c, len(old)) for c in x.T], axis=1)
+        new = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], old)
+        moved, old = ((new - old) ** 2).sum(axis=1).max(), new
+        if moved <= TOLERANCE**2:
+            break
+    return [tuple(c) for c in old.tolist()]
+
+
+def _tallied(points: DataFrame, columns: list[str], centroids: dict[int, Centroids]) -> dict[tuple[int, int], tuple]:
+    """Per start and centroid its rows, their squared distances and their sums, from one pass."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {s: np.zeros((len(c), len(columns) + 2)) for s, c in centroids.items()}
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))], axis=1)
+            for s, c in centroids.items():
+                squares = _squares(x, c)
+                place = squares.argmin(axis=1)
+                parts = [np.ones(len(x)), squares.min(axis=1), *x.T]
+                sums[s] += np.stack([np.bincount(place, p, len(c)) for p in parts], axis=1)
+        for s, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s] * len(total), pa.int32()), pa.array(range(len(total)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))],
+                ["start", "place", "sums"],
+            )
+
+    ship_package(points.sparkSession)
+    parts = points.select(*columns).mapInArrow(add, "start int, place int, sums array<double>")
+    whole = parts.groupBy("start", "place").agg(*[F.sum(F.col("sums")[i]) for i in range(len(columns) + 2)])
+    return {(r[0], r[1]): tuple(r[2:]) for r in whole.collect()}
 
 
 def fit_kmeans(
-    train: DataFrame, k: int = CLUSTERS, seed: int = SEED, columns: list[str] = FEATURES
+    train: DataFrame,
+    k: int = CLUSTERS,
+    seed: int = SEED,
+    columns: list[str] = FEATURES,
+    key: list[str] = KEY,
+    starts: int = STARTS,
 ) -> tuple[Centroids, float]:
     """Fit on the scaled training rows; returns the centroids, sorted, and the inertia.
 
-    ``train`` is read once per iteration, so pass a stored table. Which optimum is reached depends
-    on the partitioning as well as on the seed; sorting makes the cluster numbers reproducible.
+    Every start makes `DRAWS` draws of `DRAWN` rows with a chance in proportion to the squared distance to
+    the rows it has and weighs them by the rows nearest to each; a fit of these gives its first centroids. The start with the
+    least inertia over all rows wins, and its centroids move to the means of their rows until they settle; these rounds run
+    on vectors that the executors hold. Chances come from hashes of ``key``, so rows and seed decide the result and
+    partitions do not. ``train`` is read some times: pass a stored table. With fewer than k different rows there are
+    fewer centroids.
     """
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(
-        train.select(*columns)
-    )
-    if vectors.isEmpty():
+    points = train.select(*key, *[F.col(c).cast("double") for c in columns])
+    if points.isEmpty():
         raise ValueError("no training rows")
-    model = KMeans(k=k, seed=seed, maxIter=300).fit(vectors)
-    centroids = sorted(tuple(float(x) for x in c) for c in model.clusterCenters())
-    return centroids, float(model.summary.trainingCost)
+
+    def tags(draw: int) -> list[str]:
+        return [f"{seed}/{k}/{start}/{draw}" for start in range(starts)]
+
+    candidates = _drawn(points, columns, key, tags(0), [[]] * starts, 1)
+    for draw in range(1, DRAWS + 1):
+        more = _drawn(points, columns, key, tags(draw), candidates, DRAWN)
+        candidates = [a + b for a, b in zip(candidates, more)]
+    weighed = _tallied(points, columns, dict(enumerate(candidates)))
+    fits = {
+        s: _best_of(some, [weighed[s, i][0] for i in range(len(some))], k)
+        for s, some in enumerate(candidates)
+    }
+
+    def inertia(some: dict[int, Centroids]) -> dict[int, float]:
+        found = _tallied(points, columns, some)
+        return {s: sum(found[s, i][1] for i in range(len(c))) for s, c in some.items()}
+
+    costs = inertia(fits)
+    best = fits[min(fits, key=lambda s: (costs[s], s))]
+    vectors = points.select(F.array(*columns).alias("v")).rdd.map(lambda r: Vectors.dense(r.v))
+    model = RddKMeans.train(vectors, len(best), ROUNDS, epsilon=TOLERANCE, initialModel=KMeansModel([Vectors.dense(c) for c in best]))
+    centroids = sorted(tuple(float(x) for x in c) for c in model.clusterCenters)
+    return centroids, inertia({0: centroids})[0]
+
+
+def fit_each(train: DataFrame, ks: Iterable[int] = ELBOW_RANGE, seed: int = SEED) -> dict[int, tuple[Centroids, float]]:
+    """One fit per k. They are independent and mostly wait for small jobs, so they run side by side."""
+    ks = list(ks)
+    with ThreadPoolExecutor(len(ks)) as pool:
+        return dict(zip(ks, pool.map(lambda k: fit_kmeans(train, k, seed), ks)))
 
 
 def nearest_centroid(
@@ -43,7 +195,7 @@ def nearest_centroid(
 ) -> DataFrame:
     """Add ``cluster`` and ``distance`` (Euclidean) by column expressions over the k centroids."""
 
-    def to(centroid: tuple[float, ...]):
+    def to(centroid: Centroid) -> Column:
         squares = [(F.col(c) - x) * (F.col(c) - x) for c, x in zip(columns, centroid)]
         return F.sqrt(sum(squares[1:], squares[0]))
 
@@ -78,5 +230,5 @@ def kmeans_anomalies(scored: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 def elbow_curve(train: DataFrame, ks: range = ELBOW_RANGE, seed: int = SEED) -> DataFrame:
     """(k, inertia) of one fit per k on a stored training table."""
-    rows = [(k, fit_kmeans(train, k, seed)[1]) for k in ks]
+    rows = [(k, inertia) for k, (_, inertia) in fit_each(train, ks, seed).items()]
     return train.sparkSession.createDataFrame(rows, "k int, inertia double")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.config import ELBOW_RANGE, FEATURES, KEY, SEED
-from barwatch.operators.kmeans import fit_kmeans, nearest_centroid
+from barwatch.operators.kmeans import fit_each, nearest_centroid
 from barwatch.session import spread
 
 BLOCK_ROWS = 2048
@@ -122,8 +122,7 @@ def selection_curves(
     """(k, inertia, silhouette): both curves from a single fit per k on a stored table."""
     measure = silhouette_euclidean if euclidean else silhouette_squared
     parts = []
-    for k in ks:
-        centroids, inertia = fit_kmeans(train, k, seed)
+    for k, (centroids, inertia) in fit_each(train, ks, seed).items():
         parts.append(
             measure(nearest_centroid(train, centroids)).select(
                 F.lit(k).alias("k"), F.lit(inertia).alias("inertia"), "silhouette"

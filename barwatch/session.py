@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import tempfile
+import threading
 import uuid
 import zipfile
 from pathlib import Path
@@ -76,6 +77,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 _shipped: set[str] = set()
+_shipping = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -84,14 +86,15 @@ def ship_package(spark: SparkSession) -> None:
     Spark hands the archive to every executor, also to those that join later.
     """
     context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    top = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / "barwatch_package.zip"
-    packed = io.BytesIO()
-    with zipfile.ZipFile(packed, "w") as out:
-        for source in sorted(top.rglob("*.py")):
-            out.write(source, source.relative_to(top.parent))
-    archive.write_bytes(packed.getvalue())
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
+    with _shipping:
+        if context.applicationId in _shipped:
+            return
+        top = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / "barwatch_package.zip"
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as out:
+            for source in sorted(top.rglob("*.py")):
+                out.write(source, source.relative_to(top.parent))
+        archive.write_bytes(packed.getvalue())
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)

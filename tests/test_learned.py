@@ -72,6 +72,27 @@ def test_fit_finds_separate_groups_in_sorted_order(spark):
         fit_kmeans(points.limit(0), 3)
 
 
+def test_the_fit_does_not_depend_on_partitions_or_order(spark):
+    rng = np.random.default_rng(31)
+    points = point_frame(spark, rng.normal(size=(600, 3)) * [1, 2, 0.5])
+    one, inertia = fit_kmeans(points.orderBy("ret_z").coalesce(1), 4)
+    many, again = fit_kmeans(points.repartition(7), 4)
+    np.testing.assert_allclose(one, many, rtol=1e-9)
+    assert inertia == pytest.approx(again, rel=1e-12)
+    # A fixed point: every centroid is the mean of the rows nearest to it.
+    x = points.select(*FEATURES).toPandas().to_numpy()
+    near = ((x[:, None] - np.array(one)[None]) ** 2).sum(axis=2).argmin(axis=1)
+    np.testing.assert_allclose(one, [x[near == i].mean(axis=0) for i in range(4)], atol=0.05)
+    other, _ = fit_kmeans(points, 4, seed=7)
+    assert other == sorted(other)
+
+
+def test_fits_of_few_different_rows(spark):
+    x = np.array([[0.0, 0, 0]] * 20 + [[1.0, 0, 0]] * 5 + [[0, 2.0, 0]])
+    centroids, inertia = fit_kmeans(point_frame(spark, x), 5)
+    assert centroids == [(0.0, 0.0, 0.0), (0.0, 2.0, 0.0), (1.0, 0.0, 0.0)] and inertia == 0
+
+
 def test_label_is_the_nearest_centroid(spark):
     rng = np.random.default_rng(3)
     xyz, centroids = rng.normal(size=(300, 3)), rng.normal(size=(4, 3))
