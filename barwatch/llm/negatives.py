@@ -20,7 +20,8 @@ LOW, HIGH, WHOLE = 30, 90, 100
 
 SCALE = 256
 GROUP = 65_536
-"""Rows a task holds at once, about; anchors stream past them."""
+LEAST = 4096
+"""Rows a task holds at once, about: `GROUP` at most, and no fewer than `LEAST` for the sake of more tasks. Anchors stream past them."""
 
 LARGEST = 1 << 24
 """Scaled components up to which scores, a hundredfold, fit into 64 bits (up to 1,024 components)."""
@@ -224,7 +225,8 @@ def hard_negatives(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "em
     keys = ["_id", "_label", "_dim"]
     anchors = materialize(rows.filter(F.col("_id") % every == 0).groupBy(*keys).agg(F.min("_v").alias("_v")))
     spark = rows.sparkSession
-    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // GROUP))
+    size, tasks = rows.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(1, -(-size // GROUP), min(tasks, size // LEAST))
     none = F.lit(None).cast("array<long>")
 
     def keyed(found: DataFrame) -> DataFrame:

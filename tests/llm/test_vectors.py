@@ -136,6 +136,7 @@ RESULT = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "
 @pytest.mark.parametrize("size, grid, group", [(8, 0.0, 65_536), (8, 0.5, 40), (3, 1.0, 30)])
 def test_negatives_equal_brute_force(spark, monkeypatch, size, grid, group):
     monkeypatch.setattr(negatives, "GROUP", group)
+    monkeypatch.setattr(negatives, "LEAST", 100)
     rows = some_rows(500, size, 7, grid)
     rows += [rows[3], rows[3], (None, rows[1][1], 1), (77, rows[2][1], 0), (1100, [], 1), (1101, [], 1), (1102, [], 2)]
     got = rows_of(hard_negatives(table(spark, rows)), *RESULT)
