@@ -54,13 +54,38 @@ def reduced(x: np.ndarray) -> np.ndarray:
     return np.minimum(x, x - PRIME)  # below zero it wraps to a large number
 
 
+BLOCK = 1 << 14
+"""Numbers worked on at once, so that what is in between stays in the processor's cache."""
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``a * b`` modulo `PRIME` for factors below it, from products of halves (2**61 counts as 1)."""
+    """``a * b`` modulo `PRIME` for factors below it."""
+    out = np.empty(len(a), np.uint64)
+    whole = np.ndim(b) == 0
+    for i in range(0, len(a), BLOCK):
+        out[i : i + BLOCK] = _product(a[i : i + BLOCK], b if whole else b[i : i + BLOCK])
+    return out
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """From products of halves; 2**61 counts as 1."""
     a1, a0, b1, b0 = a >> np.uint64(31), a & LOW31, b >> np.uint64(31), b & LOW31
     middle = a1 * b0 + a0 * b1
     return reduced(((a1 * b1) << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & LOW30) << np.uint64(31)) + a0 * b0)
 
 
+class Scratch:
+    """Arrays that are used again and again, so that the system need not hand out new memory each time."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, n: int) -> np.ndarray:
+        if len(self.held.get(name, ())) < n:
+            self.held[name] = np.zeros(max(n, CHUNK + 1), np.uint64)
+        return self.held[name][:n]
+
+
 class PrimeSliceHash:
     """Hashes of slices of an array, by prefix sums of a polynomial modulo the prime 2**61 - 1.
 
@@ -71,6 +96,7 @@ class PrimeSliceHash:
         self.base = BASES[0] % int(PRIME)
         self.inverse = pow(self.base, -1, int(PRIME))
         self.powers = self.inverses = np.ones(1, np.uint64)
+        self.scratch = Scratch()
 
     def _reach(self, n: int) -> None:
         while len(self.powers) < n:
@@ -78,36 +104,39 @@ class PrimeSliceHash:
                 some = getattr(self, name)
                 step = np.uint64(pow(factor, len(some), int(PRIME)))
                 setattr(self, name, np.concatenate([some, product(some, step)]))
+            self.high, self.low = self.powers >> np.uint64(31), self.powers & LOW31
 
     def __call__(self, values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """One 64-bit hash per slice [begin, end); values count from 1, so zeros at the end do count."""
-        self._reach(len(values) + 1)
-        powers = self.powers[: len(values)]
+        n = len(values)
+        self._reach(n + 1)
         if values.dtype.itemsize <= 4:
             # Code points: sums of products with half a power stay below 2**64 in short slices, and
             # wrapped prefix sums give them exactly.
-            counted = values.astype(np.uint64) + np.uint64(1)
-            high, low = self._sums(counted * (powers >> np.uint64(31)), counted * (powers & LOW31), begin, end)
+            counted = np.add(values, np.uint64(1), out=self.scratch("counted", n), dtype=np.uint64, casting="unsafe")
+            high = self._sums(np.multiply(counted, self.high[:n], out=self.scratch("terms", n)), begin, end)
+            low = self._sums(np.multiply(counted, self.low[:n], out=self.scratch("terms", n)), begin, end)
             for k in np.flatnonzero(end - begin > SHORT_SLICE).tolist():
                 i, j = int(begin[k]), int(end[k])
-                terms = product(counted[i:j], powers[i:j])
+                terms = product(counted[i:j], self.powers[i:j])
                 high[k], low[k] = (terms >> np.uint64(31)).sum(), (terms & LOW31).sum()
         else:
-            terms = product(reduced(values.astype(np.uint64)) + np.uint64(1), powers)
-            high, low = self._sums(terms >> np.uint64(31), terms & LOW31, begin, end)
-        high, low = reduced(high), reduced(low)
-        turned = ((high & LOW30) << np.uint64(31)) | (high >> np.uint64(30))
-        return mixed(product(reduced(turned + low), self.inverses[begin]))
-
-    @staticmethod
-    def _sums(high: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
-        out = []
-        for some in (high, low):
-            sums = np.zeros(len(some) + 1, np.uint64)
-            np.cumsum(some, out=sums[1:])
-            out.append(sums[end] - sums[begin])
+            terms = product(reduced(values.astype(np.uint64)) + np.uint64(1), self.powers[:n])
+            high, low = self._sums(terms >> np.uint64(31), begin, end), self._sums(terms & LOW31, begin, end)
+        out = np.empty(len(begin), np.uint64)
+        for i in range(0, len(begin), BLOCK):
+            part = slice(i, i + BLOCK)
+            a, b = reduced(high[part]), reduced(low[part])
+            turned = ((a & LOW30) << np.uint64(31)) | (a >> np.uint64(30))
+            out[part] = mixed(_product(reduced(turned + b), self.inverses[begin[part]]))
         return out
 
+    def _sums(self, terms: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        sums = self.scratch("sums", len(terms) + 1)
+        sums[0] = 0
+        np.cumsum(terms, out=sums[1:])
+        return sums[end] - sums[begin]
+
 
 class SliceHash:
     """64-bit hashes of slices of an array, by prefix sums of a polynomial modulo 2**64.
@@ -119,6 +148,7 @@ class SliceHash:
         self.base = BASES[1]
         self.inverse = pow(self.base, -1, 1 << 64)
         self.powers = self.inverses = np.ones(1, np.uint64)
+        self.scratch = Scratch()
 
     def _reach(self, n: int) -> None:
         if len(self.powers) < n:
@@ -133,10 +163,18 @@ class SliceHash:
 
         Values count from 1 in the polynomial, so zeros at the end of a slice do count.
         """
-        self._reach(len(values) + 1)
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * self.powers[: len(values)], out=sums[1:], dtype=np.uint64)
-        return mixed((sums[end] - sums[begin]) * self.inverses[begin])
+        n = len(values)
+        self._reach(n + 1)
+        terms = np.add(values, np.uint64(1), out=self.scratch("terms", n), dtype=np.uint64, casting="unsafe")
+        np.multiply(terms, self.powers[:n], out=terms)
+        sums = self.scratch("sums", n + 1)
+        sums[0] = 0
+        np.cumsum(terms, out=sums[1:])
+        out = np.empty(len(begin), np.uint64)
+        for i in range(0, len(begin), BLOCK):
+            part = slice(i, i + BLOCK)
+            out[part] = mixed((sums[end[part]] - sums[begin[part]]) * self.inverses[begin[part]])
+        return out
 
 
 def slice_hashes() -> tuple[PrimeSliceHash, SliceHash]:
