@@ -18,9 +18,6 @@ from barwatch.functions.trailing import (
 )
 
 
-PIECE_ROWS = 16_384
-
-
 def number(name: str) -> Column:
     """The column as a double, with NaN read as missing."""
     value = F.col(name).cast("double")
@@ -44,8 +41,8 @@ def compute_features(
 
     All features share one shuffle and one sort by (ticker, date). Bars are unique per ticker and
     date, so the calendar bounds a ticker's group; with ``piece_rows`` set, histories are cut into
-    overlapping pieces of that many rows instead and the result is the same (see
-    bars whose key is not unique).
+    overlapping pieces of that many rows instead and the result is the same, for bars whose key is
+    not unique.
     """
     source = bars.select(
         "date",
