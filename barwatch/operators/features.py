@@ -16,6 +16,10 @@ from barwatch.functions.trailing import (
     trailing_share_at_most,
     trailing_zscore,
 )
+from barwatch.operators.long_rank import trailing_rank
+
+LONG_WINDOW = 512
+"""Rows from which a rank is counted in blocks instead of over a list per row."""
 
 
 def number(name: str) -> Column:
@@ -42,7 +46,7 @@ def compute_features(
     All features share one shuffle and one sort by (ticker, date). Bars are unique per ticker and
     date, so the calendar bounds a ticker's group; with ``piece_rows`` set, histories are cut into
     overlapping pieces of that many rows instead and the result is the same, for bars whose key is
-    not unique.
+    not unique. A range window of ``LONG_WINDOW`` rows or more is ranked in blocks (``trailing_rank``).
     """
     source = bars.select(
         "date",
@@ -51,6 +55,9 @@ def compute_features(
         log_volume(number("volume")).alias("log_volume"),
         relative_range(number("high"), number("low"), number("close")).alias("span"),
     )
+    long = params.range_window >= LONG_WINDOW
+    if long:
+        source = trailing_rank(source, "ticker", "date", "span", params.range_window, "range_pct")
 
     def add(rows: DataFrame, order: WindowSpec) -> DataFrame:
         returns = rows.withColumn("ret", simple_return(F.col("adj_close"), order))
@@ -58,7 +65,9 @@ def compute_features(
             {
                 "ret_z": trailing_zscore(F.col("ret"), params.ret_window, order),
                 "vol_z": trailing_zscore(F.col("log_volume"), params.vol_window, order),
-                "range_pct": trailing_share_at_most(F.col("span"), params.range_window, order),
+                "range_pct": F.col("range_pct")
+                if long
+                else trailing_share_at_most(F.col("span"), params.range_window, order),
             }
         )
 

@@ -139,6 +139,46 @@ def validate(
     return bars, issues(bars)
 
 
+def column_findings(bars: DataFrame, required: list[str] = BAR_COLUMNS) -> DataFrame:
+    """One row per required column: column_name, present, missing (rows without a value), rows.
+
+    What ``validate`` raises for columns, as a table: an absent column is missing in every row. Null and
+    NaN count as missing. One pass, no value leaves the scan.
+    """
+
+    def absent(name: str) -> Column:
+        if name not in bars.columns:
+            return F.count(F.lit(1))
+        value = F.col(f"`{name}`")
+        return F.count_if(value.isNull() | F.isnan(value.try_cast("double")) if name in PRICE_COLUMNS else value.isNull())
+
+    counted = bars.agg(F.count(F.lit(1)).alias("rows"), *[absent(c).alias(f"n{i}") for i, c in enumerate(required)])
+    found = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.lit(c in bars.columns).alias("present"), F.col(f"n{i}").alias("missing"))
+            for i, c in enumerate(required)
+        ]
+    )
+    return counted.select(F.explode(found).alias("found"), "rows").select("found.*", "rows")
+
+
+def strict_findings(bars: DataFrame) -> DataFrame:
+    """Broken rules: position (the order in which strict mode reports them), reason, rows, tickers, first_date.
+
+    No row for a rule nothing breaks; strict mode raises for the one with the smallest position.
+    """
+    position = F.array_position(F.array(*map(F.lit, REASONS)), F.col("reason")).cast("int")
+    return (
+        issues(bars)
+        .groupBy(position.alias("position"), "reason")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_distinct("ticker").alias("tickers"),
+            F.min("date").alias("first_date"),
+        )
+    )
+
+
 def require_sane(bars: DataFrame) -> None:
     found = issues(bars).groupBy("reason").count().collect()
     counts = {row["reason"]: row["count"] for row in found}
