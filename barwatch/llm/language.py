@@ -22,43 +22,44 @@ LANDMARKS = 64
 """Landmark rows per language, taken from those."""
 
 RIDGE = 1e-3
-LETTERS = 62
-"""Letters with a symbol of their own: those in the most learning texts. All others share one."""
+BITS = (12, 14, 18)
+"""Slots, as powers of two, for n-grams of length 1, 2 and 3. Two n-grams rarely share one."""
 
-SLOTS = (1 << 18) + (1 << 12) + (1 << 6)
-"""N-grams of length 3, 2 and 1 over 64 symbols."""
+SLOTS = sum(1 << b for b in BITS)
 
 TOGETHER = 64
 """Texts scored in one matrix product."""
 
 UNKNOWN = "und"
-MIN_SCORE = 0.25
-"""Below this every classifier is clearly against the text: ``keep_identified`` rejects it."""
+FOREIGN = 0.85
+"""A text is claimed while the share of its n-grams that some landmark has stays above this part of ..."""
 
-
-@cache
-def all_letters() -> np.ndarray:
-    return np.array([unicodedata.category(chr(p))[0] == "L" for p in range(0x110000)])
+USUAL = 0.01
+"""... what this quantile of the learning rows reaches, each held against the landmarks other than itself."""
 
 
-def symbol_table(letters: list[int]) -> np.ndarray:
-    """Symbol of each code point: 0 for all but letters, then the given ones, then all other letters."""
-    table = np.where(all_letters(), 63, 0).astype(np.uint8)
-    for k, point in enumerate(letters[:LETTERS]):
-        table[point] = k + 1
-    return table
+@cache
+def letters() -> np.ndarray:
+    """Every code point's symbol: itself if it is a letter or belongs to one as a mark, else 0."""
+    kinds = [unicodedata.category(chr(p)) for p in range(0x110000)]
+    return np.where([k[0] == "L" or k in ("Mn", "Mc") for k in kinds], np.arange(0x110000), 0).astype(np.uint32)
 
 
 def presence(symbols: np.ndarray, flags: np.ndarray) -> np.ndarray:
-    """Set ``flags`` at the n-grams that occur (white space and signs count as one symbol); the places."""
-    s = symbols.astype(np.int32)
-    places = np.concatenate(
-        [
-            (s[:-2] << 12) | (s[1:-1] << 6) | s[2:] if len(s) > 2 else s[:0],
-            ((s[:-1] << 6) | s[1:]) + (1 << 18),
-            s + (1 << 18) + (1 << 12),
-        ]
-    )
+    """Set ``flags`` at the hashed n-grams that occur (all but letters count as one symbol); the places.
+
+    Each n-gram is the sum of its symbols times odd constants, of which the high bits are the slot.
+    """
+    one, two, three = (symbols * np.uint32(odd) for odd in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
+    found, begin = [], 0
+    for n, bits in enumerate(BITS):
+        m = max(len(symbols) - n, 0)
+        sums = one[:m]
+        for k, more in enumerate((two, three)[:n]):
+            sums = sums + more[k + 1 : k + 1 + m]
+        found.append((sums >> np.uint32(32 - bits)).astype(np.int32) + begin)
+        begin += 1 << bits
+    places = np.concatenate(found)
     flags[places] = True
     return places
 
@@ -66,8 +67,8 @@ def presence(symbols: np.ndarray, flags: np.ndarray) -> np.ndarray:
 class Classifier:
     """Scores texts against landmarks; ``fit`` learns it on the driver from bounded samples."""
 
-    def __init__(self, names: list[str], grams: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray, weights: np.ndarray):
-        self.names, self.grams = names, grams
+    def __init__(self, names: list[str], grams: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray, weights: np.ndarray, floor: float):
+        self.names, self.grams, self.floor = names, grams, floor
         self.landmarks, self.sizes, self.weights = landmarks, sizes, weights
 
     @classmethod
@@ -88,12 +89,24 @@ class Classifier:
 
         all_sizes = np.array([len(p) for p in places], float)
         landmarks, sizes = table(marks).T.copy(), all_sizes[marks]
-        kernel = np.concatenate([table(list(range(k, min(k + 256, len(rows))))) @ landmarks for k in range(0, len(rows), 256)])
+        among_others = landmarks.sum(axis=1) > 1
+        kernel, known = [], []
+        for k in range(0, len(rows), 256):
+            some = range(k, min(k + 256, len(rows)))
+            hits = table(list(some))
+            kernel.append(hits @ landmarks)
+            known += [h[among_others].sum() if rows[i][2] else h.sum() for i, h in zip(some, hits)]
+        floor = FOREIGN * float(np.quantile(np.array(known) / all_sizes, USUAL))
+        kernel = np.concatenate(kernel)
         kernel = kernel.astype(float) / np.sqrt(all_sizes[:, None] * sizes[None, :])
         among = kernel[marks]
         target = np.array([[1.0 if r[0] == n else -1.0 for n in names] for r in rows])
         system = kernel.T @ kernel + RIDGE * len(rows) * among + 1e-8 * np.eye(len(marks))
-        return cls(names, grams, landmarks, sizes, np.linalg.solve(system, kernel.T @ target))
+        return cls(names, grams, landmarks, sizes, np.linalg.solve(system, kernel.T @ target), floor)
+
+    def claims(self, flags: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether a text has few enough n-grams no landmark has; the root leaves short texts some more."""
+        return sizes - flags.sum(axis=1) <= (1 - self.floor) * sizes + np.sqrt(sizes)
 
     def scores(self, flags: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """One regression value per text and language; a claimed text is near 1, another near -1."""
@@ -109,8 +122,8 @@ def learning_rows(docs: DataFrame) -> DataFrame:
     return ranked.select("_id", F.col("_lang").alias("_name"), (F.col("_rank") <= LANDMARKS).alias("_mark"))
 
 
-def learn(docs: DataFrame) -> tuple[Classifier | None, list[int]]:
-    """The classifier and the letters with symbols; (None, []) where nothing can be learned."""
+def learn(docs: DataFrame) -> Classifier | None:
+    """The classifier; None where nothing can be learned."""
     chosen = materialize(learning_rows(docs))
     sample = docs.filter(~F.col("_held_out")).select("_id", "_lang", "_text")
     sample = materialize(
@@ -118,20 +131,8 @@ def learn(docs: DataFrame) -> tuple[Classifier | None, list[int]]:
         .select("_name", "_mark", "_text").filter(F.col("_text").rlike(r"\p{L}"))
     )
 
-    def letters_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[str, int] = {}
-            for text in batch.column(0).to_pylist():
-                for c in set(text.lower()):
-                    if c.isalpha():
-                        seen[c] = seen.get(c, 0) + 1
-            yield pa.RecordBatch.from_pydict({"c": pa.array(map(ord, seen), pa.int32()), "n": pa.array(seen.values(), pa.int64())})
-
-    counted = in_python(sample.select("_text"), letters_of, "c int, n long").groupBy("c").agg(F.sum("n").alias("n"))
-    letters = [r.c for r in counted.orderBy(F.desc("n"), "c").limit(LETTERS).collect()]
-
     def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, flags = symbol_table(letters), np.zeros(SLOTS, bool)
+        table, flags = letters(), np.zeros(SLOTS, bool)
         for batch in batches:
             out = []
             for text in batch.column(2).to_pylist():
@@ -144,7 +145,7 @@ def learn(docs: DataFrame) -> tuple[Classifier | None, list[int]]:
 
     rows = in_python(sample, grams_of, "name string, grams binary, mark boolean").orderBy("name", "grams").collect()
     some = [(r.name, bytes(r.grams), r.mark) for r in rows]
-    return (Classifier.fit(some) if any(r[2] for r in some) else None), letters
+    return Classifier.fit(some) if any(r[2] for r in some) else None
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
@@ -157,16 +158,16 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     )
 
 
-def _predicted(rows: DataFrame, classifier: Classifier | None, letters: list[int], keep: list[str]) -> DataFrame:
+def _predicted(rows: DataFrame, classifier: Classifier | None, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``rows`` with _pred and _score, from ``_text``."""
-    shared = rows.sparkSession.sparkContext.broadcast((classifier, letters))  # bounded by the samples
+    shared = rows.sparkSession.sparkContext.broadcast(classifier)  # bounded by the samples
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, points = shared.value
-        table, flags = symbol_table(points), np.zeros(SLOTS, bool)
+        model = shared.value
+        table, flags = letters(), np.zeros(SLOTS, bool)
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
-            names, values = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            names, values, claimed = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.zeros(len(texts), bool)
             for i, j in chunks(texts):
                 symbols, _ = code_points(lowered := [t.lower() for t in texts[i:j]])
                 symbols = table[symbols]
@@ -188,41 +189,45 @@ def _predicted(rows: DataFrame, classifier: Classifier | None, letters: list[int
                         where = i + at + np.array(rows_of)
                         names[where] = np.array(model.names, object)[best]
                         values[where] = np.clip((found.max(axis=1) + 1) / 2, 0, 1)
-            columns = [batch.column(k) for k in range(len(keep))] + [pa.array(names, pa.string()), pa.array(values)]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "_pred", "_score"])
+                        claimed[where] = model.claims(hits[rows_of], sizes[rows_of])
+            columns = [batch.column(k) for k in range(len(keep))] + [pa.array(names, pa.string()), pa.array(values), pa.array(claimed)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "_pred", "_score", "_claimed"])
 
     shape = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return in_python(rows.select(*keep, "_text"), predict, f"{shape}, _pred string, _score double")
+    return in_python(rows.select(*keep, "_text"), predict, f"{shape}, _pred string, _score double, _claimed boolean")
 
 
 def languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, lang_pred, score.
+    """One row per row of ``docs``: doc_id, held_out, lang_pred, score, claimed.
 
     Learns from text and non-null language of rows whose crc32 of the id modulo 4 is not 2; predicts
     from the whole text alone. A text without a letter, or null, is ``und`` with score 0, as is every
     text where no labelled row can be learned from. The score is the winning regression value, moved
-    from [-1, 1] to [0, 1]: below 0.5 no language claims the text. Rows that repeat are predicted alike;
+    from [-1, 1] to [0, 1]; of equal values the first language by name wins. ``claimed`` is false for ``und``
+    and for texts with too many n-grams that no landmark has: scripts or languages without learning rows, and
+    random letters. Rows that repeat are predicted alike;
     a null id is not held out and not learned from; other columns are ignored.
 
-    Texts are lower-cased and read as 1- to 3-grams over 64 symbols; the kernel of two texts is
+    Texts are lower-cased and read as 1- to 3-grams of their letters, of any script, hashed into slots; the kernel of two texts is
     the number of n-grams they share over the geometric mean of how many each has. The samples that
     bound driver and broadcast are ``PER_LANGUAGE`` rows and ``LANDMARKS`` landmarks a language.
     """
     rows = _keyed(docs, doc_id, text, lang)
-    classifier, letters = learn(rows)
-    out = _predicted(rows, classifier, letters, ["_id", "_held_out"])
+    classifier = learn(rows)
+    out = _predicted(rows, classifier, ["_id", "_held_out"])
     return out.select(
         F.col("_id").alias("doc_id"),
         F.col("_held_out").alias("held_out"),
         F.col("_pred").alias("lang_pred"),
         F.col("_score").alias("score"),
+        F.col("_claimed").alias("claimed"),
     )
 
 
 def keep_identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns, that some language claims: not ``und``, score at least ``MIN_SCORE``."""
-    classifier, letters = learn(_keyed(docs, doc_id, text, lang))
+    """The rows of ``docs``, all columns, that some language claims (see ``languages``)."""
+    classifier = learn(_keyed(docs, doc_id, text, lang))
     rows = wrapped(docs, doc_id, text).withColumn("_text", whole_text("_row." + text))
-    found = materialize(_predicted(rows, classifier, letters, ["_id", "_tk"]))
-    fine = found.filter((F.col("_pred") != UNKNOWN) & (F.col("_score") >= MIN_SCORE)).dropDuplicates(["_id", "_tk"])
+    found = materialize(_predicted(rows, classifier, ["_id", "_tk"]))
+    fine = found.filter("_claimed").dropDuplicates(["_id", "_tk"])
     return rows.join(fine, same_row(rows, fine), "left_semi").select("_row.*")

@@ -1,9 +1,10 @@
 import random
 import zlib
 
+import numpy as np
 from frames import empty, messy, messy_rows, prose
 
-from barwatch.llm.language import keep_identified, languages
+from barwatch.llm.language import RIDGE, _keyed, keep_identified, languages, learning_rows
 
 SOUNDS = {"en": "the and ing wh th er on", "fr": "eau oui ez que é è onne", "de": "sch ung ä ü ein cht pf"}
 
@@ -37,6 +38,47 @@ def test_held_out_labels_teach_nothing(spark):
     assert first == second
 
 
+def test_foreign_scripts_languages_and_random_letters_go(spark):
+    rng = random.Random(3)
+    letters = {"x": "bcdfghjklmnpqrstvwxz", "y": "абвгдежзиклмнопрстуфхцчшы", "z": "αβγδεζηθικλμνξοπρστυφχψω"}
+    noise = [
+        (1000 + 100 * k + i, " ".join("".join(rng.choices(some, k=rng.randint(2, 9))) for _ in range(rng.randint(20, 90))), None)
+        for k, some in enumerate(letters.values()) for i in range(50)
+    ] + [(2000 + i, prose(rng, 40, "kyy pää ikk ull akk utt jok vö"), None) for i in range(50)]
+    docs = corpus(spark)
+    clean = {r.doc_id for r in docs.collect()} - {900, 901}
+    left = keep_identified(docs.union(spark.createDataFrame(noise, docs.schema))).collect()
+    assert {r.doc_id for r in left} == clean and len(left) == len(clean)
+
+
+def plain_kernel_ridge(rows, texts):
+    """Scores by the same formulas on sets of n-grams, without hashing, slots or batches."""
+    def grams(text):
+        s = "".join(c if c.isalpha() else " " for c in text.lower())
+        return {s[i : i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1)}
+
+    def kernel(some, others):
+        return np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in others] for a in some])
+
+    names = sorted({lang for lang, _, _ in rows})
+    learned, marks = [grams(t) for _, t, _ in rows], [grams(t) for _, t, m in rows if m]
+    k, among = kernel(learned, marks), kernel(marks, marks)
+    target = np.array([[1.0 if lang == n else -1.0 for n in names] for lang, _, _ in rows])
+    weights = np.linalg.solve(k.T @ k + RIDGE * len(rows) * among + 1e-8 * np.eye(len(marks)), k.T @ target)
+    values = kernel([grams(t) for t in texts], marks) @ weights
+    return [(names[i], min(max((v[i] + 1) / 2, 0), 1)) for v in values for i in [int(v.argmax())]]
+
+
+def test_scores_equal_plain_kernel_ridge(spark):
+    docs = corpus(spark).filter("doc_id < 900")
+    chosen = {(r._id, r._name): r._mark for r in learning_rows(_keyed(docs, "doc_id", "text", "lang")).collect()}
+    rows = sorted((d.doc_id, d.lang, d.text) for d in docs.collect())
+    want = plain_kernel_ridge([(lang, t, chosen[i, lang]) for i, lang, t in rows if (i, lang) in chosen], [t for _, _, t in rows])
+    got = [(r.lang_pred, r.score) for r in languages(docs).orderBy("doc_id").collect()]
+    for (name, score), (told, value) in zip(want, got, strict=True):
+        assert name == told and abs(score - value) < 0.02
+
+
 def test_messy_and_empty_tables(spark):
     assert languages(messy(spark)).count() == len(messy_rows())
     out = keep_identified(messy(spark))
