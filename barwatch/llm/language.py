@@ -115,10 +115,22 @@ class Classifier:
 
 
 def learning_rows(docs: DataFrame) -> DataFrame:
-    """(_id, _lang, _mark): the bounded sample per language, from rows that are not held out."""
+    """(_id, _name, _mark): the bounded sample per language, from rows that are not held out.
+
+    Hashed ids are counted by language and power of two, of which the smallest ones that hold
+    ``PER_LANGUAGE`` rows are enough: about twice as many rows are ranked, however many there are.
+    """
     usable = docs.filter(~F.col("_held_out") & F.col("_id").isNotNull() & F.col("_lang").isNotNull())
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    ranked = usable.select("_id", "_lang", F.row_number().over(order).alias("_rank")).filter(f"_rank <= {PER_LANGUAGE}")
+    hashed = usable.select("_id", "_lang", F.xxhash64("_id").alias("_hash"))
+    level = F.floor(F.log2(F.col("_hash").cast("double") + 2.0**63 + 1)).alias("_level")
+    levels = hashed.select("_lang", "_hash", "_id", level)
+    before = Window.partitionBy("_lang").orderBy("_level").rowsBetween(Window.unboundedPreceding, -1)
+    counted = levels.groupBy("_lang", "_level").count()
+    wanted = counted.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    wanted = wanted.filter(F.col("_before") < PER_LANGUAGE).select("_lang", "_level")
+    few = levels.join(F.broadcast(wanted), ["_lang", "_level"])  # 64 rows a language at most
+    order = Window.partitionBy("_lang").orderBy("_hash", "_id")
+    ranked = few.select("_id", "_lang", F.row_number().over(order).alias("_rank")).filter(f"_rank <= {PER_LANGUAGE}")
     return ranked.select("_id", F.col("_lang").alias("_name"), (F.col("_rank") <= LANDMARKS).alias("_mark"))
 
 

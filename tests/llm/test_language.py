@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from frames import empty, messy, messy_rows, prose
 
-from barwatch.llm.language import RIDGE, _keyed, keep_identified, languages, learning_rows
+from barwatch.llm.language import LANDMARKS, PER_LANGUAGE, RIDGE, _keyed, keep_identified, languages, learning_rows
 
 SOUNDS = {"en": "the and ing wh th er on", "fr": "eau oui ez que é è onne", "de": "sch ung ä ü ein cht pf"}
 
@@ -51,6 +51,19 @@ def test_foreign_scripts_languages_and_random_letters_go(spark):
     assert {r.doc_id for r in left} == clean and len(left) == len(clean)
 
 
+def test_learning_rows_are_those_with_the_smallest_hashes(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(9000).select(F.col("id").alias("_id"), F.when(F.col("id") < 8000, "a").when(F.col("id") < 8990, "b").otherwise("c").alias("_lang"), F.lit(False).alias("_held_out"))
+    hashes = {r._id: (r._lang, r.h) for r in docs.withColumn("h", F.xxhash64("_id")).collect()}
+    want = set()
+    for lang in "abc":
+        ids = sorted((h, i) for i, (name, h) in hashes.items() if name == lang)[:PER_LANGUAGE]
+        want |= {(i, lang, rank < LANDMARKS) for rank, (_, i) in enumerate(ids)}
+    found = learning_rows(docs).collect()
+    assert {tuple(r) for r in found} == want and len(found) == len(want)
+
+
 def plain_kernel_ridge(rows, texts):
     """Scores by the same formulas on sets of n-grams, without hashing, slots or batches."""
     def grams(text):
