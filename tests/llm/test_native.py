@@ -1,14 +1,16 @@
 import hashlib
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from frames import empty, messy, messy_rows, rows_of
 from pyspark.sql import functions as F
 
 from barwatch.llm.exact_dedup import drop_exact, exact_classes
 from barwatch.llm.line_dedup import remove_boilerplate
-from barwatch.llm.sharding import permuted, shards
+from barwatch.llm.sharding import ROUNDS, permuted, shards, sides
 
 
 def expected_classes() -> Counter:
@@ -83,3 +85,32 @@ def test_permutation_of_any_size(spark):
     for total in (1, 2, 3, 7, 50, 1000):
         rows = spark.range(total).withColumnRenamed("id", "_row")
         assert sorted(r[0] for r in permuted(rows, "_row", total, 3).collect()) == list(range(total))
+
+
+def plain_place(number: int, total: int, seed: int) -> int:
+    """The same network in plain Python, one number at a time, walking until it is below ``total``."""
+    a, b = sides(total)
+
+    def keyed(value: int, turn: int) -> int:
+        mixed = 42
+        for part in (struct.pack("<q", value), struct.pack("<i", seed), struct.pack("<i", turn)):
+            mixed = xxhash.xxh64_intdigest(part, seed=mixed)
+        return mixed - (1 << 64) if mixed >> 63 else mixed
+
+    while True:
+        left, right = divmod(number, b)
+        for turn in range(ROUNDS):
+            if turn % 2:
+                right = (right + keyed(left, turn)) % b
+            else:
+                left = (left + keyed(right, turn)) % a
+        number = left * b + right
+        if number < total:
+            return number
+
+
+def test_shards_and_slots_equal_a_plain_network(spark):
+    rows = [(i, "t" * (i % 7)) for i in range(1003)]
+    found = shards(spark.createDataFrame(rows, "doc_id long, text string"), 40, seed=9).collect()
+    want = {i: plain_place(i, len(rows), 9) for i, _ in rows}
+    assert {r.doc_id: r.slot * 40 + r.shard for r in found} == want

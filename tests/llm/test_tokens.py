@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -55,6 +56,19 @@ def test_encode_and_decode_messy_rows(spark):
     assert encode_digests(empty(spark), WORD).count() == 0
 
 
+def test_digests_equal_the_library(spark):
+    tool = Tokenizer.from_file(WORD)
+    docs = messy(spark)
+    found = sorted(tuple(r) for r in encode_digests(docs, WORD).collect() if r.doc_id is not None)
+    want = []
+    for row in docs.filter("doc_id is not null").collect():
+        ids = tool.encode(row.text or "", add_special_tokens=False).ids
+        decoded = tool.decode(ids, skip_special_tokens=False)
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), decoded)]
+        want.append((row.doc_id, len(ids), *digests))
+    assert found == sorted(want)
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(0)
     blocks = [rng.integers(0, 65536, n).astype(np.uint16) for n in (0, 1, 5, 3000)]
