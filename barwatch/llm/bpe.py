@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from barwatch.llm.common import in_python, whole_text
 from barwatch.llm.encoding import PieceEncoder, encoder
 from barwatch.llm.pretokens import LIMIT, is_plain
-from barwatch.llm.textarrays import chunks, spread_ranges
+from barwatch.llm.textarrays import chunks, distinct_slices, spread_ranges
 from barwatch.session import materialize
 
 LEXICON_WORDS = 65_536
@@ -42,11 +42,9 @@ def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             texts = [t for t in batch.column(0).to_pylist() if t and is_plain(t)]
             for i, j in chunks(texts):
                 points, _, begin, end = tool.split(texts[i:j])
-                hashed = tool.hashes[0](points, begin, end)
-                _, where, n = np.unique(hashed, return_index=True, return_counts=True)
-                whole = points.tobytes().decode("utf-32-le")
-                for a, b, k in zip(begin[where].tolist(), end[where].tolist(), n.tolist()):
-                    word = whole[a:b]
+                code, words = distinct_slices(points, begin, end)
+                for letters, k in zip(words, np.bincount(code).tolist()):
+                    word = letters.decode("utf-16-le")
                     seen[word] = seen.get(word, 0) + k
                 if len(seen) > COUNTED:
                     yield passed_on()

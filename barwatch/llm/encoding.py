@@ -10,11 +10,14 @@ import numpy as np
 import tiktoken
 
 from barwatch.llm.pretokens import byte_pieces, is_plain, word_pieces
-from barwatch.llm.textarrays import HashIndex, chunks, slice_hashes, spread_ranges
+from barwatch.llm.textarrays import HashIndex, SliceHash, chunks, distinct_slices, grown, spread_ranges
 
 MEMORY = 500_000
 """Pieces a worker remembers; beyond that it starts anew, which changes no result."""
 
+MEMORY_LETTERS = 1 << 25
+"""Letters of remembered pieces, beyond which it starts anew as well."""
+
 
 def byte_letters() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for.
@@ -70,13 +73,14 @@ class PieceEncoder:
         self.word_ends = self.tokenizer.normalizer is not None
         self.split: Callable = word_pieces if self.word_ends else byte_pieces
         self.merges, self.closing = merger(path)
-        self.hashes = slice_hashes()
+        self.hash = SliceHash()
         self._forget()
 
     def _forget(self) -> None:
         self.known = HashIndex()
-        self.ids = np.zeros(1 << 12, np.uint16)
-        self.bounds = np.zeros(1 << 10, np.int64)
+        self.ids, self.letters = np.zeros(1 << 12, np.uint16), np.zeros(1 << 12, np.uint16)
+        # Where the ids and the letters of each known piece end, after a zero.
+        self.bounds, self.spelled = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
 
     def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after the other, and how many each has.
@@ -99,35 +103,58 @@ class PieceEncoder:
         sizes = np.bincount(all_owner, minlength=len(pieces))
         return all_ids[np.argsort(all_owner, kind="stable")].astype(np.uint16), sizes
 
-    def _remember(self, a: np.ndarray, b: np.ndarray, pieces: list[str]) -> None:
-        flat, sizes = self._merged(pieces)
-        n = self.known.size
-        ends = self.bounds[n] + np.cumsum(sizes)
-        while len(self.bounds) < n + len(sizes) + 1:
-            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
-        while len(self.ids) < self.bounds[n] + len(flat):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.bounds[n] : self.bounds[n] + len(flat)] = flat
-        self.bounds[n + 1 : n + 1 + len(sizes)] = ends
-        self.known.add(a, b)
+    def _remember(self, hashed: np.ndarray, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        text = points.tobytes().decode("utf-32-le")
+        flat, sizes = self._merged([text[i:j] for i, j in zip(begin.tolist(), end.tolist())])
+        letters = points[spread_ranges(begin, end - begin)]
+        n, m = self.known.size, len(sizes)
+        for table, ends, new, counts in (
+            ("ids", "bounds", flat, sizes),
+            ("letters", "spelled", letters, end - begin),
+        ):
+            last = getattr(self, ends)[n]
+            setattr(self, ends, grown(getattr(self, ends), n + m + 1))
+            setattr(self, table, grown(getattr(self, table), last + len(new)))
+            getattr(self, ends)[n + 1 : n + 1 + m] = last + np.cumsum(counts)
+            getattr(self, table)[last : last + len(new)] = new
+        self.known.add(hashed)
+
+    def _misread(self, number: np.ndarray, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The pieces that are not what was remembered under their hash."""
+        sizes, first = end - begin, self.spelled[number]
+        other = self.spelled[number + 1] - first != sizes
+        sizes = np.where(other, 0, sizes)
+        differ = self.letters[spread_ranges(first, sizes)] != points[spread_ranges(begin, sizes)]
+        if differ.any():
+            other[np.repeat(np.arange(len(sizes)), sizes)[differ]] = True
+        return np.flatnonzero(other)
 
     def ids_of(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces points[begin:end], one after the other, and how many each has."""
-        a, b = (h(points, begin, end) for h in self.hashes)
-        number = self.known.find(a, b)
+        """Ids of the pieces points[begin:end], one after the other, and how many each has.
+
+        A piece is looked up by its hash and compared with what is remembered; where two
+        pieces share a hash, the later one is merged each time.
+        """
+        hashed = self.hash(points, begin, end)
+        number = self.known.find(hashed)
         new = np.flatnonzero(number < 0)
         if len(new):
-            if self.known.size > MEMORY:
+            if self.known.size > MEMORY or self.spelled[self.known.size] > MEMORY_LETTERS:
                 self._forget()
-                new = np.arange(len(a))
-            _, where = np.unique(a[new], return_index=True)
-            new = new[where]
-            text = points.tobytes().decode("utf-32-le", "surrogatepass")
-            self._remember(a[new], b[new], [text[i:j] for i, j in zip(begin[new].tolist(), end[new].tolist())])
-            number = self.known.find(a, b)
+                new = np.arange(len(hashed))
+            keys, where = np.unique(hashed[new], return_index=True)
+            self._remember(keys, points, begin[new[where]], end[new[where]])
+            number = self.known.find(hashed)
         first = self.bounds[number]
         count = self.bounds[number + 1] - first
-        return self.ids[spread_ranges(first, count)], count
+        pool = self.ids
+        odd = self._misread(number, points, begin, end)
+        if len(odd):
+            code, pieces = distinct_slices(points, begin[odd], end[odd])
+            flat, sizes = self._merged([p.decode("utf-16-le") for p in pieces])
+            first[odd], count[odd] = len(pool) + (np.cumsum(sizes) - sizes)[code], sizes[code]
+            pool = np.concatenate([pool, flat])
+        return pool[spread_ranges(first, count)], count
 
     def _chunk(self, texts: list[str]) -> list[np.ndarray]:
         points, offsets, begin, end = self.split(texts)

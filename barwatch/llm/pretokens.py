@@ -30,7 +30,10 @@ WIDE = {p for p in range(LIMIT) if len(chr(p).lower()) != 1 or ord(chr(p).lower(
 
 def is_plain(text: str) -> bool:
     """Whether ``text`` can be split here: its code points are below the limit and of simple case."""
-    return text.isascii() or (max(text) < chr(LIMIT) and not any(chr(p) in text for p in WIDE))
+    if text.isascii():
+        return True
+    highest = code_points([text])[0].max()
+    return bool(highest < LIMIT) and not any(chr(p) in text for p in WIDE)
 
 
 def _contractions(points: np.ndarray, kinds: np.ndarray, starts: np.ndarray, last: np.ndarray) -> None:

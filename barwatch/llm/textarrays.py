@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 CHUNK = 1 << 20
 """Characters that are worked on at once; a longer text is a chunk of its own."""
@@ -182,8 +183,30 @@ def slice_hashes() -> tuple[PrimeSliceHash, SliceHash]:
     return PrimeSliceHash(), SliceHash()
 
 
+def distinct_slices(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The number of each slice points[begin:end], and the distinct slices by number as 16-bit letters.
+
+    Slices are in order, are not empty and do not overlap; points are below 2**16. Contents are compared, not hashes only.
+    """
+    if not len(begin):
+        return np.zeros(0, np.int32), []
+    if not np.array_equal(begin[1:], end[:-1]):
+        edges = np.zeros(len(points) + 1, np.int8)
+        edges[begin] = 1
+        edges[end] -= 1
+        points = points[np.cumsum(edges[:-1], dtype=np.int8).view(bool)]
+    else:
+        points = points[begin[0] : end[-1]]
+    bounds = np.zeros(len(begin) + 1, np.int64)
+    np.cumsum(2 * (end - begin), out=bounds[1:])
+    wide = bounds[-1] >= 1 << 31
+    buffers = [None, pa.py_buffer(bounds if wide else bounds.astype(np.int32)), pa.py_buffer(points.astype("<u2"))]
+    coded = pa.Array.from_buffers(pa.large_binary() if wide else pa.binary(), len(begin), buffers).dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
 class HashIndex:
-    """Numbers for 128-bit keys in order of arrival: open addressing, looked up for whole arrays."""
+    """Numbers for 64-bit keys in order of arrival: open addressing, looked up for whole arrays."""
 
     def __init__(self, bits: int = 16) -> None:
         self.size = 0
@@ -191,46 +214,52 @@ class HashIndex:
 
     def _make(self, bits: int) -> None:
         self.bits = bits
-        self.first = np.zeros(1 << bits, np.uint64)
-        self.second = np.zeros(1 << bits, np.uint64)
+        self.key = np.zeros(1 << bits, np.uint64)
         self.number = np.full(1 << bits, -1, np.int32)
 
-    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def find(self, a: np.ndarray) -> np.ndarray:
         """The key's number, -1 where it is unknown."""
-        out = np.full(len(a), -1, np.int32)
-        left = np.arange(len(a))
         slot = (a >> np.uint64(64 - self.bits)).astype(np.int64)
+        out = self.number[slot]
+        left = np.flatnonzero((self.key[slot] != a) & (out >= 0))
+        slot = slot[left]
         while len(left):
-            number = self.number[slot]
-            same = (self.first[slot] == a[left]) & (self.second[slot] == b[left]) & (number >= 0)
-            out[left[same]] = number[same]
-            go = ~same & (number >= 0)
-            left, slot = left[go], (slot[go] + 1) & ((1 << self.bits) - 1)
+            slot = (slot + 1) & ((1 << self.bits) - 1)
+            out[left] = number = self.number[slot]
+            go = (self.key[slot] != a[left]) & (number >= 0)
+            left, slot = left[go], slot[go]
         return out
 
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+    def add(self, a: np.ndarray) -> None:
         """Number new, distinct keys from ``size`` on."""
         numbers = np.arange(self.size, self.size + len(a), dtype=np.int32)
         while self.size + len(a) > (1 << self.bits) // 2:
             used = self.number >= 0
-            old = self.first[used], self.second[used], self.number[used]
+            old = self.key[used], self.number[used]
             self._make(self.bits + 1)
             self._put(*old)
-        self._put(a, b, numbers)
+        self._put(a, numbers)
         self.size += len(a)
 
-    def _put(self, a: np.ndarray, b: np.ndarray, numbers: np.ndarray) -> None:
+    def _put(self, a: np.ndarray, numbers: np.ndarray) -> None:
         slot = (a >> np.uint64(64 - self.bits)).astype(np.int64)
         while len(a):
             free = self.number[slot] < 0
             self.number[slot[free]] = numbers[free]
             won = self.number[slot] == numbers
-            self.first[slot[won]], self.second[slot[won]] = a[won], b[won]
+            self.key[slot[won]] = a[won]
             go = ~won
-            a, b, numbers = a[go], b[go], numbers[go]
+            a, numbers = a[go], numbers[go]
             slot = (slot[go] + 1) & ((1 << self.bits) - 1)
 
 
+def grown(array: np.ndarray, size: int) -> np.ndarray:
+    """``array``, doubled until it has ``size`` entries."""
+    while len(array) < size:
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
+
+
 def spread_ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The numbers begin, begin + 1, ... of each range, one range after the other."""
     ends = np.cumsum(count)

@@ -49,6 +49,17 @@ def test_ids_of_pattern_words(name):
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_where_most_pieces_share_a_hash(name):
+    encoder, rng = PieceEncoder(tokenizer_path(name)), random.Random(5)
+    whole = encoder.hash
+    encoder.hash = lambda *slices: whole(*slices) >> np.uint64(60) << np.uint64(60)
+    for _ in range(3):
+        texts = [" ".join("".join(rng.choices("abé1'.", k=rng.randint(1, 6))) for _ in range(40)) for _ in range(30)]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", SIZES)
 def test_contents_of_pattern_texts_differ(n):
     first, second = ([f"u{i} {w}" for i, w in enumerate(pattern(n, x))] for x in (("alpha", "beta"), ("beta", "alpha")))
