@@ -96,7 +96,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, ids, n_tokens, ids_crc32): every document's ids (16-bit little-endian, with the end id).
 
     ``start`` counts the ids of all documents before it. A block whose ids do not match its checksum
-    raises. Blocks of a part are decoded many at a time, in order; parts are independent.
+    raises. Blocks of a part are decoded many at a time, in order; parts are independent and dealt in turn.
     """
     blocks = spark.read.parquet(folder)
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
@@ -142,7 +142,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
             yield documents()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = blocks.repartition(parts, "part").sortWithinPartitions("part", "block")
+    ordered = blocks.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "block")
     rows = in_python(ordered, decode, f"doc_id {kind}, part int, start long, ids binary, n_tokens long, ids_crc32 long")
     return rows.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("_before") + F.col("start")).alias("start"), "ids", "n_tokens", "ids_crc32"
