@@ -1,10 +1,11 @@
 """Adaptive range coder for token ids, run over many independent blocks at once.
 
 Every block starts from an empty model. For each id the model names two candidates: what followed the
-last two ids (order 2) and what followed the last id (order 1), each with a confidence. A first flag
-says whether the id is the order-2 candidate; its probability mixes two adaptive counters, one per
-order, in the logistic domain with adaptive weights. A second flag does so for the order-1
-candidate. Any other id is coded in four parts of four bits with adaptive order-0 distributions. All
+last two ids (order 2) and what followed the last id (order 1), each with a confidence. One symbol says that
+the id is the order-2 candidate, or the order-1 candidate, or else (order 0) that it is in the list of ids the block
+has had, or that it is new. List places and new ids are told by their bit length, which is
+part of the symbol, and the rest of their bits. Two adaptive distributions predict the symbol, one chosen by the confidences and one
+by the last id's bit length; they are mixed with a weight that moves to the better one. All
 arithmetic is on integers, so decoding repeats it exactly.
 """
 
@@ -22,213 +23,227 @@ SLOTS = 11
 """Bits of the candidate tables of a block."""
 
 U = np.uint64
-MASK = U((1 << 48) - 1)
-TOP, LOW16 = U(1 << 32), U(0xFFFF)
+ONES = U(0x0101010101010101)
+"""Times this, the sum of a number's bytes is its highest byte."""
+WORD, LOW = U(32), U((1 << 32) - 1)
 TOTAL, FLOOR, RATE = 14, 16, 5
+WHOLE = 1 << 12
+"""The weights of the two distributions add up to this."""
 
-# Log odds and their inverse in 1/256 steps, and where distributions move to.
-SQUASH = np.array(
-    [min(4095, max(1, round(4096 / (1 + 2.718281828459045 ** (-d / 256))))) for d in range(-2047, 2048)], np.int64
-)
-STRETCH = np.searchsorted(SQUASH, np.arange(4096)).clip(0, 4094).astype(np.int64) - 2047
-STEP = np.arange(17) * FLOOR
-GOALS = np.array([np.where(np.arange(17) <= s, STEP, (1 << TOTAL) - STEP[::-1]) for s in range(16)], np.int16)
-EVEN = (np.arange(17) * (1 << TOTAL) // 16).astype(np.int16)
-# End of fixed values.
+KNOWN = 2
+"""The first symbol of list places; before it are the candidates."""
 
-PARTS = (0, 1, 17, 273, 529)
-"""Where the distributions of each four-bit part begin."""
+LISTED = 1 << 12
+"""Ids that a block's list holds; what comes after is told as a new id each time."""
+
+NEW = KNOWN + 13
+"""The first symbol of new ids; 0 is in every list."""
+
+WIDTH = NEW + 17
+"""Cumulated counts of a distribution over all symbols."""
+
+ROW = np.dtype(f"V{2 * WIDTH}")
+
+KINDS = 17
+LENGTH = np.array([i.bit_length() for i in range(1 << 16)], np.int64)
+BITS = np.array([0, 0, *range(13), *range(1, 17)], np.int64)
+"""Bit lengths that the symbols stand for."""
+FIRST = np.where(BITS > 0, 1 << np.maximum(BITS - 1, 0), 0)
+EXTRA = np.maximum(BITS - 1, 0)
+"""The smallest number of a symbol's bit length, and how many bits follow."""
+
+STEP = np.arange(WIDTH) * FLOOR
+GOALS = np.array([np.where(np.arange(WIDTH) <= s, STEP, (1 << TOTAL) - STEP[::-1]) for s in range(WIDTH - 1)], np.int16)
+"""Where a distribution moves to after each symbol."""
+EVEN = (np.arange(WIDTH) * (1 << TOTAL) // (WIDTH - 1)).astype(np.int16)
 
 
 class Model:
-    """Candidates, counters and distributions of ``lanes`` blocks."""
+    """Candidates and distributions of ``lanes`` blocks."""
 
-    def __init__(self, lanes: int) -> None:
+    def __init__(self, lanes: int, steps: int) -> None:
         self.tables = [np.zeros(lanes << SLOTS, np.int32) for _ in range(2)]  # id + confidence * 2**16
-        self.base = np.arange(lanes, dtype=np.int64) << SLOTS
-        self.before = np.zeros((2, lanes), np.int64)
         self.lane = np.arange(lanes, dtype=np.int64)
-        self.first = [np.full(lanes * 8, 1 << 15, np.int64) for _ in range(2)]  # counters of the mixed flag
-        self.second = np.full(lanes * 4, 1 << 15, np.int64)
-        self.weights = np.full((2, lanes), 1 << 15, np.int64)
-        self.order0 = np.tile(EVEN, (lanes * PARTS[-1], 1))
-
-    def look(self, n: int) -> None:
-        """The candidates of the first ``n`` lanes."""
-        one, two = self.before[0, :n], self.before[1, :n]
-        self.slots = [
-            self.base[:n] + (((one * 40503 + two * 60493 + (one >> 3)) >> 4) & ((1 << SLOTS) - 1)),
-            self.base[:n] + ((one ^ (one >> SLOTS)) & ((1 << SLOTS) - 1)),
-        ]
-        entries = [t[s].astype(np.int64) for t, s in zip(self.tables, self.slots)]
-        self.candidates = [e & 0xFFFF for e in entries]
-        self.sure = [e >> 16 for e in entries]
-        self.same = (self.candidates[0] == self.candidates[1]).astype(np.int64)
-        self.at = [self.lane[:n] * 8 + s * 2 + self.same for s in self.sure]
-
-    def first_chance(self) -> np.ndarray:
-        """Probability (of 4096) that the id is the order-2 candidate."""
-        n = len(self.same)
-        self.odds = [STRETCH[c[a] >> 4] for c, a in zip(self.first, self.at)]
-        dot = (self.weights[0, :n] * self.odds[0] + self.weights[1, :n] * self.odds[1]) >> 16
-        self.chance = SQUASH[np.clip(dot, -2047, 2047) + 2047]
-        return self.chance
-
-    def first_learn(self, hit: np.ndarray) -> None:
-        n = len(hit)
-        error = ((hit << 12) - hit - self.chance) * 6
+        self.last, self.earlier = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        # Distributions are items of 64 bytes, which are fetched and stored whole.
+        self.rows = [np.tile(EVEN, lanes * n).view(ROW) for n in (32, KINDS)]
+        self.weight = np.full(lanes, WHOLE // 2, np.int32)
+        self.listed = np.zeros((lanes, min(steps + 1, LISTED)), np.uint16)
+        self.size = np.ones(lanes, np.int64)
+
+    def look(self, n: int) -> np.ndarray:
+        """Candidates and mixed cumulated distributions of the first ``n`` lanes."""
+        one, two, lane = self.last[:n], self.earlier[:n], self.lane[:n]
+        base, mask = lane << SLOTS, (1 << SLOTS) - 1
+        self.slots = base + (((one * 40503 + two * 60493 + (one >> 3)) >> 4) & mask), base + ((one ^ (one >> SLOTS)) & mask)
+        self.entries = [t.take(s) for t, s in zip(self.tables, self.slots)]
+        self.candidates = [e & 0xFFFF for e in self.entries]
+        second, first = (e >> 16 for e in self.entries)
+        same = self.candidates[0] == self.candidates[1]
+        self.at = lane * 32 + (second * 8 + first * 2 + same), lane * KINDS + LENGTH.take(one)
+        self.found = [r.take(a).view(np.int16).reshape(n, WIDTH) for r, a in zip(self.rows, self.at)]
+        a, b = self.found
+        self.mix = np.subtract(a, b, dtype=np.int32)
+        self.mix *= self.weight[:n, None]
+        self.mix >>= 12
+        self.mix += b
+        return self.mix
+
+    def symbols(self, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the ids, and the numbers they stand for; ``places`` in the lists, -1 for new ids."""
+        new = places < 0
+        number = np.where(new, ids, places)
+        out = LENGTH.take(number) + np.where(new, NEW - 1, KNOWN)
+        for symbol in (1, 0):
+            hit = ids == self.candidates[symbol]
+            out[hit], number[hit] = symbol, 0
+        return out, number
+
+    def ids(self, symbol: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """The ids that symbols and numbers stand for."""
+        out = number
+        known = np.flatnonzero(symbol < NEW)
+        out[known] = self.listed[known, np.minimum(number[known], self.listed.shape[1] - 1)]
         for k in range(2):
-            self.weights[k, :n] += (self.odds[k] * error + 0x2000) >> 14
-            value = self.first[k][self.at[k]]
-            self.first[k][self.at[k]] = value + (((hit << 16) - hit * 32 - value) >> 4)
-        np.clip(self.weights[:, :n], -(1 << 18), 1 << 18, out=self.weights[:, :n])
-
-    def second_chance(self, lanes: np.ndarray) -> np.ndarray:
-        self.at2 = lanes * 4 + self.sure[1][lanes]
-        return np.clip(self.second[self.at2] >> 4, 1, 4095)
-
-    def second_learn(self, hit: np.ndarray) -> None:
-        value = self.second[self.at2]
-        self.second[self.at2] = value + (((hit << 16) - hit * 32 - value) >> 4)
-
-    def part_rows(self, k: int, lanes: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """Cumulated distributions of part ``k`` after the parts ``before`` of the same id."""
-        context = before if k < 3 else before & 0xFF
-        self.row = lanes * PARTS[-1] + PARTS[k] + context
-        return self.order0[self.row]
-
-    def part_learn(self, rows: np.ndarray, part: np.ndarray) -> None:
-        # Goals are FLOOR apart at least, so distributions stay strictly increasing.
-        self.order0[self.row] = rows + ((GOALS[part] - rows) >> RATE)
-
-    def learn(self, ids: np.ndarray) -> None:
-        """Enter the ids into the candidate tables and move on."""
+            hit = np.flatnonzero(symbol == k)
+            out[hit] = self.candidates[k][hit]
+        return out
+
+    def learn(self, symbol: np.ndarray, ids: np.ndarray) -> None:
+        """Move distributions, weights and candidates to the ids coded, and move on."""
         n = len(ids)
-        for table, slot, candidate, sure in zip(self.tables, self.slots, self.candidates, self.sure):
+        place = self.lane[:n] * WIDTH + symbol
+        goals = GOALS.take(symbol, axis=0)
+        chances = []
+        for rows, at, found in zip(self.rows, self.at, self.found):
+            flat = found.ravel()
+            chances.append((flat.take(place + 1) - flat.take(place)).astype(np.int32))
+            step = goals - found
+            step >>= RATE
+            step += found
+            rows[at] = step.view(ROW).ravel()
+        a, b = chances
+        weight = self.weight[:n]
+        weight += ((a - b) << 7) // (a + b)
+        np.clip(weight, WHOLE >> 6, WHOLE - (WHOLE >> 6), out=weight)
+        for table, slot, entry, candidate in zip(self.tables, self.slots, self.entries, self.candidates):
             hit = candidate == ids
-            keep = hit | (sure > 0)
-            value = np.where(hit, np.minimum(sure + 1, 3), sure >> 1)
-            table[slot] = np.where(keep, candidate, ids) + (np.where(keep, value, 0) << 16)
-        self.before[1, :n] = self.before[0, :n]
-        self.before[0, :n] = ids
+            sure = entry >> 16
+            kept = candidate + (np.where(hit, np.minimum(sure + 1, 3), sure >> 1) << 16)
+            table[slot] = np.where(hit | (sure > 0), kept, ids)
+        new = np.flatnonzero((symbol >= NEW) & (self.size[:n] < self.listed.shape[1]))
+        self.listed[new, self.size[new]] = ids[new]
+        self.size[new] += 1
+        self.earlier[:n] = self.last[:n]
+        self.last[:n] = ids
 
 
 class Range:
-    """Carry-less range coder with 48-bit bounds and 16-bit words, one per lane."""
+    """Carry-less range coder with 64-bit bounds and 32-bit words, one per lane.
+
+    A step narrows by 14 and up to 15 bits and starts with a width of 2**32 - 1 or more, so that one
+    word at most is due after it.
+    """
 
     def __init__(self, lanes: int) -> None:
         self.low = np.zeros(lanes, U)
-        self.width = np.full(lanes, MASK, U)
+        self.width = np.full(lanes, (1 << 64) - 1, U)
 
-    def shift(self, lanes: np.ndarray, sub: np.ndarray, low: np.ndarray) -> None:
+    def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
         raise NotImplementedError
 
-    def narrow(self, lanes: np.ndarray, begin: np.ndarray, size: np.ndarray, bits: int) -> None:
-        unit = self.width[lanes] >> U(bits)
-        low = self.low[lanes] + begin.astype(U) * unit
-        width = size.astype(U) * unit
-        while True:
-            same = (low ^ (low + width)) < TOP
-            go = np.flatnonzero(same | (width <= LOW16))
-            if not len(go):
-                break
-            self.shift(lanes, go, low[go])
-            part = np.where(same[go], width[go], (~low[go] + U(1)) & LOW16)
-            low[go] = (low[go] << U(16)) & MASK
-            width[go] = part << U(16)
-        self.low[lanes], self.width[lanes] = low, width
+    def narrow(self, n: int, low: np.ndarray, width: np.ndarray) -> None:
+        """Set the bounds of the first ``n`` lanes; words on which both agree go out."""
+        go = np.flatnonzero(width <= LOW)
+        if len(go):
+            some, size = low[go], width[go]
+            self.shift(go, some)
+            same = ((some ^ (some + size)) >> WORD) == 0
+            # Where the bounds differ in a higher bit, the part below that bit is kept.
+            width[go] = np.where(same, size << WORD, ((~some & LOW) << WORD) + LOW)
+            low[go] = some << WORD
+        self.low[:n], self.width[:n] = low, width
 
 
 class Writer(Range):
     def __init__(self, lanes: int, steps: int) -> None:
         super().__init__(lanes)
-        self.words = np.zeros((lanes, 16 + steps), "<u2")
+        self.words = np.zeros((lanes, steps + 2), "<u4")
         self.size = np.zeros(lanes, np.int64)
 
-    def shift(self, lanes: np.ndarray, sub: np.ndarray, low: np.ndarray) -> None:
-        at = lanes[sub]
-        if self.size.max() + 4 >= self.words.shape[1]:
-            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-        self.words[at, self.size[at]] = (low >> U(32)).astype("<u2")
-        self.size[at] += 1
+    def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
+        self.words[lanes, self.size[lanes]] = low >> WORD
+        self.size[lanes] += 1
+
+    def step(self, mix: np.ndarray, symbol: np.ndarray, number: np.ndarray) -> None:
+        n = len(symbol)
+        flat, at = mix.ravel(), np.arange(n) * WIDTH + symbol
+        begin, end = flat.take(at).astype(U), flat.take(at + 1).astype(U)
+        unit = self.width[:n] >> U(TOTAL)
+        part = ((end - begin) * unit) >> EXTRA.take(symbol).astype(U)
+        self.narrow(n, self.low[:n] + begin * unit + (number - FIRST.take(symbol)).astype(U) * part, part)
 
     def finish(self) -> list[bytes]:
         every = np.arange(len(self.low))
-        for _ in range(3):
-            self.shift(every, every, self.low)
-            self.low = (self.low << U(16)) & MASK
+        for low in (self.low, self.low << WORD):
+            self.shift(every, low)
         return [w[:n].tobytes() for w, n in zip(self.words, self.size.tolist())]
 
 
 class Reader(Range):
     def __init__(self, payloads: list[bytes]) -> None:
         super().__init__(len(payloads))
-        sizes = np.array([len(p) // 2 for p in payloads])
-        self.words = np.zeros((len(payloads), int(sizes.max()) + 8), "<u2")
+        sizes = np.array([len(p) // 4 for p in payloads])
+        self.words = np.zeros((len(payloads), int(sizes.max()) + 3), "<u4")
         for row, payload in zip(self.words, payloads):
-            row[: len(payload) // 2] = np.frombuffer(payload, "<u2")
-        self.size = np.full(len(payloads), 3, np.int64)
-        a, b, c = (self.words[:, k].astype(U) for k in range(3))
-        self.code = (a << U(32)) | (b << U(16)) | c
-
-    def shift(self, lanes: np.ndarray, sub: np.ndarray, low: np.ndarray) -> None:
-        at = lanes[sub]
-        place = np.minimum(self.size[at], self.words.shape[1] - 1)  # beyond the end only in a damaged block
-        self.code[at] = ((self.code[at] << U(16)) & MASK) | self.words[at, place].astype(U)
-        self.size[at] += 1
-
-    def value(self, lanes: np.ndarray, bits: int) -> np.ndarray:
-        place = ((self.code[lanes] - self.low[lanes]) & MASK) // (self.width[lanes] >> U(bits))
-        return np.minimum(place, U((1 << bits) - 1)).astype(np.int64)
-
-
-def _flag(coder: Range, lanes: np.ndarray, chance: np.ndarray, hit: np.ndarray | None) -> np.ndarray:
-    """Code ``hit`` (or read it, if None); a hit is the lower part of the range."""
-    if hit is None:
-        hit = (coder.value(lanes, 12) < chance).astype(np.int64)
-    coder.narrow(lanes, np.where(hit, 0, chance), np.where(hit, chance, 4096 - chance), 12)
-    return hit
-
-
-def _run(coder: Range, lengths: np.ndarray, ids: np.ndarray, reads: bool) -> None:
-    """Code the rows of ``ids``, or fill them; ``lengths`` must not increase."""
-    model = Model(len(lengths))
-    for step in range(int(lengths.max(initial=0))):
+            row[: len(payload) // 4] = np.frombuffer(payload[: len(payload) // 4 * 4], "<u4")
+        self.size = np.full(len(payloads), 2, np.int64)
+        self.code = (self.words[:, 0].astype(U) << WORD) | self.words[:, 1]
+
+    def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
+        place = np.minimum(self.size[lanes], self.words.shape[1] - 1)  # beyond the end only in a damaged block
+        self.code[lanes] = (self.code[lanes] << WORD) | self.words[lanes, place]
+        self.size[lanes] += 1
+
+    def step(self, mix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols read, and the numbers they stand for."""
+        n = len(mix)
+        unit = self.width[:n] >> U(TOTAL)
+        rest = self.code[:n] - self.low[:n]
+        value = np.minimum(rest // unit, U((1 << TOTAL) - 1)).astype(np.int32)
+        below = (mix <= value[:, None]).view(np.uint64).reshape(n, WIDTH // 8)
+        symbol = (((below[:, 0] + below[:, 1] + below[:, 2] + below[:, 3]) * ONES) >> U(56)).astype(np.int64) - 1
+        flat, at = mix.ravel(), np.arange(n) * WIDTH + symbol
+        begin, end = flat.take(at).astype(U), flat.take(at + 1).astype(U)
+        bits = EXTRA.take(symbol).astype(U)
+        part = ((end - begin) * unit) >> bits
+        begin *= unit
+        place = np.minimum((rest - begin) // part, (U(1) << bits) - U(1))
+        self.narrow(n, self.low[:n] + begin + place * part, part)
+        return symbol, place.astype(np.int64) + FIRST.take(symbol)
+
+
+def list_places(ids: np.ndarray) -> np.ndarray:
+    """Where each id of a block stands in the list of those before it, -1 for new ones and beyond the list."""
+    _, first, which = np.unique(np.append(np.uint16(0), ids), return_index=True, return_inverse=True)
+    place = np.argsort(np.argsort(first))[which]
+    return np.where((first[which] < np.arange(len(which))) & (place < LISTED), place, -1)[1:]
+
+
+def _run(coder: Writer | Reader, lengths: np.ndarray, ids: np.ndarray, places: np.ndarray | None = None) -> None:
+    """Code the columns of ``ids``, or fill them; ``lengths`` must not increase."""
+    model = Model(len(lengths), len(ids))
+    for step in range(len(ids)):
         n = int(np.searchsorted(-lengths, -step, "left"))
-        lanes = model.lane[:n]
-        model.look(n)
-        now = None if reads else ids[:n, step].astype(np.int64)
-        hit = _flag(coder, lanes, model.first_chance(), None if reads else (now == model.candidates[0]).astype(np.int64))
-        model.first_learn(hit)
-        if reads:
-            now = model.candidates[0].copy()
-        miss = np.flatnonzero(hit == 0)
-        other = miss[model.same[miss] == 0]
-        if len(other):
-            known = None if reads else (now[other] == model.candidates[1][other]).astype(np.int64)
-            hit = _flag(coder, other, model.second_chance(other), known)
-            model.second_learn(hit)
-            if reads:
-                now[other] = model.candidates[1][other]
-            rest = np.ones(n, bool)
-            rest[other[hit == 1]] = False
-            miss = miss[rest[miss]]
-        if len(miss):
-            before, every = np.zeros(len(miss), np.int64), np.arange(len(miss))
-            for k in range(4):
-                rows = model.part_rows(k, miss, before)
-                if reads:
-                    part = (rows[:, 1:] <= coder.value(miss, TOTAL)[:, None]).sum(axis=1)
-                else:
-                    part = (now[miss] >> (12 - 4 * k)) & 15
-                begin = rows[every, part].astype(np.int64)
-                coder.narrow(miss, begin, rows[every, part + 1] - begin, TOTAL)
-                model.part_learn(rows, part)
-                before = before * 16 + part
-            now[miss] = before
-        model.learn(now)
-        if reads:
-            ids[:n, step] = now
+        mix = model.look(n)
+        if isinstance(coder, Writer):
+            now = ids[step, :n].astype(np.int64)
+            symbol, number = model.symbols(now, places[step, :n])
+            coder.step(mix, symbol, number)
+        else:
+            symbol, number = coder.step(mix)
+            ids[step, :n] = now = model.ids(symbol, number)
+        model.learn(symbol, now)
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -239,10 +254,12 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         order = np.argsort([-len(b) for b in some], kind="stable")
         lengths = np.array([len(some[i]) for i in order])
         ids = np.zeros((len(some), int(lengths.max())), np.uint16)
-        for row, i in zip(ids, order):
-            row[: len(some[i])] = some[i]
+        places = np.zeros(ids.shape, np.int16)
+        for lane, i in enumerate(order):
+            ids[lane, : len(some[i])] = some[i]
+            places[lane, : len(some[i])] = list_places(some[i])
         writer = Writer(len(some), ids.shape[1])
-        _run(writer, lengths, ids, False)
+        _run(writer, lengths, np.ascontiguousarray(ids.T), np.ascontiguousarray(places.T))
         made = writer.finish()
         back = np.argsort(order)
         out += [made[i] for i in back]
@@ -255,8 +272,9 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     for at in range(0, len(payloads), LANES):
         order = np.argsort([-n for n in sizes[at : at + LANES]], kind="stable")
         lengths = np.array([sizes[at + i] for i in order])
-        ids = np.zeros((len(order), int(lengths.max(initial=0))), np.uint16)
-        _run(Reader([payloads[at + i] for i in order]), lengths, ids, True)
+        ids = np.zeros((int(lengths.max(initial=0)), len(order)), np.uint16)
+        _run(Reader([payloads[at + i] for i in order]), lengths, ids)
+        rows = np.ascontiguousarray(ids.T)
         back = np.argsort(order)
-        out += [ids[i, : sizes[at + k]] for k, i in enumerate(back)]
+        out += [rows[i, : sizes[at + k]] for k, i in enumerate(back)]
     return out

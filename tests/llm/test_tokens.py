@@ -73,6 +73,8 @@ def test_blocks_round_trip():
     rng = np.random.default_rng(0)
     blocks = [rng.integers(0, 65536, n).astype(np.uint16) for n in (0, 1, 5, 3000)]
     blocks += [np.zeros(2000, np.uint16), np.full(100, 65535, np.uint16), np.tile([1, 2, 3], 500).astype(np.uint16)]
+    blocks += [np.array([0], np.uint16), np.arange(1, 6000, dtype=np.uint16), np.tile(np.arange(5000, 0, -1), 2).astype(np.uint16)]
+    blocks += [(rng.zipf(1.2, 2048) % 50_000).astype(np.uint16) for _ in range(50)]
     payloads = encode_blocks(blocks)
     for a, b in zip(blocks, decode_blocks(payloads, [len(b) for b in blocks])):
         assert (a == b).all()
