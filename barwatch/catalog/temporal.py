@@ -32,13 +32,13 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arriving_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as a stream of four files, in which errors arrive 36 hours late."""
+    """All events as a stream of four pieces, in which errors arrive 36 hours late."""
     events = _events(spark, sf_dir)
     folder = new_folder(spark)
     late = F.when(F.col("event_type") == "error", F.make_dt_interval(hours=F.lit(LATE_HOURS))).otherwise(F.make_dt_interval())
-    deliver_in_pieces(events, folder, F.col("ts") + late, WEEK_ENDS)
+    files = deliver_in_pieces(events, folder, F.col("ts") + late, WEEK_ENDS)
     deliver_marker(spark, folder, events.schema, "ts", EVENTS_OVER)
-    return file_stream(spark, folder, events.schema)
+    return file_stream(spark, folder, events.schema, files)
 
 
 def _drained(result: DataFrame) -> DataFrame:
@@ -69,13 +69,13 @@ def stream_sessions(spark, sf_dir):
 
 
 def _streamed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of all bars, streamed as four files in which bars are up to three days late."""
+    """Features of all bars, streamed as four pieces in which bars are up to three days late."""
     bars = materialize(read_panel(spark, sf_dir, WIDE))
     folder = new_folder(spark)
     late = F.date_add("date", F.pmod(F.xxhash64("ticker", "date"), F.lit(4)).cast("int"))
-    deliver_in_pieces(bars, folder, late.cast("timestamp"), YEAR_ENDS)
+    files = deliver_in_pieces(bars, folder, late.cast("timestamp"), YEAR_ENDS)
     deliver_marker(spark, folder, bars.schema, "date", BARS_OVER)
-    return stream_features(file_stream(spark, folder, bars.schema), "4 days")
+    return stream_features(file_stream(spark, folder, bars.schema, files), "4 days")
 
 
 @query

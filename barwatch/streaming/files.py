@@ -11,23 +11,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+FILE_ROWS = 1_000_000
+"""Rows of a delivered file, about: some 50 MB, which one task writes."""
+
+
 def deliver(rows: DataFrame, folder: str, files: int = 1) -> None:
-    """Add ``rows`` to ``folder`` as ``files`` files that arrive now."""
-    rows.coalesce(files).write.mode("append").parquet(folder)
+    """Add ``rows`` to ``folder`` as ``files`` files that arrive now, or fewer where there are not rows for all.
+
+    Rows are read by all tasks and dealt to the files.
+    """
+    rows.repartition(files).write.mode("append").parquet(folder)
 
 
-def deliver_in_pieces(rows: DataFrame, folder: str, arrival: Column, ends: Sequence[dt.datetime]) -> None:
+def deliver_in_pieces(
+    rows: DataFrame, folder: str, arrival: Column, ends: Sequence[dt.datetime], file_rows: int = FILE_ROWS
+) -> int:
     """Deliver ``rows`` one piece after the other: those that arrive before each of ``ends``, then the rest.
 
-    Rows without an arrival come last.
+    Rows without an arrival come last. Every piece is as many files as the returned number, of about ``file_rows`` rows in
+    the largest one, so a stream that takes so many files per batch has a piece in each. What short pieces lack is
+    made up by empty files.
     """
-    begin = None
+    begin, pieces = None, []
     for end in [*ends, None]:
         piece = F.lit(True) if begin is None else F.coalesce(arrival >= F.lit(begin), F.lit(True))
         if end is not None:
             piece = piece & F.coalesce(arrival < F.lit(end), F.lit(False))
-        deliver(rows.filter(piece), folder)
+        pieces.append(piece)
         begin = end
+    sizes = rows.agg(*[F.count_if(piece) for piece in pieces]).first()
+    files = max(1, -(-max(sizes) // file_rows))
+    present = 0
+    for nth, piece in enumerate(pieces, 1):
+        deliver(rows.filter(piece), folder, files)
+        present = _files(rows, folder, present)
+        while present < nth * files:
+            deliver(rows.limit(0), folder)
+            present = _files(rows, folder, present)
+    return files
+
+
+def _files(rows: DataFrame, folder: str, before: int) -> int:
+    """How many files ``folder`` has, which must be more than ``before``."""
+    found = len(rows.sparkSession.read.schema(rows.schema).parquet(folder).inputFiles())
+    if found <= before:
+        raise RuntimeError(f"nothing was delivered to {folder}")
+    return found
 
 
 def deliver_marker(spark: SparkSession, folder: str, schema: StructType, time: str, at: dt.datetime) -> None:
@@ -45,7 +74,8 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, files_per_
     """The rows of a folder in the order in which its files arrived.
 
     The order within a batch is open, and so is the order of rows between batches as far as files overlap in
-    time: a watermark's delay has to cover that.
+    time: a watermark's delay has to cover that. Pieces of several files each (``deliver_in_pieces``) are read with
+    ``files_per_batch`` set to their number.
     """
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 

@@ -111,6 +111,20 @@ def test_streamed_features_equal_those_of_the_table(spark, tmp_path):
     assert rounded(second.table) == wanted and second.dropped == 0
 
 
+def test_pieces_of_several_files_are_a_batch_each(spark, tmp_path):
+    source, out, checkpoint = folders(tmp_path)
+    table = bars(spark, history(7)).filter("date is not null").repartition(4)
+    late = F.date_add("date", F.pmod(F.hash("ticker", "date"), F.lit(4)).cast("int")).cast("timestamp")
+    ends = [START.replace(year=2020) + dt.timedelta(days=n) for n in (1, 40, 90)]
+    files = deliver_in_pieces(table, source, late, ends, file_rows=40)
+    # The largest piece is spread over files of some 40 rows; the first one has fewer rows than files.
+    assert files > 4 and len(spark.read.parquet(source).inputFiles()) == 4 * files
+    assert max(r[0] for r in spark.read.parquet(source).groupBy(F.input_file_name()).agg(F.count("*")).select("count(1)").collect()) <= 60
+    deliver_marker(spark, source, table.schema, "date", day(900))
+    found = drain(stream_features(file_stream(spark, source, table.schema, files), "4 days"), out, checkpoint)
+    assert found.dropped == 0 and rounded(found.table) == rounded(compute_features(table))
+
+
 def test_corrections_count_while_open_and_late_bars_do_not(spark, tmp_path):
     source, out, checkpoint = folders(tmp_path)
     deliver(bars(spark, [bar("A", day(0), close=10.0), bar("A", day(1), close=11.0)]), source)
