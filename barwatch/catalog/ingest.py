@@ -10,7 +10,7 @@ from barwatch.operators import quality
 from barwatch.operators.features import compute_features
 from barwatch.operators.long_rank import trailing_rank
 from barwatch.plans.upserts import upsert_bars
-from barwatch.session import new_folder
+from barwatch.session import materialize, new_folder
 from barwatch.sources.panel import NARROW, read_panel
 from barwatch.sources.tables import read_table, write_table
 from barwatch.sources.universe_csv import read_universe
@@ -29,7 +29,7 @@ def _universe(spark: SparkSession, sf_dir: str) -> str:
     """
     path, day = new_folder(spark), F.dayofmonth("date")
     wrong = F.when(day == 13, F.date_format("date", "yyyy/MM/dd")).otherwise(F.date_format("date", "yyyy-MM-dd"))
-    rows = read_panel(spark, sf_dir).select(
+    rows = materialize(read_panel(spark, sf_dir)).select(
         "ticker",
         (F.substring("ticker", 2, 9).cast("int") % 5).alias("form"),
         wrong.alias("date"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwatch.config import REQUIRED_COLUMNS
-from barwatch.session import broadcast_if_small, materialize
+from barwatch.session import broadcast_if_small, is_small, materialize
 from barwatch.sources.bars_csv import MISSING_TEXTS
 
 NO_HEADER = "no header"
@@ -16,36 +18,54 @@ BAD_DATE = "bad date"
 BAD_NUMBER = "bad number: "
 TOO_MANY = "more cells than columns"
 
+MAX_FILES = 1_000_000
+"""Files up to which what is known of each goes to all tasks: some 200 bytes, its path as a hash."""
+
 COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 """A comma outside quotes."""
 
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """All lines of the files, which are listed here, by as many tasks as shuffles have.
+
+    Spark's own default is a task per folder, up to 10,000, and a folder is listed faster than a task starts.
+    """
+    usual = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         return spark.read.options(recursiveFileLookup=True).format("text").load(paths)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(str(paths)) from error
         raise
+    finally:
+        spark.conf.set(LISTING, usual)
+
+
+def _header_names(line: str) -> Column:
+    """Trimmed, lower-cased cells of a header line."""
+    cells = F.split(F.regexp_replace(line, "^﻿", ""), COMMA)
+    return F.transform(cells, lambda c: F.lower(F.trim(F.regexp_replace(F.trim(c), '^"|"$', ""))))
 
 
-def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def file_headers(lines: DataFrame) -> DataFrame:
     """(file, names): trimmed, lower-cased header cells of every file; null for a file of blank lines.
 
     The first line that is not blank is the header. One pass over the files as lines, of which only
     one per file and task leaves the scan. Files of no bytes have no lines and are not listed.
     """
-    lines = _lines(spark, paths).select(
+    placed = lines.select(
         F.col("_metadata.file_path").alias("file"),
         "value",
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("at"),
     )
     place = F.when((F.col("start") == 0) & (F.trim("value") != ""), F.col("at"))
-    first = lines.groupBy("file").agg(F.min_by("value", place).alias("line"))
-    cells = F.split(F.regexp_replace("line", "^﻿", ""), COMMA)
-    names = F.transform(cells, lambda c: F.lower(F.trim(F.regexp_replace(F.trim(c), '^"|"$', ""))))
-    return first.select("file", names.alias("names"))
+    first = placed.groupBy("file").agg(F.min_by("value", place).alias("line"))
+    return first.select("file", _header_names("line").alias("names"))
 
 
 def _absent() -> Column:
@@ -61,19 +81,33 @@ def _unreadable(headers: DataFrame) -> DataFrame:
     return found.filter(F.col("reason").isNotNull())
 
 
-def _ticker(named: Column) -> Column:
-    """A cell ``ticker``, else a ``ticker=...`` folder, else the file name."""
+def _file_ticker() -> Column:
+    """A ``ticker=...`` folder, else the file name."""
     path = F.url_decode("file")
     folder = F.nullif(F.regexp_extract(path, r"/ticker=([^/]+)/", 1), F.lit(""))
     name = F.regexp_extract(path, r"([^/]+?)(\.csv)?(\.gz)?$", 1)
-    return F.coalesce(named, folder, name)
+    return F.coalesce(folder, name)
+
+
+def _with_headers(rows: DataFrame, usable: DataFrame) -> DataFrame:
+    """``rows`` with the names and the ticker of their file.
+
+    Paths meet as hashes, so that all files fit a broadcast, unless two of them share one.
+    """
+    known = usable.withColumn("file_ticker", _file_ticker())
+    if not is_small(usable, MAX_FILES):
+        return rows.join(known, "file")
+    hashed = materialize(known.select(F.xxhash64("file").alias("_file"), "names", "file_ticker"))
+    if hashed.groupBy("_file").count().filter("count > 1").isEmpty():
+        return rows.withColumn("_file", F.xxhash64("file")).join(F.broadcast(hashed), "_file").drop("_file")
+    return rows.join(broadcast_if_small(known), "file")
 
 
 def read_universe(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Bars of all CSV files below ``paths``, and what could not be read: (ticker, file, line, reason).
 
     Columns are matched by name file by file, in any order, case and number; of equal names the first
-    counts. All files are one scan of text cells, joined with the header of their file, so neither the
+    counts. All files are listed once and are one scan of lines, joined with the header of their file, so neither the
     number of files nor of different headers adds jobs. Bars come typed as by ``read_bars``.
 
     A row with a date that is not ``yyyy-MM-dd``, a text that is neither a number nor a usual sign for a
@@ -82,12 +116,12 @@ def read_universe(spark: SparkSession, paths: str | list[str]) -> tuple[DataFram
     line, and so is a file of blank lines; a file of no bytes gives nothing. Header lines repeated inside a file are left out. Blank
     lines do not count. Paths that do not exist raise FileNotFoundError; each result is a scan of its own.
     """
-    headers = materialize(file_headers(spark, paths))
+    lines = _lines(spark, paths)
+    headers = materialize(file_headers(lines))
     width = headers.agg(F.max(F.size("names"))).first()[0] or 0
     columns = [f"c{i}" for i in range(max(width, 0) + 1)]
-    raw = _files_as_cells(spark, paths, columns)
     usable = headers.filter(F.col("names").isNotNull() & (F.size(_absent()) == 0))
-    rows = raw.join(broadcast_if_small(usable), "file")
+    rows = _with_headers(_as_cells(lines, columns), usable)
 
     def cell(name: str) -> Column:
         return F.trim(F.get("cells", (F.array_position("names", name) - 1).cast("int")))
@@ -95,35 +129,39 @@ def read_universe(spark: SparkSession, paths: str | list[str]) -> tuple[DataFram
     numbers = {c: cell(c) for c in REQUIRED_COLUMNS if c != "date"}
     known = {c: F.when(~text.isin(MISSING_TEXTS), text) for c, text in numbers.items()}
     date = F.try_to_date(cell("date"), "yyyy-MM-dd")
-    reasons = F.array_compact(
-        F.array(
-            F.when(F.exists(F.slice("cells", F.size("names") + 1, len(columns)), lambda c: c.isNotNull()), TOO_MANY),
-            F.when(date.isNull(), BAD_DATE),
-            *[F.when(v.isNotNull() & v.try_cast("double").isNull(), BAD_NUMBER + c) for c, v in known.items()],
-        )
-    )
+    beyond = F.slice("cells", F.size("names") + 1, len(columns))
+    faults = [
+        (F.size(F.array_except(beyond, F.array(F.lit(None).cast("string")))) > 0, TOO_MANY),
+        (date.isNull(), BAD_DATE),
+        *[(v.isNotNull() & v.try_cast("double").isNull(), BAD_NUMBER + c) for c, v in known.items()],
+    ]
+    # Plain conditions tell the rows apart; reasons and lines are put together for rejected ones alone.
+    faulty = reduce(Column.__or__, [wrong for wrong, _ in faults])
+    reason = F.concat_ws("; ", *[F.when(wrong, text) for wrong, text in faults])
     same = F.transform(F.slice("cells", F.lit(1), F.size("names")), lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
+    # What repeats the header holds its first name; only such lines are compared in full.
+    header = F.lower("value").contains(F.col("names")[0]) & (
+        same.eqNullSafe(F.col("names")) | _header_names("value").eqNullSafe(F.col("names"))
+    )
     line = F.array_join(F.transform("cells", lambda c: F.coalesce(c, F.lit(""))), ",")
-    parsed = rows.filter(~same.eqNullSafe(F.col("names"))).select(
-        _ticker(cell("ticker")).alias("ticker"),
+    data = rows.filter(~header)
+    ticker = F.coalesce(cell("ticker"), "file_ticker").alias("ticker")
+    bars = data.filter(~faulty).select(
+        ticker,
         date.alias("date"),
         *[v.try_cast("double").alias(c.replace(" ", "_")) for c, v in known.items()],
-        "file",
-        F.regexp_replace(line, ",+$", "").alias("line"),
-        reasons.alias("reasons"),
-    )
-    bars = parsed.filter(F.size("reasons") == 0).drop("file", "line", "reasons")
-    bad_rows = parsed.filter(F.size("reasons") > 0).select(
-        "ticker", "file", "line", F.array_join("reasons", "; ").alias("reason")
     )
+    bad_rows = data.filter(faulty).select(ticker, "file", F.regexp_replace(line, ",+$", "").alias("line"), reason.alias("reason"))
     bad_files = _unreadable(headers).select(
-        _ticker(F.lit(None).cast("string")).alias("ticker"), "file", "line", "reason"
+        _file_ticker().alias("ticker"), "file", "line", "reason"
     )
     return bars, bad_files.unionByName(bad_rows)
 
 
-def _files_as_cells(spark: SparkSession, paths: str | list[str], columns: list[str]) -> DataFrame:
+def _as_cells(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """(file, value, cells) of all lines that are not blank."""
     schema = ", ".join(f"{c} string" for c in columns)
-    reader = spark.read.schema(schema).options(recursiveFileLookup=True, header=True)
-    cells = F.array(*columns).alias("cells")
-    return reader.csv(paths).select(F.col("_metadata.file_path").alias("file"), cells)
+    parts = lines.filter(F.col("value").rlike(r"[^\x00-\x20]")).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.from_csv("value", schema).alias("_cells")
+    )
+    return parts.select("file", "value", F.array(*[F.col(f"_cells.{c}") for c in columns]).alias("cells"))

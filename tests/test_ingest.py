@@ -13,6 +13,7 @@ from barwatch.operators.features import compute_features
 from barwatch.operators.long_rank import trailing_rank
 from barwatch.operators.quality import column_findings, strict_findings
 from barwatch.plans.upserts import upsert_bars, upsert_months
+from barwatch.sources import universe_csv
 from barwatch.sources.tables import read_table, write_table
 from barwatch.sources.universe_csv import read_universe
 
@@ -63,6 +64,24 @@ def test_missing_folder_raises_and_empty_files_give_no_bars(spark, tmp_path):
     assert found.count() == 0 and [r.reason for r in rejected.collect()] == ["no header"]
 
 
+def test_many_folders_are_listed_once_by_few_tasks(spark, tmp_path, monkeypatch):
+    header = "date,open,high,low,close,adj close,volume"
+    for i in range(40):
+        write(tmp_path / f"ticker=T{i}", "x.csv", [header, "2020-01-02,1,2,1,1,1,5", f"2020-01-{i},1,2,1,1,1,5"])
+    spark.sparkContext.setJobGroup("listing", "read_universe")
+    found, rejected = read_universe(spark, str(tmp_path))
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages if s) <= 8
+    bars = sorted(map(tuple, found.collect()))
+    bad = sorted(map(tuple, rejected.collect()))
+    assert {b[0] for b in bars} == {f"T{i}" for i in range(40)} and len(bars) == 40 + 22 and len(bad) == 18
+    monkeypatch.setattr(universe_csv, "MAX_FILES", 10)
+    found, rejected = read_universe(spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == bars and sorted(map(tuple, rejected.collect())) == bad
+
+
 def brute_counts(values, rows, first):
     return [
         0 if np.isnan(values[i]) else int((values[max(0, i - rows) : i] <= values[i]).sum()) for i in range(first, len(values))
