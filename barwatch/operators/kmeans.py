@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.mllib.clustering import KMeans as RddKMeans
-from pyspark.mllib.clustering import KMeansModel
-from pyspark.mllib.linalg import Vectors
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +33,12 @@ TOLERANCE = 1e-4
 
 ROUNDS = 300
 
+BLOCK = 4096
+"""Rows compared with a centroid at once, so that what is in between stays in the processor's cache."""
+
+WIDE = 1000
+"""Centroids from which the sums of the tasks are added up by tasks before the driver gets them."""
+
 Centroid = tuple[float, ...]
 Centroids = list[Centroid]
 
@@ -45,6 +48,28 @@ def _squares(x: np.ndarray, centroids: Centroids) -> np.ndarray:
     return sum((x[:, j, None] - np.array([c[j] for c in centroids])) ** 2 for j in range(x.shape[1]))
 
 
+def _nearest(columns: list[np.ndarray], centroids: Centroids) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the first of the nearest centroids and the squared distance to it."""
+    n = len(columns[0])
+    place, least = np.zeros(n, np.int32), np.full(n, np.inf)
+    squares, part, closer = np.empty(BLOCK), np.empty(BLOCK), np.empty(BLOCK, bool)
+    for i in range(0, n, BLOCK):
+        some = [c[i : i + BLOCK] for c in columns]
+        m = len(some[0])
+        total, more, nearer = squares[:m], part[:m], closer[:m]
+        for k, centroid in enumerate(centroids):
+            np.subtract(some[0], centroid[0], out=total)
+            np.multiply(total, total, out=total)
+            for values, c in zip(some[1:], centroid[1:]):
+                np.subtract(values, c, out=more)
+                np.multiply(more, more, out=more)
+                np.add(total, more, out=total)
+            np.less(total, least[i : i + m], out=nearer)
+            np.minimum(total, least[i : i + m], out=least[i : i + m])
+            np.putmask(place[i : i + m], nearer, k)
+    return place, least
+
+
 def _uniform(key: list[str], tag: str) -> Column:
     """A number between 0 and 1 per row that depends on its key and ``tag`` alone."""
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(tag))
@@ -61,22 +86,30 @@ def _drawn(points: DataFrame, columns: list[str], key: list[str], tags: list[str
     numbered = points.select(F.struct(*key).alias("key"), *columns, *drawn)
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[np.ndarray, list[pa.Array]]] = {}
         for batch in batches:
             values = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, batch.num_columns)]
-            x, u = np.stack(values[: len(columns)], axis=1), values[len(columns) :]
+            x, u = values[: len(columns)], values[len(columns) :]
             for s, some in enumerate(chosen):
-                away = _squares(x, some).min(axis=1) if some else np.ones(len(x))
+                away = _nearest(x, some)[1] if some else np.ones(batch.num_rows)
                 with np.errstate(divide="ignore"):
                     race = np.where(away > 0, -np.log(u[s]) / away, np.inf)
-                first = np.argsort(race, kind="stable")
-                # Rows with equal races are told apart by their keys later on, so all of them go on.
-                last = race[first[min(rows, len(first)) - 1]] if len(first) else np.inf
-                best = first[(race[first] <= last) & (race[first] < np.inf)]
-                at = pa.array(best)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(best), s, np.int32)), pa.array(race[best]), *[batch.column(i).take(at) for i in range(len(columns) + 1)]],
-                    ["start", "race", "key", *columns],
-                )
+                full = s in best and len(best[s][0]) >= rows
+                first = np.flatnonzero((race < np.inf) & (race <= (best[s][0].max() if full else np.inf)))
+                if len(first) > rows:
+                    first = first[race[first] <= np.partition(race[first], rows - 1)[rows - 1]]
+                at = pa.array(first)
+                races, parts = race[first], [batch.column(i).take(at) for i in range(len(columns) + 1)]
+                if s in best:
+                    races = np.concatenate([best[s][0], races])
+                    parts = [pa.concat_arrays([a, b]) for a, b in zip(best[s][1], parts)]
+                if len(races) > rows:
+                    # Rows with equal races are told apart by their keys later on, so all of them stay.
+                    kept = np.flatnonzero(races <= np.partition(races, rows - 1)[rows - 1])
+                    races, parts = races[kept], [p.take(pa.array(kept)) for p in parts]
+                best[s] = races, parts
+        for s, (races, parts) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(races), s, np.int32)), pa.array(races), *parts], ["start", "race", "key", *columns])
 
     shape = f"start int, race double, key {numbered.schema['key'].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in columns)
     ship_package(points.sparkSession)
@@ -113,28 +146,54 @@ def _best_of(candidates: Centroids, weights: list[float], k: int) -> Centroids:
     return [tuple(c) for c in old.tolist()]
 
 
-def _tallied(points: DataFrame, columns: list[str], centroids: dict[int, Centroids]) -> dict[tuple[int, int], tuple]:
-    """Per start and centroid its rows, their squared distances and their sums, from one pass."""
+def _held(points: DataFrame, columns: list[str]) -> RDD:
+    """The coordinates as blocks of doubles, column after column, which the executors hold."""
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {s: np.zeros((len(c), len(columns) + 2)) for s, c in centroids.items()}
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))], axis=1)
-            for s, c in centroids.items():
-                squares = _squares(x, c)
-                place = squares.argmin(axis=1)
-                parts = [np.ones(len(x)), squares.min(axis=1), *x.T]
-                sums[s] += np.stack([np.bincount(place, p, len(c)) for p in parts], axis=1)
-        for s, total in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s] * len(total), pa.int32()), pa.array(range(len(total)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))],
-                ["start", "place", "sums"],
-            )
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["block"])
 
     ship_package(points.sparkSession)
-    parts = points.select(*columns).mapInArrow(add, "start int, place int, sums array<double>")
-    whole = parts.groupBy("start", "place").agg(*[F.sum(F.col("sums")[i]) for i in range(len(columns) + 2)])
-    return {(r[0], r[1]): tuple(r[2:]) for r in whole.collect()}
+    blocks = points.select(*columns).mapInArrow(pack, "block binary").rdd.map(lambda r: bytes(r.block))
+    return blocks.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _tallied(blocks: RDD, dimensions: int, centroids: dict) -> dict:
+    """Per set and centroid (a row each) its rows, their squared distances and their sums, from one pass."""
+
+    def add(some: Iterator[bytes]) -> Iterator[dict]:
+        sums = {s: np.zeros((len(c), dimensions + 2)) for s, c in centroids.items()}
+        for block in some:
+            x = list(np.frombuffer(block).reshape(dimensions, -1))
+            for s, c in centroids.items():
+                place, squares = _nearest(x, c)
+                sums[s][:, 0] += np.bincount(place, minlength=len(c))
+                for j, part in enumerate([squares, *x], 1):
+                    sums[s][:, j] += np.bincount(place, part, len(c))
+        yield sums
+
+    def both(a: dict, b: dict) -> dict:
+        return {s: a[s] + b[s] for s in a}
+
+    parts = blocks.mapPartitions(add)
+    return parts.treeReduce(both) if sum(map(len, centroids.values())) > WIDE else parts.reduce(both)
+
+
+def _settled(blocks: RDD, dimensions: int, firsts: dict[int, Centroids]) -> dict[int, Centroids]:
+    """Each set of centroids moved to the means of their rows until they settle; a round of all is one pass."""
+    now, moving = {k: np.array(c) for k, c in firsts.items()}, set(firsts)
+    for _ in range(ROUNDS):
+        found = _tallied(blocks, dimensions, {k: [tuple(c) for c in now[k].tolist()] for k in moving})
+        for k, sums in found.items():
+            size = sums[:, :1]
+            new = np.where(size > 0, sums[:, 2:] / np.maximum(size, 1), now[k])
+            moved, now[k] = ((new - now[k]) ** 2).sum(axis=1).max(), new
+            if moved <= TOLERANCE**2:
+                moving.discard(k)
+        if not moving:
+            break
+    return {k: sorted(tuple(c) for c in centroids.tolist()) for k, centroids in now.items()}
 
 
 def fit_kmeans(
@@ -150,44 +209,50 @@ def fit_kmeans(
     Every start makes `DRAWS` draws of `DRAWN` rows with a chance in proportion to the squared distance to
     the rows it has and weighs them by the rows nearest to each; a fit of these gives its first centroids. The start with the
     least inertia over all rows wins, and its centroids move to the means of their rows until they settle; these rounds run
-    on vectors that the executors hold. Chances come from hashes of ``key``, so rows and seed decide the result and
+    on blocks of numbers that the executors hold. Chances come from hashes of ``key``, so rows and seed decide the result and
     partitions do not. ``train`` is read some times: pass a stored table. With fewer than k different rows there are
     fewer centroids.
     """
+    return fit_each(train, [k], seed, columns, key, starts)[k]
+
+
+def fit_each(
+    train: DataFrame,
+    ks: Iterable[int] = ELBOW_RANGE,
+    seed: int = SEED,
+    columns: list[str] = FEATURES,
+    key: list[str] = KEY,
+    starts: int = STARTS,
+) -> dict[int, tuple[Centroids, float]]:
+    """One fit per k (see `fit_kmeans`). They are independent, and share every pass over the rows."""
+    ks = list(ks)
     points = train.select(*key, *[F.col(c).cast("double") for c in columns])
     if points.isEmpty():
         raise ValueError("no training rows")
+    sets = [(k, start) for k in ks for start in range(starts)]
 
     def tags(draw: int) -> list[str]:
-        return [f"{seed}/{k}/{start}/{draw}" for start in range(starts)]
+        return [f"{seed}/{k}/{start}/{draw}" for k, start in sets]
 
-    candidates = _drawn(points, columns, key, tags(0), [[]] * starts, 1)
+    candidates = _drawn(points, columns, key, tags(0), [[]] * len(sets), 1)
     for draw in range(1, DRAWS + 1):
         more = _drawn(points, columns, key, tags(draw), candidates, DRAWN)
         candidates = [a + b for a, b in zip(candidates, more)]
-    weighed = _tallied(points, columns, dict(enumerate(candidates)))
-    fits = {
-        s: _best_of(some, [weighed[s, i][0] for i in range(len(some))], k)
-        for s, some in enumerate(candidates)
-    }
-
-    def inertia(some: dict[int, Centroids]) -> dict[int, float]:
-        found = _tallied(points, columns, some)
-        return {s: sum(found[s, i][1] for i in range(len(c))) for s, c in some.items()}
-
-    costs = inertia(fits)
-    best = fits[min(fits, key=lambda s: (costs[s], s))]
-    vectors = points.select(F.array(*columns).alias("v")).rdd.map(lambda r: Vectors.dense(r.v))
-    model = RddKMeans.train(vectors, len(best), ROUNDS, epsilon=TOLERANCE, initialModel=KMeansModel([Vectors.dense(c) for c in best]))
-    centroids = sorted(tuple(float(x) for x in c) for c in model.clusterCenters)
-    return centroids, inertia({0: centroids})[0]
-
-
-def fit_each(train: DataFrame, ks: Iterable[int] = ELBOW_RANGE, seed: int = SEED) -> dict[int, tuple[Centroids, float]]:
-    """One fit per k. They are independent and mostly wait for small jobs, so they run side by side."""
-    ks = list(ks)
-    with ThreadPoolExecutor(len(ks)) as pool:
-        return dict(zip(ks, pool.map(lambda k: fit_kmeans(train, k, seed), ks)))
+    blocks = _held(points, columns)
+    try:
+        weighed = _tallied(blocks, len(columns), dict(zip(sets, candidates)))
+        fits = {(k, s): _best_of(some, weighed[k, s][:, 0].tolist(), k) for (k, s), some in zip(sets, candidates)}
+
+        def inertia(some: dict) -> dict:
+            return {s: float(sums[:, 1].sum()) for s, sums in _tallied(blocks, len(columns), some).items()}
+
+        costs = inertia(fits)
+        best = {k: fits[k, min(range(starts), key=lambda s: (costs[k, s], s))] for k in ks}
+        centroids = _settled(blocks, len(columns), best)
+        totals = inertia(centroids)
+    finally:
+        blocks.unpersist()
+    return {k: (centroids[k], totals[k]) for k in ks}
 
 
 def nearest_centroid(

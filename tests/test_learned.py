@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from barwatch.operators import kmeans
 from barwatch.config import FEATURES
 from barwatch.functions import quantiles
 from barwatch.functions.quantiles import percentile_by_group
@@ -208,3 +209,24 @@ def test_selection_curves(spark):
     assert max(curves, key=lambda k: curves[k]["silhouette"]) == 3
     elbow = elbow_curve(point_frame(spark, x), range(2, 4)).filter(F.col("k") == 3).first()
     assert elbow["inertia"] == pytest.approx(curves[3]["inertia"])
+
+
+def test_fits_for_several_k_share_their_passes(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    train = point_frame(spark, np.round(np.concatenate([rng.normal(c, 0.4, (300, 3)) for c in (0, 3, 7)]), 1)).repartition(5)
+    train = train.localCheckpoint()
+    alone = {k: kmeans.fit_kmeans(train, k) for k in (2, 3, 5)}
+    drawn, calls = kmeans._drawn, []
+    monkeypatch.setattr(kmeans, "_drawn", lambda *a: calls.append(1) or drawn(*a))
+    together = kmeans.fit_each(train, (2, 3, 5))
+    assert len(calls) == 1 + kmeans.DRAWS
+    for k, (centroids, inertia) in alone.items():
+        assert np.allclose(together[k][0], centroids, atol=1e-9) and together[k][1] == pytest.approx(inertia)
+
+
+def test_of_equal_distances_the_first_centroid_takes_the_row():
+    x = np.random.default_rng(2).integers(-3, 4, (3, 9001)).astype(float)
+    some = [(0.0, 0.0, 0.0), (1.0, 1.0, 1.0), (1.0, 1.0, 1.0), (-2.0, 0.0, 1.0)]
+    place, least = kmeans._nearest(list(x), some)
+    squares = np.stack([((x - np.array(c)[:, None]) ** 2).sum(axis=0) for c in some])
+    assert np.array_equal(place, squares.argmin(axis=0)) and np.array_equal(least, squares.min(axis=0))
