@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
@@ -9,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barwatch.llm.textarrays import forget
 from barwatch.session import materialize, ship_package
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -19,10 +21,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Hand this worker's buffers, and memory that nothing uses any more, back to the system as far as the platform can."""
+    forget()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def in_python(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``rows.mapInArrow(function, schema)``, with this package sent to the executors first."""
+    """``rows.mapInArrow(function, schema)``, with this package sent to the executors first.
+
+    Workers serve one task after the other, of any stage. What a task has freed is given back at its end, or every worker
+    would stay as large as its largest task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
     ship_package(rows.sparkSession)
-    return rows.mapInArrow(function, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def grouped_rows(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:

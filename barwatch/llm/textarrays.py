@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from weakref import WeakSet
 
 import numpy as np
 import pyarrow as pa
@@ -75,10 +76,23 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return reduced(((a1 * b1) << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & LOW30) << np.uint64(31)) + a0 * b0)
 
 
+_between_tasks: WeakSet[Scratch | PrimeSliceHash | SliceHash] = WeakSet()
+
+
+def forget() -> None:
+    """Drop the buffers and powers that hashes of this worker keep between chunks; they come back when needed."""
+    for one in _between_tasks:
+        one.clear()
+
+
 class Scratch:
     """Arrays that are used again and again, so that the system need not hand out new memory each time."""
 
     def __init__(self) -> None:
+        self.clear()
+        _between_tasks.add(self)
+
+    def clear(self) -> None:
         self.held: dict[str, np.ndarray] = {}
 
     def __call__(self, name: str, n: int) -> np.ndarray:
@@ -96,8 +110,13 @@ class PrimeSliceHash:
     def __init__(self) -> None:
         self.base = BASES[0] % int(PRIME)
         self.inverse = pow(self.base, -1, int(PRIME))
-        self.powers = self.inverses = np.ones(1, np.uint64)
         self.scratch = Scratch()
+        self.clear()
+        _between_tasks.add(self)
+
+    def clear(self) -> None:
+        self.powers = self.inverses = np.ones(1, np.uint64)
+        self.high, self.low = self.powers >> np.uint64(31), self.powers & LOW31
 
     def _reach(self, n: int) -> None:
         while len(self.powers) < n:
@@ -148,8 +167,12 @@ class SliceHash:
     def __init__(self) -> None:
         self.base = BASES[1]
         self.inverse = pow(self.base, -1, 1 << 64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
         self.scratch = Scratch()
+        self.clear()
+        _between_tasks.add(self)
+
+    def clear(self) -> None:
+        self.powers = self.inverses = np.ones(1, np.uint64)
 
     def _reach(self, n: int) -> None:
         if len(self.powers) < n:

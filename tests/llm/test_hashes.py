@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from frames import rows_of
 
+from barwatch.llm import textarrays
 from barwatch.llm.encoding import PieceEncoder
 from barwatch.llm.queries import tokenizer_path
 from barwatch.llm.substring_dedup import repeated_passages
@@ -71,3 +72,15 @@ def test_pattern_texts_share_no_passage(spark):
     texts = [" ".join(f"u{i} {w}" for i, w in enumerate(pattern(2048, x))) for x in (("alpha", "beta"), ("beta", "alpha"))]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert rows_of(repeated_passages(docs), "doc_id", "n_words", "n_removed") == {(0, 4096, 0): 1, (1, 4096, 0): 1}
+
+
+def test_buffers_forgotten_between_tasks_change_no_hash():
+    values = np.random.default_rng(6).integers(0, 1000, 60_000).astype(np.uint32)
+    begin = np.arange(0, 50_000, 7)
+    hashes = textarrays.slice_hashes()
+    for some in (values, values.astype(np.uint64) << np.uint64(40)):
+        first = [h(some, begin, begin + 5000) for h in hashes]
+        assert all(len(h.powers) > 60_000 for h in hashes)
+        textarrays.forget()
+        assert all(len(h.powers) == 1 and not h.scratch.held for h in hashes)
+        assert all(np.array_equal(a, h(some, begin, begin + 5000)) for a, h in zip(first, hashes))
