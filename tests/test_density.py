@@ -229,3 +229,31 @@ def test_numbering_is_consecutive_in_order(spark):
     frame = spark.createDataFrame([(v,) for v in values], "v long").repartition(7)
     got = {r["v"]: r["n"] for r in numbered(frame, "v", "n").collect()}
     assert got == {v: i for i, v in enumerate(sorted(values))}
+
+
+def test_few_pairs_of_boxes_are_followed(spark, monkeypatch):
+    met = []
+
+    def counted(levels, k, columns, real=kdistance_module._near_leaves):
+        near = real(levels, k, columns)
+        met.append(near.count())
+        return near
+
+    monkeypatch.setattr(kdistance_module, "_near_leaves", counted)
+    x = np.random.default_rng(33).uniform(0, 1, (4000, 3))
+    check_k_distance(spark, x, 7)
+    assert met[0] < len(x)
+
+
+@pytest.mark.parametrize("bound", [0.01, 0.3, np.inf])
+def test_smallest_distances_within_a_bound(bound):
+    rng = np.random.default_rng(34)
+    me, around = np.round(rng.uniform(0, 1, (40, 3)), 1), np.round(rng.uniform(0, 1, (300, 3)), 1)
+    around[0] = np.inf
+    sizes, found = kdistance_module.smallest(list(me.T), list(around.T), np.full(40, bound), 7)
+    apart = np.sort(((me[:, None] - around) ** 2).sum(axis=2), axis=1)[:, :7]
+    want = [row[row <= bound].tolist() for row in apart]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert found.tolist() == pytest.approx([d for w in want for d in w], abs=0)
+    few, all_infinite = kdistance_module.smallest([np.zeros(2)], [np.full(3, np.inf)], np.full(2, np.inf), 7)
+    assert few.tolist() == [3, 3] and np.isinf(all_infinite).all()
