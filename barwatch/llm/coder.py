@@ -1,12 +1,12 @@
 """Adaptive range coder for token ids, run over many independent blocks at once.
 
-Every block starts from an empty model. For each id the model names two candidates: what followed the
-last two ids (order 2) and what followed the last id (order 1), each with a confidence. One symbol says that
-the id is the order-2 candidate, or the order-1 candidate, or else (order 0) that it is in the list of ids the block
-has had, or that it is new. List places and new ids are told by their bit length, which is
-part of the symbol, and the rest of their bits. Two adaptive distributions predict the symbol, one chosen by the confidences and one
-by the last id's bit length; they are mixed with a weight that moves to the better one. All
-arithmetic is on integers, so decoding repeats it exactly.
+A block's payload begins with the list of its ids in ascending order, each with a count (order 0); from there on an id is
+its place in that list. For each id the model names two candidates: what followed the last two ids (order 2) and what followed
+the last id (order 1), each with a confidence. One symbol says that the id is the order-2 candidate, or the
+order-1 candidate, or neither. Two adaptive distributions predict the symbol, one chosen by the confidences and one
+by which of the last four ids were candidates; they are mixed with a weight that moves to the better one. An id that is
+neither is told by its share of the counts. These stay as they are within a block, so that reading such an id is one look into
+a table. All arithmetic is on integers, so decoding repeats it exactly.
 """
 
 from __future__ import annotations
@@ -16,11 +16,20 @@ import numpy as np
 BLOCK = 2048
 """Ids per block."""
 
-LANES = 2048
+LANES = 4096
 """Blocks worked on at once; affects memory and speed only."""
 
 SLOTS = 11
-"""Bits of the candidate tables of a block."""
+"""Bits of the candidate tables of a block, and at least of the shares of its counts."""
+
+MASK = (1 << SLOTS) - 1
+SURE = 14
+"""An entry of a candidate table is a place, of these bits, and a confidence from 0 to 3 above it."""
+
+PLACE = np.uint16((1 << SURE) - 1)
+
+GROUP = 32
+"""Blocks whose candidates are found together; their slots are told apart in 16 bits."""
 
 U = np.uint64
 ONES = U(0x0101010101010101)
@@ -30,118 +39,156 @@ TOTAL, FLOOR, RATE = 14, 16, 5
 WHOLE = 1 << 12
 """The weights of the two distributions add up to this."""
 
-KNOWN = 2
-"""The first symbol of list places; before it are the candidates."""
-
-LISTED = 1 << 12
-"""Ids that a block's list holds; what comes after is told as a new id each time."""
-
-NEW = KNOWN + 13
-"""The first symbol of new ids; 0 is in every list."""
-
-WIDTH = NEW + 17
-"""Cumulated counts of a distribution over all symbols."""
-
-ROW = np.dtype(f"V{2 * WIDTH}")
-
-KINDS = 17
-LENGTH = np.array([i.bit_length() for i in range(1 << 16)], np.int64)
-BITS = np.array([0, 0, *range(13), *range(1, 17)], np.int64)
-"""Bit lengths that the symbols stand for."""
-FIRST = np.where(BITS > 0, 1 << np.maximum(BITS - 1, 0), 0)
-EXTRA = np.maximum(BITS - 1, 0)
-"""The smallest number of a symbol's bit length, and how many bits follow."""
-
-STEP = np.arange(WIDTH) * FLOOR
-GOALS = np.array([np.where(np.arange(WIDTH) <= s, STEP, (1 << TOTAL) - STEP[::-1]) for s in range(WIDTH - 1)], np.int16)
-"""Where a distribution moves to after each symbol."""
-EVEN = (np.arange(WIDTH) * (1 << TOTAL) // (WIDTH - 1)).astype(np.int16)
-
-
-class Model:
-    """Candidates and distributions of ``lanes`` blocks."""
-
-    def __init__(self, lanes: int, steps: int) -> None:
-        self.tables = [np.zeros(lanes << SLOTS, np.int32) for _ in range(2)]  # id + confidence * 2**16
-        self.lane = np.arange(lanes, dtype=np.int64)
-        self.last, self.earlier = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        # Distributions are items of 64 bytes, which are fetched and stored whole.
-        self.rows = [np.tile(EVEN, lanes * n).view(ROW) for n in (32, KINDS)]
-        self.weight = np.full(lanes, WHOLE // 2, np.int32)
-        self.listed = np.zeros((lanes, min(steps + 1, LISTED)), np.uint16)
-        self.size = np.ones(lanes, np.int64)
-
-    def look(self, n: int) -> np.ndarray:
-        """Candidates and mixed cumulated distributions of the first ``n`` lanes."""
-        one, two, lane = self.last[:n], self.earlier[:n], self.lane[:n]
-        base, mask = lane << SLOTS, (1 << SLOTS) - 1
-        self.slots = base + (((one * 40503 + two * 60493 + (one >> 3)) >> 4) & mask), base + ((one ^ (one >> SLOTS)) & mask)
-        self.entries = [t.take(s) for t, s in zip(self.tables, self.slots)]
-        self.candidates = [e & 0xFFFF for e in self.entries]
-        second, first = (e >> 16 for e in self.entries)
-        same = self.candidates[0] == self.candidates[1]
-        self.at = lane * 32 + (second * 8 + first * 2 + same), lane * KINDS + LENGTH.take(one)
-        self.found = [r.take(a).view(np.int16).reshape(n, WIDTH) for r, a in zip(self.rows, self.at)]
-        a, b = self.found
-        self.mix = np.subtract(a, b, dtype=np.int32)
-        self.mix *= self.weight[:n, None]
-        self.mix >>= 12
-        self.mix += b
-        return self.mix
-
-    def symbols(self, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of the ids, and the numbers they stand for; ``places`` in the lists, -1 for new ids."""
-        new = places < 0
-        number = np.where(new, ids, places)
-        out = LENGTH.take(number) + np.where(new, NEW - 1, KNOWN)
-        for symbol in (1, 0):
-            hit = ids == self.candidates[symbol]
-            out[hit], number[hit] = symbol, 0
-        return out, number
-
-    def ids(self, symbol: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """The ids that symbols and numbers stand for."""
-        out = number
-        known = np.flatnonzero(symbol < NEW)
-        out[known] = self.listed[known, np.minimum(number[known], self.listed.shape[1] - 1)]
-        for k in range(2):
-            hit = np.flatnonzero(symbol == k)
-            out[hit] = self.candidates[k][hit]
+NEITHER, SYMBOLS, CONTEXTS = 2, 3, 32
+"""The symbol of ids that are no candidate; 0 and 1 are the candidates."""
+
+STRETCHES = {16 * ((1 << k) - 1) - 1 for k in range(1, 6)}
+LONGEST, PRIOR = 512, 8
+"""The steps after which distributions move: stretches get longer, up to ``LONGEST``."""
+
+WIDTH = 24
+"""Cumulated counts of a distribution over the bit lengths in a list."""
+
+LENGTH = np.array([i.bit_length() for i in range((1 << 17) + 1)], np.int64)
+
+
+def goals(width: int) -> np.ndarray:
+    """Where a distribution moves to after each symbol."""
+    step, every = np.arange(width) * FLOOR, np.arange(width)
+    return np.array([np.where(every <= s, step, (1 << TOTAL) - step[::-1]) for s in range(width - 1)], np.int32)
+
+
+def even(width: int) -> np.ndarray:
+    return np.arange(width) * (1 << TOTAL) // (width - 1)
+
+
+LIST_GOALS = goals(WIDTH).astype(np.int16)
+def slot_numbers(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Where the candidates after the last ids ``one`` and those before them, ``two``, stand in a block's tables."""
+    out = np.empty((2, len(one)), np.uint32)
+    mixed = np.multiply(one, np.uint32(40503), out=out[0])
+    mixed += two * np.uint32(60493)
+    mixed >>= 4
+    out[1] = one
+    out &= MASK
+    return out
+
+
+def foretold(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols and contexts, as `Candidates` gives them step by step, of ``GROUP`` rows of places at most."""
+    lanes, steps = places.shape
+    before = np.zeros((lanes, steps + 2), np.uint32)
+    before[:, 2:] = places
+    flat = places.ravel() & PLACE
+    lane = np.repeat(np.arange(lanes, dtype=np.uint16) << SLOTS, steps)
+    found, hits, sure = [], [], []
+    for slots in slot_numbers(before[:, 1:-1].ravel(), before[:, :-2].ravel()):
+        slots = slots.astype(np.uint16)
+        slots |= lane
+        order = np.argsort(slots, kind="stable")
+        slots, own = slots.take(order), flat.take(order)
+        same = np.zeros(len(own), np.uint8)
+        np.equal(slots[1:], slots[:-1], out=same[1:].view(bool))
+        candidate = np.zeros(len(own), np.uint16)
+        np.multiply(own[:-1], same[1:], out=candidate[1:])
+        hit = (candidate == own).view(np.uint8)
+        # Hits one after the other at the same slot, three at most.
+        run = same
+        run[1:] &= hit[:-1]
+        two = run.copy()
+        two[1:] &= run[:-1]
+        three = two.copy()
+        three[1:] &= two[:-1]
+        packed = hit + (run + two + three << 1)
+        back, there = np.empty(len(own), np.uint8), np.empty(len(own), np.uint16)
+        back[order], there[order] = packed, candidate
+        found.append(there)
+        hits.append(back & 1)
+        sure.append(back >> 1)
+    if steps and places.max() > PLACE:
+        hits = [candidate == places.ravel() for candidate in found]
+        hits = [h.view(np.uint8) for h in hits]
+    symbol = (NEITHER - hits[1]) * (hits[0] ^ 1)
+    context = (sure[0] << 3) + (sure[1] << 1) + (found[0] == found[1])
+    return symbol.reshape(places.shape), context.reshape(places.shape)
+
+
+class Candidates:
+    """What followed the last two ids and the last id, in ``lanes`` blocks."""
+
+    def __init__(self, lanes: int) -> None:
+        self.table = np.zeros(2 * lanes << SLOTS, np.uint16)
+        self.base = np.arange(2 * lanes, dtype=np.int64).reshape(lanes, 2).T << SLOTS
+        self.last, self.earlier = np.zeros(lanes, np.uint16), np.zeros(lanes, np.uint16)
+
+    def look(self) -> np.ndarray:
+        """Confidences of the candidates and whether these are the same, as one number for each lane."""
+        self.slots = self.base + slot_numbers(self.last.astype(np.uint32), self.earlier.astype(np.uint32))
+        self.entries = self.table.take(self.slots)
+        self.places = self.entries & PLACE
+        self.entries >>= SURE
+        out = self.entries[0] << 2
+        out += self.entries[1]
+        out <<= 1
+        out += self.places[0] == self.places[1]
         return out
 
-    def learn(self, symbol: np.ndarray, ids: np.ndarray) -> None:
-        """Move distributions, weights and candidates to the ids coded, and move on."""
-        n = len(ids)
-        place = self.lane[:n] * WIDTH + symbol
-        goals = GOALS.take(symbol, axis=0)
-        chances = []
-        for rows, at, found in zip(self.rows, self.at, self.found):
-            flat = found.ravel()
-            chances.append((flat.take(place + 1) - flat.take(place)).astype(np.int32))
-            step = goals - found
-            step >>= RATE
-            step += found
-            rows[at] = step.view(ROW).ravel()
-        a, b = chances
-        weight = self.weight[:n]
-        weight += ((a - b) << 7) // (a + b)
-        np.clip(weight, WHOLE >> 6, WHOLE - (WHOLE >> 6), out=weight)
-        for table, slot, entry, candidate in zip(self.tables, self.slots, self.entries, self.candidates):
-            hit = candidate == ids
-            sure = entry >> 16
-            kept = candidate + (np.where(hit, np.minimum(sure + 1, 3), sure >> 1) << 16)
-            table[slot] = np.where(hit | (sure > 0), kept, ids)
-        new = np.flatnonzero((symbol >= NEW) & (self.size[:n] < self.listed.shape[1]))
-        self.listed[new, self.size[new]] = ids[new]
-        self.size[new] += 1
-        self.earlier[:n] = self.last[:n]
-        self.last[:n] = ids
+    def learn(self, places: np.ndarray) -> None:
+        # A hit moves the confidence up to 3 at most, a miss to 0.
+        own, entries = places & PLACE, self.entries
+        entries += 1
+        np.minimum(entries, 3, out=entries)
+        entries <<= SURE
+        entries *= self.places == own
+        entries |= own
+        self.table[self.slots] = entries
+        self.earlier, self.last = self.last, places
+
+    def cut(self, n: int) -> None:
+        """Go on with the first ``n`` lanes only."""
+        self.base, self.last, self.earlier = self.base[:, :n], self.last[:n], self.earlier[:n]
+
+
+class Flags:
+    """Distributions over the three symbols for every context, in ``lanes`` blocks.
+
+    They stay as they are for a stretch of ids; after it, what was counted moves all of them at once. A context's own
+    counts are mixed with those of its whole block, which weigh as much as ``PRIOR`` ids.
+    """
+
+    def __init__(self, lanes: int) -> None:
+        self.base = np.arange(lanes, dtype=np.int64) * (CONTEXTS * SYMBOLS)
+        self.counts = np.zeros((lanes, SYMBOLS, CONTEXTS), np.int64)
+        self.coded: list[np.ndarray] = []
+        self._move()
+
+    def _move(self) -> None:
+        whole = self.counts.sum(axis=2) + 1
+        prior = PRIOR * ((whole << 8) // whole.sum(axis=1, keepdims=True))[:, :, None].astype(U)
+        own = [(self.counts[:, s].astype(U) << U(8)) + prior[:, s] for s in range(SYMBOLS)]
+        own[1] += own[0]
+        own[2] += own[1]
+        room = U((1 << TOTAL) - SYMBOLS * FLOOR)
+        first, second = (o * room // own[2] + U(k * FLOOR) for k, o in enumerate(own[:2], 1))
+        spans = np.empty(self.counts.shape, np.uint32)
+        for s, (begin, end) in enumerate(((U(0), first), (first, second), (second, U(1 << TOTAL)))):
+            spans[:, s] = begin | ((end - begin) << U(16))
+        self.spans = spans.ravel()
+        """Where a symbol's part begins, and above it its size, by lane, symbol and context."""
+
+    def learn(self, step: int, keys: np.ndarray) -> None:
+        """Take note of what was coded at ``step``, by lane, symbol and context."""
+        self.coded.append(keys)
+        if step in STRETCHES or step % LONGEST == LONGEST - 1:
+            self.counts += np.bincount(np.concatenate(self.coded), minlength=self.counts.size).reshape(self.counts.shape)
+            self.coded.clear()
+            self._move()
 
 
 class Range:
     """Carry-less range coder with 64-bit bounds and 32-bit words, one per lane.
 
-    A step narrows by 14 and up to 15 bits and starts with a width of 2**32 - 1 or more, so that one
+    Between two words it narrows by 14 and up to 17 bits and starts with a width of 2**32 - 1 or more, so that one
     word at most is due after it.
     """
 
@@ -152,98 +199,298 @@ class Range:
     def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
         raise NotImplementedError
 
-    def narrow(self, n: int, low: np.ndarray, width: np.ndarray) -> None:
-        """Set the bounds of the first ``n`` lanes; words on which both agree go out."""
-        go = np.flatnonzero(width <= LOW)
+    def turn(self, order: np.ndarray) -> None:
+        """Put the lanes into another order."""
+        self.low, self.width = self.low[order], self.width[order]
+
+    def narrow(self, unit: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """Set new bounds for as many lanes as are given."""
+        n = len(unit)
+        low = self.low if n == len(self.low) else self.low[:n]
+        low += begin * unit
+        np.multiply(size, unit, out=self.width if n == len(self.low) else self.width[:n])
+
+    def settle(self, n: int) -> None:
+        """Words on which the bounds of the first ``n`` lanes agree go out."""
+        go = np.flatnonzero(self.width[:n] <= LOW)
         if len(go):
-            some, size = low[go], width[go]
+            some, size = self.low.take(go), self.width.take(go)
             self.shift(go, some)
-            same = ((some ^ (some + size)) >> WORD) == 0
-            # Where the bounds differ in a higher bit, the part below that bit is kept.
-            width[go] = np.where(same, size << WORD, ((~some & LOW) << WORD) + LOW)
-            low[go] = some << WORD
-        self.low[:n], self.width[:n] = low, width
+            some <<= WORD
+            size <<= WORD
+            # Where the bounds differ in a higher bit, the part below that bit is kept; elsewhere ``size`` is the smaller one.
+            self.width[go] = np.minimum(size, ~some, out=size)
+            self.low[go] = some
 
 
 class Writer(Range):
-    def __init__(self, lanes: int, steps: int) -> None:
+    def __init__(self, lanes: int) -> None:
         super().__init__(lanes)
-        self.words = np.zeros((lanes, steps + 2), "<u4")
-        self.size = np.zeros(lanes, np.int64)
+        self.lane = np.arange(lanes).astype(np.uint32 if lanes > 1 << 16 else np.uint16)
+        self.given: list[tuple[np.ndarray, np.ndarray]] = []  # lanes and words in the order of their making
 
     def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        self.words[lanes, self.size[lanes]] = low >> WORD
-        self.size[lanes] += 1
+        self.given.append((self.lane.take(lanes), (low >> WORD).astype("<u4")))
+
+    def turn(self, order: np.ndarray) -> None:
+        super().turn(order)
+        self.lane = self.lane[order]
 
-    def step(self, mix: np.ndarray, symbol: np.ndarray, number: np.ndarray) -> None:
-        n = len(symbol)
-        flat, at = mix.ravel(), np.arange(n) * WIDTH + symbol
-        begin, end = flat.take(at).astype(U), flat.take(at + 1).astype(U)
-        unit = self.width[:n] >> U(TOTAL)
-        part = ((end - begin) * unit) >> EXTRA.take(symbol).astype(U)
-        self.narrow(n, self.low[:n] + begin * unit + (number - FIRST.take(symbol)).astype(U) * part, part)
+    def step(self, n: int, bits: int | np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        self.narrow(self.width[:n] >> bits, begin, size)
 
     def finish(self) -> list[bytes]:
         every = np.arange(len(self.low))
         for low in (self.low, self.low << WORD):
             self.shift(every, low)
-        return [w[:n].tobytes() for w, n in zip(self.words, self.size.tolist())]
+        lanes, words = (np.concatenate(x) for x in zip(*self.given))
+        whole = words.take(np.argsort(lanes, kind="stable")).tobytes()
+        ends = (4 * np.cumsum(np.bincount(lanes, minlength=len(every)))).tolist()
+        return [whole[i:j] for i, j in zip([0, *ends], ends)]
 
 
 class Reader(Range):
     def __init__(self, payloads: list[bytes]) -> None:
-        super().__init__(len(payloads))
         sizes = np.array([len(p) // 4 for p in payloads])
-        self.words = np.zeros((len(payloads), int(sizes.max()) + 3), "<u4")
-        for row, payload in zip(self.words, payloads):
-            row[: len(payload) // 4] = np.frombuffer(payload[: len(payload) // 4 * 4], "<u4")
-        self.size = np.full(len(payloads), 2, np.int64)
-        self.code = (self.words[:, 0].astype(U) << WORD) | self.words[:, 1]
+        if (sizes < 3).any():
+            raise ValueError("damaged block: too short")
+        whole = b"".join([p[: len(p) // 4 * 4] for p in payloads])
+        self.words = np.append(np.frombuffer(whole, "<u4"), np.uint32(0))
+        begin = np.cumsum(sizes) - sizes
+        super().__init__(len(payloads))
+        self.at = begin + 3
+        self.first = self.words[begin].astype(np.int64)
+        self.code = (self.words[begin + 1].astype(U) << WORD) | self.words[begin + 2]
 
     def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        place = np.minimum(self.size[lanes], self.words.shape[1] - 1)  # beyond the end only in a damaged block
-        self.code[lanes] = (self.code[lanes] << WORD) | self.words[lanes, place]
-        self.size[lanes] += 1
-
-    def step(self, mix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols read, and the numbers they stand for."""
-        n = len(mix)
-        unit = self.width[:n] >> U(TOTAL)
+        at = self.at.take(lanes)
+        code = self.code.take(lanes)
+        code <<= WORD
+        code |= self.words.take(at, mode="clip")
+        self.code[lanes] = code
+        at += 1
+        self.at[lanes] = at
+
+    def turn(self, order: np.ndarray) -> None:
+        super().turn(order)
+        self.code, self.at = self.code[order], self.at[order]
+
+    def value(self, n: int, bits: int | np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the code lies, at most ``most``, in units of a width cut into 2**bits, and that unit."""
+        unit = self.width[:n] >> bits
         rest = self.code[:n] - self.low[:n]
-        value = np.minimum(rest // unit, U((1 << TOTAL) - 1)).astype(np.int32)
-        below = (mix <= value[:, None]).view(np.uint64).reshape(n, WIDTH // 8)
-        symbol = (((below[:, 0] + below[:, 1] + below[:, 2] + below[:, 3]) * ONES) >> U(56)).astype(np.int64) - 1
-        flat, at = mix.ravel(), np.arange(n) * WIDTH + symbol
-        begin, end = flat.take(at).astype(U), flat.take(at + 1).astype(U)
-        bits = EXTRA.take(symbol).astype(U)
-        part = ((end - begin) * unit) >> bits
-        begin *= unit
-        place = np.minimum((rest - begin) // part, (U(1) << bits) - U(1))
-        self.narrow(n, self.low[:n] + begin + place * part, part)
-        return symbol, place.astype(np.int64) + FIRST.take(symbol)
-
-
-def list_places(ids: np.ndarray) -> np.ndarray:
-    """Where each id of a block stands in the list of those before it, -1 for new ones and beyond the list."""
-    _, first, which = np.unique(np.append(np.uint16(0), ids), return_index=True, return_inverse=True)
-    place = np.argsort(np.argsort(first))[which]
-    return np.where((first[which] < np.arange(len(which))) & (place < LISTED), place, -1)[1:]
-
-
-def _run(coder: Writer | Reader, lengths: np.ndarray, ids: np.ndarray, places: np.ndarray | None = None) -> None:
-    """Code the columns of ``ids``, or fill them; ``lengths`` must not increase."""
-    model = Model(len(lengths), len(ids))
-    for step in range(len(ids)):
-        n = int(np.searchsorted(-lengths, -step, "left"))
-        mix = model.look(n)
-        if isinstance(coder, Writer):
-            now = ids[step, :n].astype(np.int64)
-            symbol, number = model.symbols(now, places[step, :n])
-            coder.step(mix, symbol, number)
-        else:
-            symbol, number = coder.step(mix)
-            ids[step, :n] = now = model.ids(symbol, number)
-        model.learn(symbol, now)
+        rest //= unit
+        return np.minimum(rest, most, out=rest), unit
+
+
+def _lists(coder: Writer | Reader, sizes: np.ndarray, numbers: np.ndarray) -> None:
+    """Code the columns of ``numbers`` (steps in the list, counts), or fill them; ``sizes`` must not increase."""
+    cuts = [np.tile(even(WIDTH).astype(np.int16), (len(sizes), 1)) for _ in numbers]
+    steps = numbers.shape[1]
+    active = np.searchsorted(-sizes, -np.arange(steps), "left").tolist()
+    most = U((1 << TOTAL) - 1)
+    for step, n in enumerate(active):
+        for own, cut in zip(numbers, cuts):
+            cut = cut[:n]
+            if isinstance(coder, Writer):
+                number = own[step, :n]
+                symbol = LENGTH.take(number) - 1
+            else:
+                value, unit = coder.value(n, U(TOTAL), most)
+                below = (cut <= value.astype(np.int16)[:, None]).view(U)
+                symbol = (((below[:, 0] + below[:, 1] + below[:, 2]) * ONES) >> U(56)).astype(np.int64) - 1
+            at = np.arange(n) * WIDTH + symbol
+            begin, end = (cut.ravel().take(at + k).astype(U) for k in range(2))
+            end -= begin
+            bits, one = symbol.astype(U), np.ones(n, U)
+            if isinstance(coder, Writer):
+                coder.step(n, U(TOTAL), begin, end)
+                coder.step(n, bits, number.astype(U) ^ (one << bits), one)
+            else:
+                coder.narrow(unit, begin, end)
+                value, unit = coder.value(n, bits, (one << bits) - one)
+                own[step, :n] = value | (one << bits)
+                coder.narrow(unit, value, one)
+            coder.settle(n)
+            moved = LIST_GOALS.take(symbol, axis=0)
+            moved -= cut
+            moved >>= RATE
+            cut += moved
+
+
+class Shares:
+    """What part of 2**bits each place of each block's list has, by its count.
+
+    ``counts`` hold the blocks' lists one after the other. A block's counts add up to 2**bits at most, so every
+    place has a part. After the places of a block comes one that has the whole, for ids that are candidates.
+    """
+
+    def __init__(self, lengths: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> None:
+        lanes = np.arange(len(sizes))
+        self.bits = np.array([share_bits(n) for n in lengths.tolist()], np.int64)
+        ends = np.cumsum(sizes)
+        sums = np.zeros(len(counts) + 1, np.int64)
+        np.cumsum(counts, out=sums[1:])
+        before = sums[ends - sizes]
+        total = sums[ends] - before
+        if (total > np.minimum(lengths, 1 << self.bits)).any() or ((sizes == 0) & (lengths > 0)).any():
+            raise ValueError("damaged block: counts")
+        upto = (sums[1:] - before.repeat(sizes)).astype(U)
+        upto <<= self.bits.astype(U).repeat(sizes)
+        upto //= total.astype(U).repeat(sizes)
+        begin = np.zeros(len(counts), U)
+        begin[1:] = upto[:-1]
+        begin[(ends - sizes)[sizes > 0]] = 0
+        self.own = (upto - begin).astype(np.int64)
+        self.offset, self.whole = ends - sizes + lanes, ends + lanes
+        self.half = 16 if (self.bits < 16).all() else 32
+        self.spans = np.empty(len(counts) + len(sizes), np.uint32 if self.half == 16 else U)
+        """Where parts begin, and ``half`` bits above it their sizes."""
+        self.spans[self.whole] = 1 << (self.bits + self.half)
+        self.spans[np.arange(len(counts)) + lanes.repeat(sizes)] = begin | ((upto - begin) << U(self.half))
+
+    def inside(self, outer: np.ndarray, span: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size of these parts inside outer ones (of `Flags`), with ``bits`` more than those."""
+        size = outer >> 16
+        begin = outer & 0xFFFF
+        begin <<= bits
+        begin += size * (span & ((1 << self.half) - 1)).astype(np.uint32, copy=False)
+        size *= (span >> self.half).astype(np.uint32, copy=False)
+        return begin, size
+
+
+def share_bits(length: int) -> int:
+    return max(SLOTS, (length - 1).bit_length()) if length <= 1 << 16 else 17
+
+
+def _listed(block: np.ndarray, seen: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The block's ids in ascending order, and the places of its ids in that list; ``seen`` is left empty."""
+    seen[block] = True
+    eights = np.flatnonzero(seen.view(U) != 0)
+    some = np.flatnonzero(seen.reshape(-1, 8).take(eights, axis=0))
+    own = (eights << 3).take(some >> 3) + (some & 7)
+    seen[own] = False
+    rank[own] = np.arange(len(own))
+    return own, rank.take(block)
+
+
+def _columns(flat: np.ndarray, sizes: np.ndarray, out: np.ndarray) -> None:
+    """Lay pieces of ``flat`` of the given sizes side by side, as columns of ``out``."""
+    lane = np.repeat(np.arange(len(sizes)), sizes)
+    out[np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes), lane] = flat
+
+
+def _encode(some: list[np.ndarray]) -> list[bytes]:
+    """Payloads of blocks whose lengths do not increase."""
+    lengths, lanes = np.array([len(b) for b in some]), len(some)
+    steps = int(lengths.max())
+    rows = np.zeros((lanes, steps), np.uint16)
+    seen, rank, lists = np.zeros(1 << 16, bool), np.zeros(1 << 16, np.uint16), []
+    for row, block in zip(rows, some):
+        own, row[: len(block)] = _listed(block, seen, rank)
+        lists.append(own)
+    symbols, contexts = np.empty((lanes, steps), np.uint8), np.empty((lanes, steps), np.uint8)
+    for i in range(0, lanes, GROUP):
+        symbols[i : i + GROUP], contexts[i : i + GROUP] = foretold(rows[i : i + GROUP])
+
+    sizes = np.array([len(own) for own in lists])
+    counts = np.ones(int(sizes.sum()), np.int64)
+    at = 0
+    for row, neither, own, n in zip(rows, symbols == NEITHER, lists, lengths.tolist()):
+        told = np.bincount(row[:n][neither[:n]], minlength=len(own)) >> max(0, (n - 1).bit_length() - 16)
+        np.maximum(told, 1, out=counts[at : at + len(own)])
+        at += len(own)
+    shares = Shares(lengths, sizes, counts)
+
+    by_size = np.argsort(-sizes, kind="stable")
+    numbers = np.zeros((2, int(sizes.max()), lanes), np.int64)
+    _columns(np.concatenate([np.diff(own, prepend=-1) for own in lists]), sizes, numbers[0])
+    _columns(counts, sizes, numbers[1])
+    writer = Writer(lanes)
+    writer.shift(np.arange(lanes), sizes.astype(U) << WORD)
+    writer.turn(by_size)
+    _lists(writer, sizes[by_size], np.ascontiguousarray(numbers[:, :, by_size]))
+    writer.turn(np.argsort(by_size))
+
+    spans = np.empty((lanes, steps), shares.spans.dtype)
+    for row, out, symbol, begin, whole in zip(rows, spans, symbols, shares.offset.tolist(), shares.whole.tolist()):
+        out[:] = shares.spans[begin : whole + 1].take(np.where(symbol < NEITHER, np.int64(whole - begin), row))
+    contexts += symbols * np.uint8(CONTEXTS)
+    spans, codes = np.ascontiguousarray(spans.T), np.ascontiguousarray(contexts.T)
+    flags, short, total = Flags(lanes), shares.bits.astype(np.uint32), shares.bits.astype(U) + U(TOTAL)
+    active = np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
+    for step, (n, span, code) in enumerate(zip(active, spans, codes)):
+        keys = flags.base[:n] + code[:n]
+        begin, size = shares.inside(flags.spans.take(keys), span[:n], short[:n])
+        writer.step(n, total[:n], begin, size)
+        writer.settle(n)
+        flags.learn(step, keys)
+    return writer.finish()
+
+
+def _decode(payloads: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
+    """The ids of payloads whose lengths do not increase."""
+    lanes, steps = len(payloads), int(lengths.max())
+    reader = Reader(payloads)
+    sizes = reader.first
+    if (sizes > np.minimum(lengths, 1 << 16)).any():
+        raise ValueError("damaged block: list")
+    by_size = np.argsort(-sizes, kind="stable")
+    numbers = np.zeros((2, int(sizes.max()), lanes), np.int64)
+    reader.turn(by_size)
+    _lists(reader, sizes[by_size], numbers)
+    back = np.argsort(by_size)
+    reader.turn(back)
+    filled = (np.arange(numbers.shape[1]) < sizes[:, None])
+    ids = (np.cumsum(numbers[0], axis=0) - 1)[:, back].T[filled]
+    if len(ids) and ids.max() >= 1 << 16:
+        raise ValueError("damaged block: list")
+    shares = Shares(lengths, sizes, numbers[1][:, back].T[filled])
+    starts = np.cumsum(sizes) - sizes
+    table = np.repeat((np.arange(len(ids)) - np.repeat(starts, sizes)).astype(np.uint16), shares.own)
+    held = np.where(sizes > 0, 1 << shares.bits, 0)
+    base, short, total = np.cumsum(held) - held, shares.bits.astype(np.uint32), shares.bits.astype(U) + U(TOTAL)
+    most = (U(1) << total) - U(1)
+
+    places = np.zeros((steps, lanes), np.uint16)
+    candidates, flags = Candidates(lanes), Flags(lanes)
+    active = np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
+    held_lanes = -1
+    for step, n in enumerate(active):
+        if n != held_lanes:
+            held_lanes = n
+            candidates.cut(n)
+            lane, short, total, most = flags.base[:n], short[:n], total[:n], most[:n]
+            base, offset, whole = base[:n], shares.offset[:n], shares.whole[:n]
+        keys = candidates.look() + lane
+        second = flags.spans.take(keys + CONTEXTS)
+        value, unit = reader.value(n, total, most)
+        value = value.astype(np.uint32)
+        high = value >> short
+        first = second & 0xFFFF
+        second >>= 16
+        second += first
+        later = second <= high
+        hit = ~later
+        symbol = (first <= high).view(np.uint8) + later.view(np.uint8)
+        keys += symbol * np.uint8(CONTEXTS)
+        outer = flags.spans.take(keys)
+        value -= (outer & 0xFFFF) << short
+        value //= outer >> 16
+        now = table.take(value + base)
+        own = now + offset
+        np.copyto(own, whole, where=hit)
+        begin, size = shares.inside(outer, shares.spans.take(own), short)
+        reader.narrow(unit, begin, size)
+        reader.settle(n)
+        lanes_hit = np.flatnonzero(hit)
+        now[lanes_hit] = candidates.places[symbol.take(lanes_hit), lanes_hit]
+        places[step, :n] = now
+        flags.learn(step, keys)
+        candidates.learn(now)
+    rows, ids = np.ascontiguousarray(places.T), ids.astype(np.uint16)
+    lists = np.split(ids, starts[1:])
+    return [own[row[:n]] for own, row, n in zip(lists, rows, lengths.tolist())]
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -252,17 +499,8 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     for at in range(0, len(blocks), LANES):
         some = blocks[at : at + LANES]
         order = np.argsort([-len(b) for b in some], kind="stable")
-        lengths = np.array([len(some[i]) for i in order])
-        ids = np.zeros((len(some), int(lengths.max())), np.uint16)
-        places = np.zeros(ids.shape, np.int16)
-        for lane, i in enumerate(order):
-            ids[lane, : len(some[i])] = some[i]
-            places[lane, : len(some[i])] = list_places(some[i])
-        writer = Writer(len(some), ids.shape[1])
-        _run(writer, lengths, np.ascontiguousarray(ids.T), np.ascontiguousarray(places.T))
-        made = writer.finish()
-        back = np.argsort(order)
-        out += [made[i] for i in back]
+        made = _encode([some[i] for i in order])
+        out += [made[i] for i in np.argsort(order)]
     return out
 
 
@@ -271,10 +509,6 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     for at in range(0, len(payloads), LANES):
         order = np.argsort([-n for n in sizes[at : at + LANES]], kind="stable")
-        lengths = np.array([sizes[at + i] for i in order])
-        ids = np.zeros((int(lengths.max(initial=0)), len(order)), np.uint16)
-        _run(Reader([payloads[at + i] for i in order]), lengths, ids)
-        rows = np.ascontiguousarray(ids.T)
-        back = np.argsort(order)
-        out += [rows[i, : sizes[at + k]] for k, i in enumerate(back)]
+        found = _decode([payloads[at + i] for i in order], np.array([sizes[at + i] for i in order]))
+        out += [found[i] for i in np.argsort(order)]
     return out
