@@ -1,32 +1,31 @@
 """Adaptive range coder for token ids, run over many independent blocks at once.
 
 A block's payload begins with the list of its ids in ascending order, each with a count (order 0); from there on an id is
-its place in that list. For each id the model names two candidates: what followed the last two ids (order 2) and what followed
-the last id (order 1), each with a confidence. One symbol says that the id is the order-2 candidate, or the
-order-1 candidate, or neither. Two adaptive distributions predict the symbol, one chosen by the confidences and one
-by which of the last four ids were candidates; they are mixed with a weight that moves to the better one. An id that is
-neither is told by its share of the counts. These stay as they are within a block, so that reading such an id is one look into
-a table. All arithmetic is on integers, so decoding repeats it exactly.
+its place in that list. For each id there are two candidates: what followed the last two ids (order 2) and what followed
+the last id (order 1). One symbol says that the id is the order-2 candidate, or the order-1 candidate, or neither. Its
+distribution mixes what was counted after the same hits and misses with what was counted in the whole block so far; it
+stays as it is for a stretch of ids and then moves at once. An id that is neither is told by its share of the counts. These
+hold for the whole block, so that reading such an id is one look into a table. As a distribution depends on earlier symbols only,
+candidates are looked up only where they are hit, and the writer finds all symbols by sorting. All arithmetic
+is on integers, so decoding repeats it exactly.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 BLOCK = 2048
 """Ids per block."""
 
 LANES = 4096
-"""Blocks worked on at once; affects memory and speed only."""
+"""Blocks worked on at once, fewer where some are long; affects memory and speed only."""
 
 SLOTS = 11
 """Bits of the candidate tables of a block, and at least of the shares of its counts."""
 
 MASK = (1 << SLOTS) - 1
-SURE = 14
-"""An entry of a candidate table is a place, of these bits, and a confidence from 0 to 3 above it."""
-
-PLACE = np.uint16((1 << SURE) - 1)
 
 GROUP = 32
 """Blocks whose candidates are found together; their slots are told apart in 16 bits."""
@@ -36,12 +35,14 @@ ONES = U(0x0101010101010101)
 """Times this, the sum of a number's bytes is its highest byte."""
 WORD, LOW = U(32), U((1 << 32) - 1)
 TOTAL, FLOOR, RATE = 14, 16, 5
-WHOLE = 1 << 12
-"""The weights of the two distributions add up to this."""
 
-NEITHER, SYMBOLS, CONTEXTS = 2, 3, 32
+NEITHER, SYMBOLS = 2, 3
 """The symbol of ids that are no candidate; 0 and 1 are the candidates."""
 
+HISTORY = 5
+CONTEXTS = 1 << HISTORY
+"""A context says which of the last ids were candidates."""
+
 STRETCHES = {16 * ((1 << k) - 1) - 1 for k in range(1, 6)}
 LONGEST, PRIOR = 512, 8
 """The steps after which distributions move: stretches get longer, up to ``LONGEST``."""
@@ -52,17 +53,12 @@ WIDTH = 24
 LENGTH = np.array([i.bit_length() for i in range((1 << 17) + 1)], np.int64)
 
 
-def goals(width: int) -> np.ndarray:
-    """Where a distribution moves to after each symbol."""
-    step, every = np.arange(width) * FLOOR, np.arange(width)
-    return np.array([np.where(every <= s, step, (1 << TOTAL) - step[::-1]) for s in range(width - 1)], np.int32)
-
+EVEN = (np.arange(WIDTH) * (1 << TOTAL) // (WIDTH - 1)).astype(np.int16)
+STEP = np.arange(WIDTH) * FLOOR
+GOALS = np.array([np.where(np.arange(WIDTH) <= s, STEP, (1 << TOTAL) - STEP[::-1]) for s in range(WIDTH - 1)], np.int16)
+"""Where a distribution moves to after each symbol."""
 
-def even(width: int) -> np.ndarray:
-    return np.arange(width) * (1 << TOTAL) // (width - 1)
 
-
-LIST_GOALS = goals(WIDTH).astype(np.int16)
 def slot_numbers(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Where the candidates after the last ids ``one`` and those before them, ``two``, stand in a block's tables."""
     out = np.empty((2, len(one)), np.uint32)
@@ -74,79 +70,58 @@ def slot_numbers(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return out
 
 
-def foretold(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and contexts, as `Candidates` gives them step by step, of ``GROUP`` rows of places at most."""
+def foretold(places: np.ndarray) -> np.ndarray:
+    """Symbols of ``GROUP`` rows of places at most: what `Candidates` names, for all steps at once."""
     lanes, steps = places.shape
     before = np.zeros((lanes, steps + 2), np.uint32)
     before[:, 2:] = places
-    flat = places.ravel() & PLACE
+    flat = places.ravel()
     lane = np.repeat(np.arange(lanes, dtype=np.uint16) << SLOTS, steps)
-    found, hits, sure = [], [], []
-    for slots in slot_numbers(before[:, 1:-1].ravel(), before[:, :-2].ravel()):
-        slots = slots.astype(np.uint16)
+    hits = []
+    for slots in slot_numbers(before[:, 1:-1].ravel(), before[:, :-2].ravel()).astype(np.uint16):
         slots |= lane
         order = np.argsort(slots, kind="stable")
         slots, own = slots.take(order), flat.take(order)
-        same = np.zeros(len(own), np.uint8)
-        np.equal(slots[1:], slots[:-1], out=same[1:].view(bool))
-        candidate = np.zeros(len(own), np.uint16)
-        np.multiply(own[:-1], same[1:], out=candidate[1:])
-        hit = (candidate == own).view(np.uint8)
-        # Hits one after the other at the same slot, three at most.
-        run = same
-        run[1:] &= hit[:-1]
-        two = run.copy()
-        two[1:] &= run[:-1]
-        three = two.copy()
-        three[1:] &= two[:-1]
-        packed = hit + (run + two + three << 1)
-        back, there = np.empty(len(own), np.uint8), np.empty(len(own), np.uint16)
-        back[order], there[order] = packed, candidate
-        found.append(there)
-        hits.append(back & 1)
-        sure.append(back >> 1)
-    if steps and places.max() > PLACE:
-        hits = [candidate == places.ravel() for candidate in found]
-        hits = [h.view(np.uint8) for h in hits]
-    symbol = (NEITHER - hits[1]) * (hits[0] ^ 1)
-    context = (sure[0] << 3) + (sure[1] << 1) + (found[0] == found[1])
-    return symbol.reshape(places.shape), context.reshape(places.shape)
+        # The place before it at the same slot, or none yet, which counts as 0.
+        hit = np.empty(len(own), bool)
+        np.equal(own[1:], own[:-1] * (slots[1:] == slots[:-1]), out=hit[1:])
+        hit[:1] = own[:1] == 0
+        back = np.empty(len(own), np.uint8)
+        back[order] = hit
+        hits.append(back)
+    return ((NEITHER - hits[1]) * (hits[0] ^ 1)).reshape(places.shape)
+
+
+def histories(symbols: np.ndarray) -> np.ndarray:
+    """Contexts in rows of symbols: which of the last ids were candidates, the last one in the lowest bit."""
+    out = np.zeros(symbols.shape, np.uint8)
+    hit = (symbols < NEITHER).view(np.uint8)
+    for k in range(HISTORY):
+        out[:, k + 1 :] |= hit[:, : max(0, hit.shape[1] - k - 1)] << k
+    return out
 
 
 class Candidates:
     """What followed the last two ids and the last id, in ``lanes`` blocks."""
 
     def __init__(self, lanes: int) -> None:
+        # Order 2 block by block; order 1 slot by slot, as blocks often have the same ids last.
         self.table = np.zeros(2 * lanes << SLOTS, np.uint16)
-        self.base = np.arange(2 * lanes, dtype=np.int64).reshape(lanes, 2).T << SLOTS
-        self.last, self.earlier = np.zeros(lanes, np.uint16), np.zeros(lanes, np.uint16)
-
-    def look(self) -> np.ndarray:
-        """Confidences of the candidates and whether these are the same, as one number for each lane."""
-        self.slots = self.base + slot_numbers(self.last.astype(np.uint32), self.earlier.astype(np.uint32))
-        self.entries = self.table.take(self.slots)
-        self.places = self.entries & PLACE
-        self.entries >>= SURE
-        out = self.entries[0] << 2
-        out += self.entries[1]
-        out <<= 1
-        out += self.places[0] == self.places[1]
-        return out
-
-    def learn(self, places: np.ndarray) -> None:
-        # A hit moves the confidence up to 3 at most, a miss to 0.
-        own, entries = places & PLACE, self.entries
-        entries += 1
-        np.minimum(entries, 3, out=entries)
-        entries <<= SURE
-        entries *= self.places == own
-        entries |= own
-        self.table[self.slots] = entries
-        self.earlier, self.last = self.last, places
-
-    def cut(self, n: int) -> None:
-        """Go on with the first ``n`` lanes only."""
-        self.base, self.last, self.earlier = self.base[:, :n], self.last[:n], self.earlier[:n]
+        lane = np.arange(lanes, dtype=np.int64)
+        self.factor = np.array([[1], [lanes]], np.int64)
+        self.base = np.stack([lane << SLOTS, (lanes << SLOTS) + lane])
+        self.last, self.earlier = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+
+    def step(self, symbol: np.ndarray, places: np.ndarray, hit: np.ndarray) -> None:
+        """Put the candidates that were hit into ``places``, and take note of what followed."""
+        n = len(places)
+        slots = self.factor * slot_numbers(self.last[:n], self.earlier[:n])
+        slots += self.base[:, :n]
+        lanes = np.flatnonzero(hit)
+        places[lanes] = self.table.take(slots[symbol.take(lanes), lanes])
+        for own in slots:
+            self.table[own] = places
+        self.earlier, self.last = self.last, places.astype(np.uint32)
 
 
 class Flags:
@@ -157,27 +132,33 @@ class Flags:
     """
 
     def __init__(self, lanes: int) -> None:
-        self.base = np.arange(lanes, dtype=np.int64) * (CONTEXTS * SYMBOLS)
-        self.counts = np.zeros((lanes, SYMBOLS, CONTEXTS), np.int64)
+        self.lane = np.arange(lanes, dtype=np.int64)
+        self.counts = np.zeros((SYMBOLS, CONTEXTS, lanes), np.int64)
         self.coded: list[np.ndarray] = []
         self._move()
 
+    def keys(self, codes: np.ndarray) -> np.ndarray:
+        """Where contexts, with ``CONTEXTS`` added for each symbol, of the first lanes stand."""
+        out = codes * np.int64(len(self.lane))
+        out += self.lane[: len(out)]
+        return out
+
     def _move(self) -> None:
-        whole = self.counts.sum(axis=2) + 1
-        prior = PRIOR * ((whole << 8) // whole.sum(axis=1, keepdims=True))[:, :, None].astype(U)
-        own = [(self.counts[:, s].astype(U) << U(8)) + prior[:, s] for s in range(SYMBOLS)]
+        whole = self.counts.sum(axis=1) + 1
+        prior = PRIOR * ((whole << 8) // whole.sum(axis=0)).astype(U)
+        own = [(counts.astype(U) << U(8)) + some for counts, some in zip(self.counts, prior)]
         own[1] += own[0]
         own[2] += own[1]
         room = U((1 << TOTAL) - SYMBOLS * FLOOR)
         first, second = (o * room // own[2] + U(k * FLOOR) for k, o in enumerate(own[:2], 1))
         spans = np.empty(self.counts.shape, np.uint32)
         for s, (begin, end) in enumerate(((U(0), first), (first, second), (second, U(1 << TOTAL)))):
-            spans[:, s] = begin | ((end - begin) << U(16))
+            spans[s] = begin | ((end - begin) << U(16))
         self.spans = spans.ravel()
-        """Where a symbol's part begins, and above it its size, by lane, symbol and context."""
+        """Where a symbol's part begins, and above it its size, by symbol, context and lane."""
 
     def learn(self, step: int, keys: np.ndarray) -> None:
-        """Take note of what was coded at ``step``, by lane, symbol and context."""
+        """Take note of what was coded at ``step``, by symbol, context and lane."""
         self.coded.append(keys)
         if step in STRETCHES or step % LONGEST == LONGEST - 1:
             self.counts += np.bincount(np.concatenate(self.coded), minlength=self.counts.size).reshape(self.counts.shape)
@@ -285,7 +266,7 @@ class Reader(Range):
 
 def _lists(coder: Writer | Reader, sizes: np.ndarray, numbers: np.ndarray) -> None:
     """Code the columns of ``numbers`` (steps in the list, counts), or fill them; ``sizes`` must not increase."""
-    cuts = [np.tile(even(WIDTH).astype(np.int16), (len(sizes), 1)) for _ in numbers]
+    cuts = [np.tile(EVEN, (len(sizes), 1)) for _ in numbers]
     steps = numbers.shape[1]
     active = np.searchsorted(-sizes, -np.arange(steps), "left").tolist()
     most = U((1 << TOTAL) - 1)
@@ -312,7 +293,7 @@ def _lists(coder: Writer | Reader, sizes: np.ndarray, numbers: np.ndarray) -> No
                 own[step, :n] = value | (one << bits)
                 coder.narrow(unit, value, one)
             coder.settle(n)
-            moved = LIST_GOALS.take(symbol, axis=0)
+            moved = GOALS.take(symbol, axis=0)
             moved -= cut
             moved >>= RATE
             cut += moved
@@ -376,8 +357,10 @@ def _listed(block: np.ndarray, seen: np.ndarray, rank: np.ndarray) -> tuple[np.n
 
 def _columns(flat: np.ndarray, sizes: np.ndarray, out: np.ndarray) -> None:
     """Lay pieces of ``flat`` of the given sizes side by side, as columns of ``out``."""
-    lane = np.repeat(np.arange(len(sizes)), sizes)
-    out[np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes), lane] = flat
+    at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at *= len(sizes)
+    at += np.repeat(np.arange(len(sizes)), sizes)
+    out.reshape(-1)[at] = flat
 
 
 def _encode(some: list[np.ndarray]) -> list[bytes]:
@@ -389,9 +372,11 @@ def _encode(some: list[np.ndarray]) -> list[bytes]:
     for row, block in zip(rows, some):
         own, row[: len(block)] = _listed(block, seen, rank)
         lists.append(own)
-    symbols, contexts = np.empty((lanes, steps), np.uint8), np.empty((lanes, steps), np.uint8)
+    symbols, codes = np.empty((lanes, steps), np.uint8), np.empty((lanes, steps), np.uint8)
     for i in range(0, lanes, GROUP):
-        symbols[i : i + GROUP], contexts[i : i + GROUP] = foretold(rows[i : i + GROUP])
+        part = slice(i, i + GROUP)
+        symbols[part] = foretold(rows[part])
+        codes[part] = histories(symbols[part]) + symbols[part] * np.uint8(CONTEXTS)
 
     sizes = np.array([len(own) for own in lists])
     counts = np.ones(int(sizes.sum()), np.int64)
@@ -403,7 +388,7 @@ def _encode(some: list[np.ndarray]) -> list[bytes]:
     shares = Shares(lengths, sizes, counts)
 
     by_size = np.argsort(-sizes, kind="stable")
-    numbers = np.zeros((2, int(sizes.max()), lanes), np.int64)
+    numbers = np.zeros((2, int(sizes.max()), lanes), np.int32)
     _columns(np.concatenate([np.diff(own, prepend=-1) for own in lists]), sizes, numbers[0])
     _columns(counts, sizes, numbers[1])
     writer = Writer(lanes)
@@ -415,12 +400,11 @@ def _encode(some: list[np.ndarray]) -> list[bytes]:
     spans = np.empty((lanes, steps), shares.spans.dtype)
     for row, out, symbol, begin, whole in zip(rows, spans, symbols, shares.offset.tolist(), shares.whole.tolist()):
         out[:] = shares.spans[begin : whole + 1].take(np.where(symbol < NEITHER, np.int64(whole - begin), row))
-    contexts += symbols * np.uint8(CONTEXTS)
-    spans, codes = np.ascontiguousarray(spans.T), np.ascontiguousarray(contexts.T)
+    spans, codes = np.ascontiguousarray(spans.T), np.ascontiguousarray(codes.T)
     flags, short, total = Flags(lanes), shares.bits.astype(np.uint32), shares.bits.astype(U) + U(TOTAL)
     active = np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
     for step, (n, span, code) in enumerate(zip(active, spans, codes)):
-        keys = flags.base[:n] + code[:n]
+        keys = flags.keys(code[:n])
         begin, size = shares.inside(flags.spans.take(keys), span[:n], short[:n])
         writer.step(n, total[:n], begin, size)
         writer.settle(n)
@@ -436,12 +420,12 @@ def _decode(payloads: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
     if (sizes > np.minimum(lengths, 1 << 16)).any():
         raise ValueError("damaged block: list")
     by_size = np.argsort(-sizes, kind="stable")
-    numbers = np.zeros((2, int(sizes.max()), lanes), np.int64)
+    numbers = np.zeros((2, int(sizes.max()), lanes), np.int32)
     reader.turn(by_size)
     _lists(reader, sizes[by_size], numbers)
     back = np.argsort(by_size)
     reader.turn(back)
-    filled = (np.arange(numbers.shape[1]) < sizes[:, None])
+    filled = np.arange(numbers.shape[1]) < sizes[:, None]
     ids = (np.cumsum(numbers[0], axis=0) - 1)[:, back].T[filled]
     if len(ids) and ids.max() >= 1 << 16:
         raise ValueError("damaged block: list")
@@ -452,18 +436,24 @@ def _decode(payloads: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
     base, short, total = np.cumsum(held) - held, shares.bits.astype(np.uint32), shares.bits.astype(U) + U(TOTAL)
     most = (U(1) << total) - U(1)
 
+    # Place by place, as blocks often have the same ids; the last row is for candidates.
+    spans = np.zeros((int(sizes.max()) + 1, lanes), shares.spans.dtype)
+    _columns(shares.spans, sizes + 1, spans)
+    spans[-1] = shares.spans[shares.whole]
+    spans, lane = spans.ravel(), np.arange(lanes)
+    whole = lane + sizes.max() * lanes
+
     places = np.zeros((steps, lanes), np.uint16)
-    candidates, flags = Candidates(lanes), Flags(lanes)
+    candidates, flags, past = Candidates(lanes), Flags(lanes), np.zeros(lanes, np.uint8)
     active = np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
-    held_lanes = -1
+    now_active = -1
     for step, n in enumerate(active):
-        if n != held_lanes:
-            held_lanes = n
-            candidates.cut(n)
-            lane, short, total, most = flags.base[:n], short[:n], total[:n], most[:n]
-            base, offset, whole = base[:n], shares.offset[:n], shares.whole[:n]
-        keys = candidates.look() + lane
-        second = flags.spans.take(keys + CONTEXTS)
+        if n != now_active:
+            now_active = n
+            past = past[:n]
+            short, total, most, base, lane, whole = short[:n], total[:n], most[:n], base[:n], lane[:n], whole[:n]
+        keys = flags.keys(past)
+        second = flags.spans.take(keys + CONTEXTS * lanes)
         value, unit = reader.value(n, total, most)
         value = value.astype(np.uint32)
         high = value >> short
@@ -473,42 +463,48 @@ def _decode(payloads: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
         later = second <= high
         hit = ~later
         symbol = (first <= high).view(np.uint8) + later.view(np.uint8)
-        keys += symbol * np.uint8(CONTEXTS)
+        keys += symbol * np.int64(CONTEXTS * lanes)
         outer = flags.spans.take(keys)
         value -= (outer & 0xFFFF) << short
         value //= outer >> 16
         now = table.take(value + base)
-        own = now + offset
+        own = now * np.int64(lanes)
+        own += lane
         np.copyto(own, whole, where=hit)
-        begin, size = shares.inside(outer, shares.spans.take(own), short)
+        begin, size = shares.inside(outer, spans.take(own), short)
         reader.narrow(unit, begin, size)
         reader.settle(n)
-        lanes_hit = np.flatnonzero(hit)
-        now[lanes_hit] = candidates.places[symbol.take(lanes_hit), lanes_hit]
+        candidates.step(symbol, now, hit)
         places[step, :n] = now
         flags.learn(step, keys)
-        candidates.learn(now)
+        past <<= 1
+        past |= hit.view(np.uint8)
+        past &= CONTEXTS - 1
     rows, ids = np.ascontiguousarray(places.T), ids.astype(np.uint16)
     lists = np.split(ids, starts[1:])
     return [own[row[:n]] for own, row, n in zip(lists, rows, lengths.tolist())]
 
 
+def batches(sizes: list[int]) -> Iterator[list[int]]:
+    """The numbers of the blocks coded at once, by descending size; fewer where one is long."""
+    lanes = max(1, LANES * BLOCK // max(BLOCK, *sizes, 0))
+    for at in range(0, len(sizes), lanes):
+        yield (at + np.argsort([-n for n in sizes[at : at + lanes]], kind="stable")).tolist()
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """One payload per array of 16-bit ids; any lengths."""
-    out: list[bytes] = []
-    for at in range(0, len(blocks), LANES):
-        some = blocks[at : at + LANES]
-        order = np.argsort([-len(b) for b in some], kind="stable")
-        made = _encode([some[i] for i in order])
-        out += [made[i] for i in np.argsort(order)]
+    out: list[bytes] = [b""] * len(blocks)
+    for order in batches([len(b) for b in blocks]):
+        for i, payload in zip(order, _encode([blocks[i] for i in order])):
+            out[i] = payload
     return out
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """The ids of each payload, given how many they are."""
-    out: list[np.ndarray] = []
-    for at in range(0, len(payloads), LANES):
-        order = np.argsort([-n for n in sizes[at : at + LANES]], kind="stable")
-        found = _decode([payloads[at + i] for i in order], np.array([sizes[at + i] for i in order]))
-        out += [found[i] for i in np.argsort(order)]
+    out: list = [None] * len(payloads)
+    for order in batches(sizes):
+        for i, ids in zip(order, _decode([payloads[i] for i in order], np.array([sizes[i] for i in order]))):
+            out[i] = ids
     return out
