@@ -19,6 +19,20 @@ MEMORY_LETTERS = 1 << 25
 """Letters of remembered pieces, beyond which it starts anew as well."""
 
 
+ROUNDS = 3
+"""Words of four letters that are compared for all pieces at once, before those of long pieces."""
+
+FEW = np.array([(1 << 16 * k) - 1 for k in range(5)], np.uint64)
+"""Up to four letters of a word."""
+
+
+def four_letters(points: np.ndarray) -> np.ndarray:
+    """The four letters from each place on as one word; letters count from 1, so that none is like no letter."""
+    padded = np.zeros(len(points) + 4, np.uint16)
+    np.add(points, 1, out=padded[: len(points)], casting="unsafe")
+    return np.ndarray(len(points) + 1, "<u8", buffer=padded, strides=(2,)).copy()
+
+
 def byte_letters() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for.
 
@@ -78,8 +92,8 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.known = HashIndex()
-        self.ids, self.letters = np.zeros(1 << 12, np.uint16), np.zeros(1 << 12, np.uint16)
-        # Where the ids and the letters of each known piece end, after a zero.
+        self.ids, self.words = np.zeros(1 << 12, np.uint16), np.zeros(1 << 12, np.uint64)
+        # Where the ids and the words of four letters of each known piece end, after a zero.
         self.bounds, self.spelled = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
 
     def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,14 +117,18 @@ class PieceEncoder:
         sizes = np.bincount(all_owner, minlength=len(pieces))
         return all_ids[np.argsort(all_owner, kind="stable")].astype(np.uint16), sizes
 
-    def _remember(self, hashed: np.ndarray, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+    def _remember(
+        self, hashed: np.ndarray, points: np.ndarray, fours: np.ndarray, begin: np.ndarray, end: np.ndarray
+    ) -> None:
         text = points.tobytes().decode("utf-32-le")
         flat, sizes = self._merged([text[i:j] for i, j in zip(begin.tolist(), end.tolist())])
-        letters = points[spread_ranges(begin, end - begin)]
+        parts = (end - begin + 3) >> 2
+        done = 4 * spread_ranges(np.zeros_like(parts), parts)
+        words = fours[begin.repeat(parts) + done] & FEW[np.minimum((end - begin).repeat(parts) - done, 4)]
         n, m = self.known.size, len(sizes)
         for table, ends, new, counts in (
             ("ids", "bounds", flat, sizes),
-            ("letters", "spelled", letters, end - begin),
+            ("words", "spelled", words, parts),
         ):
             last = getattr(self, ends)[n]
             setattr(self, ends, grown(getattr(self, ends), n + m + 1))
@@ -119,14 +137,22 @@ class PieceEncoder:
             getattr(self, table)[last : last + len(new)] = new
         self.known.add(hashed)
 
-    def _misread(self, number: np.ndarray, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def _misread(self, number: np.ndarray, fours: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The pieces that are not what was remembered under their hash."""
-        sizes, first = end - begin, self.spelled[number]
-        other = self.spelled[number + 1] - first != sizes
-        sizes = np.where(other, 0, sizes)
-        differ = self.letters[spread_ranges(first, sizes)] != points[spread_ranges(begin, sizes)]
-        if differ.any():
-            other[np.repeat(np.arange(len(sizes)), sizes)[differ]] = True
+        left, first = end - begin, self.spelled.take(number)
+        other = self.spelled.take(number + 1) - first != (left + 3) >> 2
+        some = np.flatnonzero(~other)
+        at, left, first = begin[some], left[some], first[some]
+        for _ in range(ROUNDS):
+            differ = fours.take(at)
+            differ &= FEW.take(np.minimum(left, 4))
+            other[some[differ != self.words.take(first)]] = True
+            on = np.flatnonzero(left > 4)
+            some, at, left, first = some[on], at[on] + 4, left[on] - 4, first[on] + 1
+        parts = (left + 3) >> 2
+        done = 4 * spread_ranges(np.zeros_like(parts), parts)
+        words = fours[at.repeat(parts) + done] & FEW[np.minimum(left.repeat(parts) - done, 4)]
+        other[some.repeat(parts)[words != self.words[spread_ranges(first, parts)]]] = True
         return np.flatnonzero(other)
 
     def ids_of(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,20 +161,20 @@ class PieceEncoder:
         A piece is looked up by its hash and compared with what is remembered; where two
         pieces share a hash, the later one is merged each time.
         """
-        hashed = self.hash(points, begin, end)
+        hashed, fours = self.hash(points, begin, end), four_letters(points)
         number = self.known.find(hashed)
         new = np.flatnonzero(number < 0)
         if len(new):
-            if self.known.size > MEMORY or self.spelled[self.known.size] > MEMORY_LETTERS:
+            if self.known.size > MEMORY or 4 * self.spelled[self.known.size] > MEMORY_LETTERS:
                 self._forget()
                 new = np.arange(len(hashed))
             keys, where = np.unique(hashed[new], return_index=True)
-            self._remember(keys, points, begin[new[where]], end[new[where]])
+            self._remember(keys, points, fours, begin[new[where]], end[new[where]])
             number = self.known.find(hashed)
         first = self.bounds[number]
         count = self.bounds[number + 1] - first
         pool = self.ids
-        odd = self._misread(number, points, begin, end)
+        odd = self._misread(number, fours, begin, end)
         if len(odd):
             code, pieces = distinct_slices(points, begin[odd], end[odd])
             flat, sizes = self._merged([p.decode("utf-16-le") for p in pieces])

@@ -24,6 +24,7 @@ def _class_of(point: int) -> int:
 
 CLASS = np.array([_class_of(p) for p in range(LIMIT)], np.int8)
 LOWER = np.array([ord(chr(p).lower()) if len(chr(p).lower()) == 1 else p for p in range(LIMIT)], np.uint32)
+LOWER_AND_CLASS = LOWER | CLASS.astype(np.uint32) << 16
 WIDE = {p for p in range(LIMIT) if len(chr(p).lower()) != 1 or ord(chr(p).lower()) >= LIMIT}
 """Code points whose lower case is longer or beyond the limit."""
 
@@ -76,8 +77,8 @@ def word_pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     space is in no piece.
     """
     points, offsets, starts, last = _laid_out(texts)
-    points = LOWER[points]
-    kinds = CLASS[points]
+    both = LOWER_AND_CLASS.take(points)
+    points, kinds = both & 0xFFFF, (both >> 16).astype(np.int8)
     starts[1:] |= (kinds[1:] != kinds[:-1]) | (kinds[1:] == NUMBER)
     _contractions(points, kinds, starts, last)
     begin, end = _pieces(starts, len(points))
